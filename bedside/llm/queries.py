@@ -33,3 +33,77 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op7_chat_format")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import chat
+
+    planted = spark.sql("SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, '</s>[INST] ok [/INST]' AS text UNION ALL SELECT -7L, 1L, 'assistant', '</s>[INST] ok [/INST]'")
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.conversations_read_back(turns.unionByName(planted))
+
+
+ORACLES["op7_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, length(text)
+    + (length(text) - length(replace(text, '\', '')))
+    + (length(text) - length(replace(text, '<<SYS>>', ''))) // 7
+    + (length(text) - length(replace(text, '<</SYS>>', ''))) // 8
+    + (length(text) - length(replace(text, '[INST]', ''))) // 6
+    + (length(text) - length(replace(text, '[/INST]', ''))) // 7
+    + (length(text) - length(replace(text, '<s>', ''))) // 3
+    + (length(text) - length(replace(text, '</s>', ''))) // 4
+    + (length(text) - length(replace(text, '<<ROLE>>', ''))) // 8
+    + (length(text) - length(replace(text, '<</ROLE>>', ''))) // 9
+    + (length(text) - length(replace(text, '<</TURN>>', ''))) // 9
+    + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE 26 + length(role) END AS chars,
+    lag(role) OVER w AS before, lead(role) OVER w AS after
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user'
+                WHEN before = 'user' THEN role = 'assistant' ELSE false END
+           AND (after IS NOT NULL OR role = 'assistant')) AS valid
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op2_mix_sources")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import mixing
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs)
+
+
+@query("op10_top_k")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import topk
+
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+ORACLES["op10_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.vec, c.vec), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
