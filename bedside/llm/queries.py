@@ -95,15 +95,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op10_top_k"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(q.vec, c.vec), p -> p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.vec, c.vec), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query("op3_quality_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import quality_rules
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    judged = quality_rules.judge(docs, read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import classifier
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classifier.score(docs, read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
