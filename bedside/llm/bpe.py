@@ -13,9 +13,12 @@ library; repeated rows stay repeated; other columns are kept under their names.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
+import struct
 import unicodedata
+from collections import deque
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -70,6 +73,18 @@ def plain_pattern() -> re.Pattern:
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
 
 
+class Table(dict):
+    """A table that notes the keys it lacks."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.missing: set[str] = set()
+
+    def __missing__(self, key: str) -> bytes:
+        self.missing.add(key)
+        return b""
+
+
 class WordBpe:
     """Encoder and decoder for one vocabulary file; a task builds one."""
 
@@ -98,12 +113,11 @@ class WordBpe:
         self.separators = re.compile("[\x1c-\x1f]")
         self.other = re.compile(f"[^\x00-{chr(PLAIN_BELOW - 1)}]")
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.cache: dict[str, bytes] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.words: dict[str, bytes] = {}
-        self.cache = {k: np.array([v], dtype="<u4").tobytes() for k, v in self.special.items()}
+        self.cache = Table({k: np.array([v], dtype="<u4").tobytes() for k, v in self.special.items()})
 
     def chunks(self, text: str) -> list[str]:
         """The text cut at white space, where no pre-token reaches across; special strings stand alone."""
@@ -195,8 +209,10 @@ class WordBpe:
         """The table of encoded chunks, completed for ``texts``: each new pre-token is merged once."""
         if len(self.cache) > CACHE_ENTRIES:
             self._forget()
-        new = list(set().union(*texts).difference(self.cache))
-        if new:
+        for words in texts:
+            deque(map(self.cache.__getitem__, words), maxlen=0)
+        if self.cache.missing:
+            new, self.cache.missing = list(self.cache.missing), set()
             split = [self.split(c) for c in new]
             words, pre = self.words, list(set().union(*split).difference(self.words))
             if pre:
@@ -210,6 +226,12 @@ class WordBpe:
         ids = self.learn(cut, merge).__getitem__
         return [b"".join(map(ids, words)) for words in cut]
 
+    def library_merge(self, words: list[str]) -> list[bytes]:
+        """As ``merge``, by the library's own model."""
+        tokens, chars = self.library.model.tokenize, {b: c for c, b in self.bytes_of.items()}
+        as_chars = [w.encode("utf-8").decode("latin-1").translate(chars) for w in words]
+        return [struct.pack(f"<{len(t)}I", *[x.id for x in t]) for t in map(tokens, as_chars)]
+
     def decode(self, ids: list[int]) -> str:
         """The pieces joined by spaces: the vocabulary names no decoder of its own."""
         pieces = self.pieces
@@ -217,7 +239,9 @@ class WordBpe:
 
 
 @lru_cache(maxsize=2)
-def _coder(path: str) -> WordBpe:
+def coder(path: str) -> WordBpe:
+    """This worker's encoder. Its tables hold no reference cycles, so the cycle collector only costs time here."""
+    gc.disable()
     return WordBpe(path)
 
 
@@ -233,8 +257,8 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str
     keep = [c for c in (keep if keep is not None else df.columns) if c != ids]
 
     def make():
-        coder = _coder(path)
-        return lambda texts: {ids: _ids_array(coder.encode(texts))}
+        words = coder(path)
+        return lambda texts: {ids: _ids_array(words.encode(texts))}
 
     return map_text(df, keep, text, make, f"{ids} array<int>", 2_000_000)
 
@@ -246,9 +270,9 @@ def decode(df: DataFrame, path: str | None = None, ids: str = "ids", decoded: st
     keep = [c for c in df.columns if c != decoded]
 
     def run(batches):
-        coder = _coder(path)
+        words = coder(path)
         for batch in batches:
-            texts = [coder.decode(x or []) for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
+            texts = [words.decode(x or []) for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k)) for k in keep), pa.array(texts, pa.string())], names=[*keep, decoded])
 
     return df.select(*keep).mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), f"{decoded} string"]))
@@ -260,12 +284,12 @@ def round_trip(df: DataFrame, path: str | None = None, text: str = "text", keep:
     keep = [c for c in (keep if keep is not None else df.columns) if c not in ("ids", "decoded")]
 
     def make():
-        coder = _coder(path)
+        words = coder(path)
 
         def work(texts: list[str]) -> dict[str, pa.Array]:
-            ids = _ids_array(coder.encode(texts))
+            ids = _ids_array(words.encode(texts))
             values, cut = ids.values.to_pylist(), ids.offsets.to_pylist()
-            return {"ids": ids, "decoded": pa.array([coder.decode(values[a:b]) for a, b in zip(cut, cut[1:])], pa.string())}
+            return {"ids": ids, "decoded": pa.array([words.decode(values[a:b]) for a, b in zip(cut, cut[1:])], pa.string())}
 
         return work
 

@@ -124,3 +124,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return classifier.score(docs, read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import token_counts
+
+    return token_counts.with_limit(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op8_token_shards")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import sstable
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = sstable.read_shards(sstable.write_shards(docs, sstable.shard_folder(spark)))
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
