@@ -140,3 +140,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     back = sstable.read_shards(sstable.write_shards(docs, sstable.shard_folder(spark)))
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op9_ngram_jaccard_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import jaccard_join
+
+    return jaccard_join.link_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"), n=3, threshold=90)
