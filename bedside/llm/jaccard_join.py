@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bedside.llm.common import map_text, remove_written, slices, written
+from bedside.llm.common import WORD_PATTERN, map_text, remove_written, slices, written
 from bedside.llm.components import components
 
 WORDS_HELD = 200_000
@@ -257,7 +257,14 @@ def link_components(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFra
 
 
 def keep_one(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
-    """``docs`` without the members of a component but its smallest doc_id, rows with empty sets kept; columns as they came."""
-    found = link_components(docs, n, threshold)
+    """One document of each component, the one of the smallest doc_id; columns as they came.
+
+    Of repeated rows (same doc_id and text) one stays; blank texts all stay.
+    """
+    found = link_components(docs.select("doc_id", "text"), n, threshold)
     drop = written(found.where("component_id <> doc_id").select("doc_id").distinct(), "dropped")
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(drop, "doc_id", "left_anti")
+    words = F.col("text").rlike(WORD_PATTERN)
+    copy = F.row_number().over(Window.partitionBy("doc_id", "_text_hash").orderBy("_text_hash"))
+    marked = kept.withColumn("_text_hash", F.xxhash64("text")).withColumn("_copy", copy)
+    return marked.where((F.col("_copy") == 1) | ~F.coalesce(words, F.lit(False))).select(*docs.columns)

@@ -147,3 +147,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bedside.llm import jaccard_join
 
     return jaccard_join.link_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"), n=3, threshold=90)
+
+
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import suffix_dedup
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix_dedup.remove_repeats(docs)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
