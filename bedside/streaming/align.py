@@ -10,7 +10,7 @@ from bedside.schemas import BASELINE_CAP_MS, CONTEXT_MS, FUTURE_CAP_MS, SEG_BASE
 
 
 def split_stream(events: DataFrame, axis: DataFrame, by: list[str], pad_ms: int = 0) -> DataFrame:
-    """part and seg_idx of streaming events; segments of equal length are found by arithmetic within an island."""
+    """part of streaming events, with the sentinel seg_idx outside the recording; inside it seg_idx is left to the batch as-of join."""
     bounds = axis_bounds(axis, by)
     t, ws, we = F.col("time_ms"), F.col("wave_start"), F.col("wave_last") + pad_ms
     part = (
