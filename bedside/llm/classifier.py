@@ -79,6 +79,8 @@ class Model:
         return self.features(x) @ self.weights
 
     def score(self, x: np.ndarray) -> np.ndarray:
+        if not self.weights.any():  # nothing was learned
+            return np.full(len(x), self.levels[0])
         raw = self.raw(x)
         # The last term keeps the order of documents within a step of the isotonic fit.
         return np.clip(0.999 * np.interp(raw, self.knots, self.levels) + 0.001 * np.clip(raw, 0, 1), 0, 1)
@@ -122,7 +124,6 @@ def fit(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fea
     rng = np.random.default_rng(seed)
     model = Model(np.zeros(width), np.ones(width), rng.normal(size=(width, features)) / np.sqrt(width) * 1.5, rng.uniform(0, 2 * np.pi, features), np.zeros(features + 1), np.array([0.0, 1.0]), np.full(2, y / n if n else 0.5))
     if not 0 < y < n:
-        remove_written(rows) if n else None
         return model
     model.mean = sum(np.array(r["s"]) for r in got) / n
     model.spread = np.sqrt(np.maximum(sum(np.array(r["q"]) for r in got) / n - model.mean**2, 1e-6))

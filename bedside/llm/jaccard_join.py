@@ -16,9 +16,11 @@ hashes, which is the same for all documents. Two sets link when
    pivot's set: overlaps of shared beginnings are counted once, and a subtree ends
    where the elements missing so far leave too few for the threshold. Pivots of many
    sets are dealt to many tasks.
-4. Components. Keys whose remaining sets lie in one component are settled. The others
-   go through further rounds with more pivots each, until every pair under a key was
-   checked or is in one component: no link is lost and no group's pairs are listed.
+4. Components. Keys whose remaining sets lie in one component are settled. Sets that
+   share other keys form groups, dealt into blocks; each pair of blocks is one more
+   task that walks a prefix tree with every set whose component still differs. So each
+   pair under a key is checked or lies in one component: no link is lost, and no
+   group's pairs are listed as rows.
 
 Defined cases: null and blank texts have an empty set and link with nothing; texts of
 fewer than n words have their whole sequence as the one element; repeated rows are
@@ -41,9 +43,10 @@ from bedside.llm.common import WORD_PATTERN, map_text, remove_written, slices, w
 from bedside.llm.components import components
 
 WORDS_HELD = 200_000
-#: Sets that one task compares with a pivot, about.
-BUCKET_SETS = 128
-WALK = 64
+#: Sets of one cell: what a pivot is compared with, or a block of a group, about.
+BUCKET_SETS = 256
+#: Elements that a walk looks up at a time.
+WALK = 32
 
 
 class Shingler:
@@ -135,34 +138,81 @@ def needed(a: int, b: int, threshold: int) -> int:
     return -(-threshold * (a + b) // (100 + threshold))
 
 
-def tree_matches(pivot: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[int]:
-    """Numbers of the sets that link with ``pivot``, by a walk of their prefix tree."""
-    order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-    found: list[int] = []
-    path = np.zeros(0, dtype=np.uint64)  # the set last walked, as far as it was walked
-    common = np.zeros(1, dtype=np.int64)  # common[d]: elements of its first d that the pivot has
-    for i in order:
-        s = sets[i]
-        need = needed(len(pivot), len(s), threshold)
-        if need > min(len(pivot), len(s)):
+class PrefixTree:
+    """Sets in lexicographic order, each sharing its beginning with the one before: a prefix tree, walked depth first."""
+
+    def __init__(self, sets: list[np.ndarray], threshold: int):
+        self.threshold = threshold
+        self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+        self.sets = [sets[i] for i in self.order]
+        self.shared = [0]
+        for a, b in zip(self.sets, self.sets[1:]):
+            most = min(len(a), len(b))
+            differs = np.flatnonzero(a[:most] != b[:most])
+            self.shared.append(int(differs[0]) if len(differs) else most)
+
+    def matches(self, probe: np.ndarray, wanted=None) -> list[int]:
+        """Numbers of the (wanted) sets that link with ``probe``.
+
+        Overlaps of a beginning that several sets share are counted once; a set is
+        left as soon as more of its elements are missing than the threshold allows.
+        """
+        found: list[int] = []
+        common = np.zeros(1, dtype=np.int64)  # common[d]: of the walked set's first d elements, those the probe has
+        depth = 0  # how deep the set at hand agrees with the walked one
+        top = len(probe) - 1
+        for i, s, shared in zip(self.order, self.sets, self.shared):
+            depth = min(depth, shared)
+            if wanted is not None and not wanted[i]:
+                continue
+            need = needed(len(probe), len(s), self.threshold)
+            if need > min(len(probe), len(s)):
+                continue
+            common, at = common[: depth + 1], depth
+            pieces = [common]
+            got = int(common[-1])
+            spare = len(s) - need  # elements that may be missing
+            while at < len(s) and at - got <= spare:
+                step = s[at : at + WALK]
+                place = np.searchsorted(probe, step)
+                np.minimum(place, top, out=place)
+                counts = np.cumsum(probe[place] == step)
+                counts += got
+                pieces.append(counts)
+                got, at = int(counts[-1]), at + len(step)
+            common, depth = np.concatenate(pieces), at
+            if at == len(s) and got >= need:
+                found.append(i)
+        return found
+
+
+def tree_matches(probe: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[int]:
+    return PrefixTree(sets, threshold).matches(probe)
+
+
+def linked_pairs(sets: list[np.ndarray], sides: list[int], roots: list[int], threshold: int) -> list[tuple[int, int]]:
+    """Links that join components, between sets of side 0 and side 1; with one side only, within it.
+
+    ``roots`` names the components known before; a pair in one component isn't compared.
+    """
+    number: dict[int, int] = {}
+    part = np.array([number.setdefault(r, len(number)) for r in roots])
+    side = np.array(sides)
+    both = len(set(sides)) > 1
+    tree = PrefixTree(sets, threshold)
+    out = []
+    for i, s in enumerate(sets):
+        if both and side[i]:
+            continue
+        wanted = part != part[i]
+        wanted &= (side == 1) if both else (np.arange(len(sets)) > i)
+        if not wanted.any():
             continue
-        most = min(len(path), len(s))
-        differs = np.flatnonzero(path[:most] != s[:most])
-        depth = int(differs[0]) if len(differs) else most
-        common, at = common[: depth + 1], depth
-        pieces = [common]
-        got = int(common[-1])
-        spare = len(s) - need  # elements that may be missing
-        while at < len(s) and at - got <= spare:
-            step = s[at : at + WALK]
-            place = np.minimum(np.searchsorted(pivot, step), len(pivot) - 1)
-            counts = got + np.cumsum(pivot[place] == step)
-            pieces.append(counts)
-            got, at = int(counts[-1]), at + len(step)
-        common, path = np.concatenate(pieces), s[:at]
-        if at == len(s) and got >= need:
-            found.append(i)
-    return found
+        for j in tree.matches(s, wanted):
+            if part[i] != part[j]:
+                part[part == part[j]] = part[i]
+                out.append((i, j))
+    return out
 
 
 def shingle_table(docs: DataFrame, n: int, threshold: int) -> DataFrame:
@@ -191,65 +241,109 @@ def set_id(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64))
 
 
-def verify(pairs: DataFrame, table: DataFrame, docs: DataFrame, n: int, threshold: int) -> DataFrame:
-    """The linked ones of ``pairs`` (pivot, other: set ids)."""
-    pairs = written(pairs, "pairs")
-    size = pairs.groupBy("pivot").count().select("pivot", (F.floor(F.col("count") / BUCKET_SETS) + 1).alias("buckets"))
-    dealt = pairs.join(written(size, "sizes"), "pivot").select("pivot", F.col("other").alias("set_id"), F.pmod(F.xxhash64("other"), F.col("buckets")).alias("bucket"))
-    own = size.select("pivot", F.col("pivot").alias("set_id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1)).alias("bucket"))
-    roles = dealt.unionByName(own)
-    # One document stands for each set that is needed; its text is looked up once.
-    wanted = pairs.select(F.explode(F.array("pivot", "other")).alias("set_id")).distinct()
-    one = table.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")).join(wanted, "set_id")
-    texts = written(docs.select("doc_id", "text").join(one, "doc_id"), "texts")
-    rows = roles.join(texts.select("set_id", "text"), "set_id").select("pivot", "bucket", "set_id", "text")
-
-    def walk(group: pa.Table) -> pa.Table:
+def texts_of(sets: DataFrame, table: DataFrame, docs: DataFrame) -> DataFrame:
+    """set_id and a text that has this set, from one document for each."""
+    one = table.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")).join(sets, "set_id")
+    return written(docs.select("doc_id", "text").join(one, "doc_id").select("set_id", "text"), "texts")
+
+
+def walked(cells: DataFrame, texts: DataFrame, n: int, threshold: int, pivoted: bool) -> DataFrame:
+    """Links (a, b) found in each cell. ``cells``: cell, set_id, side, root.
+
+    With ``pivoted`` side 0 is the pivot alone. A cell's sets are bounded in number.
+    """
+    rows = cells.join(texts, "set_id").select("cell", "set_id", "side", "root", "text")
+
+    def settle(shingles: Shingler, held: list[tuple]) -> list[tuple[int, int]]:
+        known: dict[int, tuple] = {}
+        for _, i, side, root, text in held:
+            if i not in known:
+                s = shingles(text or "")
+                if set_id(s) == i:  # another row may have the same doc_id
+                    known[i] = (s, side, root)
+        ids = list(known)
+        sets, sides, roots = ([known[i][k] for i in ids] for k in range(3))
+        if pivoted and 0 not in sides:
+            return []
+        return [(ids[i], ids[j]) for i, j in linked_pairs(sets, sides, roots, threshold)] if sets else []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
-        pivot_id = group["pivot"][0].as_py()
-        held: dict[int, np.ndarray] = {}
-        for batch in group.select(["set_id", "text"]).to_batches():
-            for part in slices([batch], "text"):
-                for i, t in zip(part["set_id"].to_pylist(), part["text"].to_pylist()):
-                    if i not in held:
-                        s = shingles(t or "")
-                        if set_id(s) == i:  # another row may have the same doc_id
-                            held[i] = s
-        pivot = held.pop(pivot_id, np.zeros(0, np.uint64))
-        ids = list(held)
-        found = [ids[i] for i in tree_matches(pivot, list(held.values()), threshold)] if len(pivot) else []
-        return pa.table({"a": pa.array([pivot_id] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
-
-    links = written(rows.groupBy("pivot", "bucket").applyInArrow(walk, "a long, b long"), "links")
+        held: list[tuple] = []
+        for batch in slices(batches, "text"):
+            out: list[tuple[int, int]] = []
+            for row in zip(*(batch[c].to_pylist() for c in ("cell", "set_id", "side", "root", "text"))):
+                if held and held[-1][0] != row[0]:
+                    out += settle(shingles, held)
+                    held = []
+                held.append(row)
+            if out:
+                yield pa.RecordBatch.from_pydict({"a": [x for x, _ in out], "b": [x for _, x in out]})
+        if held and (out := settle(shingles, held)):
+            yield pa.RecordBatch.from_pydict({"a": [x for x, _ in out], "b": [x for _, x in out]})
+
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+
+
+def pivot_links(pairs: DataFrame, table: DataFrame, docs: DataFrame, n: int, threshold: int) -> DataFrame:
+    """The linked ones of ``pairs`` (pivot, other); a pivot of many sets is dealt to many cells."""
+    pairs = written(pairs, "pairs")
+    size = written(pairs.groupBy("pivot").count().select("pivot", (F.floor(F.col("count") / BUCKET_SETS) + 1).alias("buckets")), "sizes")
+    zero = F.lit(0).cast("long")
+    others = pairs.join(size, "pivot").select("pivot", F.col("other").alias("set_id"), F.lit(1).alias("side"), F.pmod(F.xxhash64("other"), F.col("buckets")).alias("bucket"))
+    own = size.select("pivot", F.col("pivot").alias("set_id"), F.lit(0).alias("side"), F.explode(F.sequence(zero, F.col("buckets") - 1)).alias("bucket"))
+    cells = others.unionByName(own).select(F.xxhash64("pivot", "bucket").alias("cell"), "set_id", "side", F.col("set_id").alias("root"))
+    texts = texts_of(pairs.select(F.explode(F.array("pivot", "other")).alias("set_id")).distinct(), table, docs)
+    links = written(walked(cells, texts, n, threshold, True), "links")
+    remove_written(texts)
+    return links
+
+
+def group_links(members: DataFrame, roots: DataFrame, table: DataFrame, docs: DataFrame, n: int, threshold: int) -> DataFrame | None:
+    """Links among sets whose keys aren't settled; None if all are. ``members``: key, set_id without each key's pivot.
+
+    Sets that share such keys form a group, its sets are dealt into blocks, and each
+    pair of blocks is a cell: every pair under any of the keys meets once, however many
+    keys it shares, and is compared only if its components still differ.
+    """
+    labelled = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", F.coalesce("root", "set_id").alias("root"))
+    open_keys = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("set_id").alias("least")).where("a < b").select("key", "least")
+    left = written(labelled.join(written(open_keys, "open"), "key"), "left")
+    if left.isEmpty():
+        return None
+    group = components(left.select(F.col("least").alias("a"), F.col("set_id").alias("b")))
+    sets = left.select("set_id", "root").distinct()
+    grouped = written(sets.join(group.withColumnRenamed("node", "set_id").withColumnRenamed("root", "group"), "set_id", "left").withColumn("group", F.coalesce("group", "set_id")), "grouped")
+    blocks = written(grouped.groupBy("group").count().select("group", (F.floor(F.col("count") / BUCKET_SETS) + 1).alias("blocks")), "blocks")
+    dealt = grouped.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
+    each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    cells = each.select(F.xxhash64("group", low, high).alias("cell"), "set_id", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "root")
+    texts = texts_of(grouped.select("set_id"), table, docs)
+    links = written(walked(cells, texts, n, threshold, False), "links")
     remove_written(texts)
-    remove_written(pairs)
     return links
 
 
 def link_components(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id of its component) of each row of ``docs``."""
     table = written(shingle_table(docs, n, threshold), "sets")
-    spread = table.where("set_id IS NOT NULL").select(F.explode("keys").alias("key"), "set_id", "n_shingles")
+    spread = table.where("set_id IS NOT NULL").select(F.explode("keys").alias("key"), "set_id")
     keys = written(spread.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot < last").select("key", "pivot"), "keys")
-    members = written(spread.join(keys, "key").where("set_id <> pivot").select("key", "set_id", "n_shingles", "pivot").distinct(), "members")
-    links = verify(members.select("pivot", F.col("set_id").alias("other")).distinct(), table, docs, n, threshold)
+    members = written(spread.join(keys, "key").where("set_id <> pivot").distinct(), "members")
+    links = pivot_links(members.select("pivot", F.col("set_id").alias("other")).distinct(), table, docs, n, threshold)
     roots = components(links)
-    first, last = 1, 1  # ranks of pivots under their key, the least set left out
-    while True:
-        labelled = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
-        open_keys = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).where((F.col("a") < F.col("b")) & (F.col("n") > first)).select("key")
-        left = written(labelled.join(written(open_keys, "open"), "key"), "left")
-        if left.isEmpty():
-            break
-        ranked = left.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("set_id")))
-        p = ranked.where(F.col("rank").between(first, last)).select("key", F.col("set_id").alias("pivot"), F.col("n_shingles").alias("size"), F.col("root").alias("pivot_root"), F.col("rank").alias("pivot_rank"))
-        near = (100 * F.least("size", "n_shingles") >= threshold * F.greatest("size", "n_shingles")) & (F.col("root") != F.col("pivot_root")) & (F.col("rank") > F.col("pivot_rank"))
-        pairs = ranked.join(p, "key").where(near).select("pivot", F.col("set_id").alias("other")).distinct()
-        more = verify(pairs, table, docs, n, threshold)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = components(links)
-        first, last = last + 1, 2 * last + 1
+    more = group_links(members.select("key", "set_id"), roots, table, docs, n, threshold)
+    if more is not None and not more.isEmpty():
+        # Components become single nodes of the graph of later links.
+        ends = more
+        for end in ("a", "b"):
+            up = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+            ends = ends.join(up, end, "left").withColumn(end, F.coalesce(f"{end}_root", end)).drop(f"{end}_root")
+        later = components(ends)
+        joined = roots.join(later.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        new = later.join(roots.select("node"), "node", "left_anti")
+        roots = joined.unionByName(new)
     named = table.select("doc_id", "n_shingles", "set_id").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
     # Rows of one component can be a third of all: only its least doc_id is gathered, then joined back.
     least = written(named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
