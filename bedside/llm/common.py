@@ -5,9 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Words are maximal runs of anything but space and the control characters tab to carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -62,17 +60,14 @@ def map_text(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineages: the cluster's, or one of our own where none is set."""
-    sc = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not shared:
-        shared = sc._jsc.sc().getCheckpointDir().getOrElse(None) if sc._jsc.sc().getCheckpointDir().isDefined() else None
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where none is set."""
+    set_before = spark.sparkContext._jsc.sc().getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or (set_before.get() if set_before.isDefined() else None)
     if not shared:
         import tempfile
 
         shared = tempfile.mkdtemp(prefix="bedside-checkpoint-")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(shared)
+        spark.sparkContext.setCheckpointDir(shared)
     return shared
 
 
@@ -86,12 +81,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
-def remove_written(df: DataFrame) -> None:
-    """Delete what ``written`` made for ``df`` once nothing reads it any more."""
+def remove_written(*frames: DataFrame) -> None:
+    """Delete what ``written`` made for each frame once nothing reads it any more."""
+    for df in frames:
+        _remove(df)
+
+
+def _remove(df: DataFrame) -> None:
     spark = df.sparkSession
     for file in df.inputFiles()[:1]:
         path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-
-__all__ = ["WORD_PATTERN", "F", "StorageLevel", "checkpoint_dir", "map_text", "read_table", "remove_written", "slices", "written"]

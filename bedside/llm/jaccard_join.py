@@ -295,7 +295,7 @@ def pivot_links(pairs: DataFrame, table: DataFrame, docs: DataFrame, n: int, thr
     cells = others.unionByName(own).select(F.xxhash64("pivot", "bucket").alias("cell"), "set_id", "side", F.col("set_id").alias("root"))
     texts = texts_of(pairs.select(F.explode(F.array("pivot", "other")).alias("set_id")).distinct(), table, docs)
     links = written(walked(cells, texts, n, threshold, True), "links")
-    remove_written(texts)
+    remove_written(texts, size, pairs)
     return links
 
 
@@ -308,7 +308,9 @@ def group_links(members: DataFrame, roots: DataFrame, table: DataFrame, docs: Da
     """
     labelled = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", F.coalesce("root", "set_id").alias("root"))
     open_keys = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("set_id").alias("least")).where("a < b").select("key", "least")
-    left = written(labelled.join(written(open_keys, "open"), "key"), "left")
+    open_keys = written(open_keys, "open")
+    left = written(labelled.join(open_keys, "key"), "left")
+    remove_written(open_keys)
     if left.isEmpty():
         return None
     group = components(left.select(F.col("least").alias("a"), F.col("set_id").alias("b")))
@@ -321,7 +323,7 @@ def group_links(members: DataFrame, roots: DataFrame, table: DataFrame, docs: Da
     cells = each.select(F.xxhash64("group", low, high).alias("cell"), "set_id", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "root")
     texts = texts_of(grouped.select("set_id"), table, docs)
     links = written(walked(cells, texts, n, threshold, False), "links")
-    remove_written(texts)
+    remove_written(texts, blocks, grouped, left)
     return links
 
 
@@ -334,6 +336,7 @@ def link_components(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFra
     links = pivot_links(members.select("pivot", F.col("set_id").alias("other")).distinct(), table, docs, n, threshold)
     roots = components(links)
     more = group_links(members.select("key", "set_id"), roots, table, docs, n, threshold)
+    remove_written(members, keys)
     if more is not None and not more.isEmpty():
         # Components become single nodes of the graph of later links.
         ends = more

@@ -13,7 +13,8 @@ the remaining sources keep their relative order and no document is lost.
 
 Defined cases: a null source is a source of its own; an empty table gives no rows;
 repeated rows each get a place; sources beyond ``max_sources`` (the smallest ones)
-share one class, in hash order; ties of the hash are ordered by all columns.
+share one class, in hash order; ties of the hash are ordered by all columns; input
+columns named slot, position or within_target give way to the result's.
 """
 
 from __future__ import annotations
@@ -76,6 +77,7 @@ def mix(
     Without ``weights`` a source's weight is its share of rows to the power ``temperature``.
     Sources that ``weights`` doesn't name share the least of its weights.
     """
+    docs = docs.drop("slot", "position", "within_target")
     counts = docs.groupBy("source").count().orderBy(F.desc("count"), F.asc_nulls_first("source")).limit(max_sources).collect()
     named = [r["source"] for r in counts]
     total = docs.count()

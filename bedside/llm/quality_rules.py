@@ -84,8 +84,8 @@ def choose(good: list[int], bad: list[int], risk: float, error: float) -> int |
     return next(i for i, h in enumerate(hits) if h >= 0.99 * hits[-1])
 
 
-def stratum() -> Column:
-    return F.when(F.col("lang").isin(*STRATA), F.col("lang")).otherwise(OTHER)
+def stratum(lang: str = "lang") -> Column:
+    return F.when(F.col(lang).isin(*STRATA), F.col(lang)).otherwise(OTHER)
 
 
 def learn_cutoffs(stats: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> dict[str, dict[str, float]]:
@@ -152,5 +152,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: flo
     labelled = written(statistics(docs.select("doc_id", "lang", "text").join(known, "doc_id", "left_semi"), ["doc_id", "lang"]), "quality-labelled")
     cutoffs = learn_cutoffs(labelled, labels, risk, error)
     remove_written(labelled)
-    judged = statistics(docs, columns).withColumns({"stratum": stratum(), **m})
-    return judged.where(~base_failed() & ~F.coalesce(rejected(cutoffs), F.lit(False))).select(*columns)
+    # Under numbered names, columns of the table can't be mistaken for statistics.
+    plain = {c: f"_c{i}" for i, c in enumerate(columns)}
+    judged = statistics(docs.toDF(*plain.values()), list(plain.values()), plain["text"]).withColumns({"stratum": stratum(plain["lang"]), **m})
+    kept = judged.where(~base_failed() & ~F.coalesce(rejected(cutoffs), F.lit(False)))
+    return kept.select(*(F.col(p).alias(c) for c, p in plain.items()))

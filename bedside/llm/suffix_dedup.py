@@ -18,7 +18,8 @@ and rank several times over; so positions are sampled by content first:
 
 Defined cases: a null text is empty; texts shorter than ``length`` lose nothing;
 repeated rows are copies of each other and lose all, if long enough; a null doc_id is
-kept as it is; an empty table gives no rows.
+kept as it is; an empty table gives no rows; input columns named like the result's own
+(kept, n_bytes, n_removed, n_spans) give way to these.
 """
 
 from __future__ import annotations
@@ -256,6 +257,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
 
     With ``as_text`` kept is a string; bytes of a character that a cut parted are dropped.
     """
+    docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans", "row_key", "spans")
     keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
     spans = repeated_spans(keyed.select("row_key", F.coalesce("text", F.lit("")).alias("text")), length)
     per_row = spans.groupBy("row_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
@@ -289,7 +291,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
 
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` (doc_id, text, n_chars and others) with texts cut to what is kept, and n_chars to match."""
-    out = remove_repeats(docs, length, as_text=True)
+    plain = {c: c if c in ("doc_id", "text", "n_chars") else f"_c{i}" for i, c in enumerate(docs.columns)}
+    out = remove_repeats(docs.toDF(*plain.values()), length, as_text=True)
     cut = F.col("n_removed") > 0
-    changed = {"text": F.when(cut, F.col("kept")).otherwise(F.col("text")), "n_chars": F.when(cut, F.length("kept")).otherwise(F.col("n_chars")).cast(dict(docs.dtypes)["n_chars"])}
-    return out.withColumns(changed).select(*docs.columns)
+    changed = {"text": F.when(cut, F.col("kept")).otherwise(F.col("text"))}
+    if "n_chars" in plain:
+        changed["n_chars"] = F.when(cut, F.length("kept")).otherwise(F.col("n_chars")).cast(dict(docs.dtypes)["n_chars"])
+    return out.withColumns(changed).select(*(F.col(p).alias(c) for c, p in plain.items()))

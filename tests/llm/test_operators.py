@@ -69,8 +69,9 @@ def test_suffix_dedup_regroups_common_anchors(docs, rows, monkeypatch):
 
 def test_suffix_dedup_empty_and_names(spark, empty):
     assert dedup_rows(empty) == []
-    odd = spark.createDataFrame([(None, "q" * 300, 1), (None, None, 2)], "doc_id long, text string, spans int")
-    assert [r[:4] for r in dedup_rows(odd.drop("spans"))] == [(None, 0, 0, 0), (None, 300, 300, 1)]
+    odd = spark.createDataFrame([(None, "q" * 300, 1, 1), (None, None, 2, 2)], "doc_id long, text string, spans int, kept int")
+    assert [r[:4] for r in dedup_rows(odd)] == [(None, 0, 0, 0), (None, 300, 300, 1)]
+    assert sorted(r.kept for r in suffix_dedup.deduplicated(odd).collect()) == [1, 2]
     cut = suffix_dedup.deduplicated(spark.createDataFrame([(1, "é" * 300, "en", "s", 300)], data.COLUMNS)).first()
     assert (cut.text, cut.n_chars) == ("", 0)
 
@@ -115,6 +116,7 @@ def test_mix(spark, docs, rows, empty):
     assert Counter(r.doc_id for r in odd) == Counter(r[0] for r in rows)
     assert mixing.mix(docs, weights={"hot": 3.0, None: 1.0}, max_sources=2).count() == len(rows)
     assert mixing.mix(empty).count() == 0
+    assert mixing.mix(docs.withColumn("slot", F.lit("x")).withColumn("_extra", F.lit(1))).count() == len(rows)
     ordered = mixing.in_mixed_order(mixing.mix(many, block=4, period=128), many.columns)
     assert ordered.columns == many.columns and [r.doc_id for r in ordered.collect()] == [r.doc_id for r in got]
 
@@ -172,6 +174,8 @@ def test_quality_rules(spark, rows, empty):
     assert sum(not got[r[0]].kept for r in clean) <= 15
     kept = quality_rules.keep_good(df, labels)
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {d for d, r in got.items() if r.kept}
+    odd = df.withColumns({"n_words": F.lit("x"), "stratum": F.lit(2)})
+    assert quality_rules.keep_good(odd, labels).columns == odd.columns
     none = labels.limit(0)
     assert quality_rules.judge(empty, none).count() == 0
     assert all(r.kept == (not r.base_failed) for r in quality_rules.judge(df.limit(50), none).collect())
