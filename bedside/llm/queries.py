@@ -156,3 +156,36 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = suffix_dedup.remove_repeats(docs)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op9_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM e x JOIN e y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id HAVING 100 * count(*) >= 90 * (max(x.n) + max(y.n) - count(*))
+), reach(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = s.doc_id
+"""
+
+
+ORACLES["op1_suffix_dedup"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), p AS (
+  SELECT k, i, md5(substr(h, 2 * i + 1, 400)) AS m FROM d, unnest(range(0, length(h) // 2 - 199)) AS u(i)
+), r AS (SELECT k, i FROM p WHERE m IN (SELECT m FROM p GROUP BY m HAVING count(*) > 1)),
+g AS (SELECT k, i, sum(new) OVER (PARTITION BY k ORDER BY i) AS run
+  FROM (SELECT k, i, CASE WHEN i - lag(i) OVER (PARTITION BY k ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM r)),
+s AS (SELECT k, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY k, run),
+t AS (SELECT s.k, a, b, coalesce(lag(b) OVER (PARTITION BY s.k ORDER BY a), 0) AS before FROM s),
+c AS (SELECT t.k, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM t JOIN d USING (k) GROUP BY t.k)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN c.k IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN c USING (k)
+"""
