@@ -13,7 +13,6 @@ library; repeated rows stay repeated; other columns are kept under their names.
 
 from __future__ import annotations
 
-import gc
 import json
 import re
 import struct
@@ -240,11 +239,17 @@ class WordBpe:
 
 @lru_cache(maxsize=2)
 def coder(path: str) -> WordBpe:
-    """This worker's encoder. Its tables hold no reference cycles, so the cycle collector only costs time here."""
-    gc.disable()
+    """This worker's encoder."""
     return WordBpe(path)
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the greatest id, special ones included."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) + 1
+
+
 def _ids_array(data: list[bytes]) -> pa.Array:
     offsets = np.r_[0, np.cumsum([len(d) // 4 for d in data])].astype(np.int32)
     values = np.frombuffer(b"".join(data), dtype="<u4").astype(np.int32)

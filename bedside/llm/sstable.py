@@ -37,8 +37,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bedside.llm.bpe import coder, default_path
-from bedside.llm.common import checkpoint_dir, slices, written
+from bedside.llm.bpe import coder, default_path, vocabulary_size
+from bedside.llm.common import checkpoint_dir, no_cycle_collection, slices, written
 
 MAGIC = b"BSIDESST"
 FOOTER = struct.Struct("<QQQQQII8s")
@@ -190,9 +190,13 @@ def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 def write_shards(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None) -> DataFrame:
     """Encode ``docs`` (doc_id, text), write shards to ``folder`` and return their manifest: shard, path, docs, ids, start."""
     path = path or default_path()
-    width = 2 if max(end_id + 1, len(coder(path).pieces)) <= 65_536 else 4
+    width = 2 if max(end_id + 1, vocabulary_size(path)) <= 65_536 else 4
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with no_cycle_collection():
+            yield from shard_of(batches)
+
+    def shard_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = coder(path)
         fs, at = _filesystem(folder)
         shard = TaskContext.get().partitionId()
