@@ -129,3 +129,21 @@ def valid_samples(samples: Column, low: Column, high: Column, gain: Column, offs
         return F.when(bad, nan).otherwise(scaled.cast("float"))
 
     return F.transform(samples, one)
+
+
+def padded_id(value: Column, width: int, prefix: str = "") -> Column:
+    """Zero-padded id with a prefix."""
+    return F.concat(F.lit(prefix), F.lpad(value.cast("string"), width, "0"))
+
+
+def without_prefix(text: Column, prefix: str) -> Column:
+    return F.when(F.startswith(text, F.lit(prefix)), F.substring(text, F.lit(len(prefix) + 1), F.length(text))).otherwise(text)
+
+
+def file_parts(path: Column, pattern: str, names: list[str]) -> list[Column]:
+    """Groups of a file name pattern as columns, null where it doesn't match."""
+    return [F.nullif(F.regexp_extract(path, pattern, i), F.lit("")).alias(n) for i, n in enumerate(names, 1)]
+
+
+def hours_between(start_ms: Column, end_ms: Column) -> Column:
+    return (end_ms - start_ms) / 3_600_000  # X19

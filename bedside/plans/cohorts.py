@@ -46,3 +46,18 @@ def summary(cohort: DataFrame) -> DataFrame:
     """Entities, patients, hours: total, median."""
     hours = (F.col("end_ms") - F.col("start_ms")) / 3_600_000
     return cohort.agg(F.count("*").alias("n"), F.count_distinct("patient_id").alias("n_patients"), F.sum(hours).alias("hours"), F.median(hours).alias("median_hours"))
+
+
+def encounter_spans(records: DataFrame, key: str, start: str, end: str, record: str) -> DataFrame:
+    """Records of each encounter with their span: count, first and last bound, recorded and spanned time (A2, A3).
+
+    The record at the first start stands for the encounter; of equal starts the least one.
+    """
+    length = F.col(end) - F.col(start)
+    out = records.groupBy(key).agg(F.count_distinct(record).alias("n_records"), F.min(start).alias("start_ms"), F.max(end).alias("end_ms"), F.sum(length).alias("recorded_ms"), F.min_by(record, F.struct(start, record)).alias("first_record"), F.sort_array(F.collect_set(record)).alias("records"))
+    return out.withColumn("span_ms", F.col("end_ms") - F.col("start_ms"))
+
+
+def stay_map(stays: DataFrame, admissions: DataFrame, labelled: DataFrame, stay: str, admission: str) -> DataFrame:
+    """Stays with their admission's columns, cut down to labelled stays."""
+    return stays.join(labelled.select(stay).distinct(), stay, "left_semi").join(admissions, admission)

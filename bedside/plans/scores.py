@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bedside.operators.asof import as_of, nearest
 from bedside.operators.rangejoin import band_max
+from bedside.operators.trajectory import part_summary, split_events
 from bedside.schemas import HOUR_MS
 
 # Variables of the score's inputs and components.
@@ -65,3 +66,9 @@ def task_events(scores: DataFrame, onset: DataFrame, axis: DataFrame, by: list[s
     """Scores and onset markers aligned to segments, apart from the canonical events (M11). ``onset``: onset_ms."""
     marks = onset.where("onset_ms IS NOT NULL").select(*by, F.col("onset_ms").alias("time_ms"), F.lit(ONSET).alias("var_id"), F.lit(1.0).alias("value"))
     return as_of(scores.unionByName(marks), axis.select(*by, "time_ms", "seg_idx"), by, "time_ms", ["seg_idx"]).where("seg_idx IS NOT NULL")
+
+
+def task_trajectory(events: DataFrame, axis: DataFrame, episodes: DataFrame | None, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Task events in four parts, without pad, and their flags."""
+    parted = split_events(events, axis, episodes, by)
+    return parted, part_summary(parted, by, onset=ONSET)

@@ -229,3 +229,17 @@ def intersect_ids(spark, sf):
 @query("SELECT c_custkey FROM customer ANTI JOIN orders ON c_custkey = o_custkey")
 def anti_ids(spark, sf):
     return table(spark, sf, "customer").select("c_custkey").join(table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+
+
+@query(f"""WITH {STAYS} SELECT pat, count(DISTINCT stay) AS n_records, min(s) AS start_ms, max(e) AS end_ms, CAST(sum(e - s) AS BIGINT) AS recorded_ms, arg_min(stay, (s, stay)) AS first_record, max(e) - min(s) AS span_ms FROM stays GROUP BY 1""")
+def encounter_spans(spark, sf):
+    return cohorts.encounter_spans(stays(spark, sf), "pat", "s", "e", "stay").drop("records")
+
+
+@query("SELECT l_orderkey AS stay, l_linenumber, o_custkey AS patient, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45)")
+def stay_map(spark, sf):
+    li = table(spark, sf, "lineitem")
+    labelled = li.where("l_returnflag = 'R' AND l_quantity > 45").select(F.col("l_orderkey").alias("stay"))
+    admissions = table(spark, sf, "orders").select(F.col("o_orderkey").alias("admission"), F.col("o_custkey").alias("patient"), "o_orderstatus")
+    rows = li.select(F.col("l_orderkey").alias("stay"), F.col("l_orderkey").alias("admission"), "l_linenumber")
+    return cohorts.stay_map(rows, admissions, labelled, "stay", "admission").drop("admission")

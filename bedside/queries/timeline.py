@@ -459,3 +459,16 @@ def latest_events(spark, sf):
 def json_props(spark, sf):
     ev = table(spark, sf, "events")
     return ev.where(F.get_json_object("props", "$.k").try_cast("bigint") >= 50).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
+
+
+TASK_PARTS = f"""te AS (SELECT entity_id, time_ms, var_id, value FROM cleaned WHERE var_id = 101 UNION ALL SELECT entity_id, max(time_ms), 399, 1.0 FROM cleaned WHERE var_id = 200 GROUP BY 1),
+tp AS (SELECT te.*, CASE WHEN time_ms BETWEEN ws AND wl THEN 'events' WHEN time_ms >= ws - {DAY} AND time_ms < ws THEN 'recent' WHEN time_ms >= ws - {30 * DAY} AND time_ms < ws - {DAY} THEN 'baseline' WHEN time_ms > wl AND time_ms <= wl + {7 * DAY} THEN 'future' END AS part FROM te JOIN bounds USING (entity_id))"""
+
+
+@query(sql("").rstrip() + f""", {TASK_PARTS}
+SELECT entity_id, count(*) FILTER (part = 'events') AS n_events, count(*) FILTER (part = 'future') AS n_future, coalesce(bool_or(part = 'future' AND var_id = 399), false) AS has_future_onset FROM tp WHERE part IS NOT NULL GROUP BY 1""")
+def task_trajectory(spark, sf):
+    ev = clean(spark, sf)
+    onset = ev.where("var_id = 200").groupBy("entity_id").agg(F.max("time_ms").alias("time_ms")).select("entity_id", "time_ms", F.lit(399).alias("var_id"), F.lit(1.0).alias("value"))
+    _, flags = scores.task_trajectory(ev.where("var_id = 101").unionByName(onset), axis(spark, sf), None, E1)
+    return flags.select("entity_id", "n_events", "n_future", "has_future_onset")

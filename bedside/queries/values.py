@@ -194,3 +194,9 @@ def master_headers(spark, sf):
     p = table(spark, sf, "pages")
     text = F.concat(F.lit("m/3 1 125 99 10:00:00 01/01/2100\na "), F.col("page_id"), F.lit("\n~ 50\nb 7\n"))
     return headers.master_segments(p.select(F.concat(F.lit("m"), F.col("page_id")).alias("path"), text.alias("text"))).select("path", "place", "segment", "n_samples", "first_sample", "is_gap")
+
+
+@query("SELECT c_custkey, 'DE' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS padded, CASE WHEN starts_with(c_name, 'Customer#') THEN substr(c_name, 10) ELSE c_name END AS bare, NULLIF(regexp_extract(c_name, '^([A-Za-z]+)#0*([0-9]+)$', 1), '') AS kind, NULLIF(regexp_extract(c_name, '^([A-Za-z]+)#0*([0-9]+)$', 2), '') AS number FROM customer")
+def id_texts(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", C.padded_id(F.col("c_custkey"), 9, "DE").alias("padded"), C.without_prefix(F.col("c_name"), "Customer#").alias("bare"), *C.file_parts(F.col("c_name"), "^([A-Za-z]+)#0*([0-9]+)$", ["kind", "number"]))
