@@ -20,21 +20,20 @@ def as_of(left: DataFrame, right: DataFrame, by: list[str], on: str, take: list[
     rows of equal time: the greatest ``take`` wins backward, the least forward.
     """
     sign = -1 if forward else 1
-    time = F.col(on) * sign
-    values = F.struct(*(F.col(c) for c in take))
+    row_type = left.select(F.struct("*")).schema[0].dataType
+    r = right.select(*by, (F.col(on) * sign).alias("_t"), F.struct(*(F.col(c) for c in take)).alias("_take"))
+    if forward:  # of rows at one time the least values
+        r = r.groupBy(*by, "_t").agg(F.min("_take").alias("_take"))
     # At equal times a right row comes before left rows, or after them if strict.
-    r = right.select(*by, time.alias("_t"), F.lit(1 if strict else 0).alias("_kind"), values.alias("_take"), F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_row"))
-    rows = left.select(*by, time.alias("_t"), F.lit(0 if strict else 1).alias("_kind"), F.lit(None).cast(r.schema["_take"].dataType).alias("_take"), F.struct("*").alias("_row"))
+    r = r.withColumns({"_kind": F.lit(1 if strict else 0), "_row": F.lit(None).cast(row_type)})
+    rows = left.select(*by, (F.col(on) * sign).alias("_t"), F.lit(None).cast(r.schema["_take"].dataType).alias("_take"), F.lit(0 if strict else 1).alias("_kind"), F.struct("*").alias("_row"))
     both = r.unionByName(rows).withColumn("_bucket", F.floor(F.col("_t") / bucket_ms))
-    order = Window.partitionBy(*by, "_bucket").orderBy("_t", "_kind", *([F.desc("_take")] if forward else ["_take"])).rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*by, "_bucket").orderBy("_t", "_kind", "_take").rowsBetween(Window.unboundedPreceding, 0)
     near = both.withColumn("_near", F.last("_take", ignorenulls=True).over(order)).where("_row IS NOT NULL")
-    axis = both.where("_take IS NOT NULL")
-    if forward:  # of rows at the greatest (negated) time the least values
-        axis = axis.groupBy(*by, "_bucket", "_t").agg(F.min("_take").alias("_take"))
-    lasts = axis.groupBy(*by, "_bucket").agg(F.max(F.struct("_t", "_take")).alias("_last"))
-    buckets = near.select(*by, "_bucket").distinct().join(lasts, [*by, "_bucket"], "full_outer")
+    # What a bucket takes over from the ones before it: one row per bucket.
+    lasts = both.groupBy(*by, "_bucket").agg(F.max(F.when(F.col("_take").isNotNull(), F.struct("_t", "_take"))).alias("_last"))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = buckets.withColumn("_carry", F.last("_last", ignorenulls=True).over(before)["_take"]).select(*by, "_bucket", "_carry")
+    carry = lasts.withColumn("_carry", F.last("_last", ignorenulls=True).over(before)["_take"]).select(*by, "_bucket", "_carry")
     out = near.join(carry, [*by, "_bucket"], "left")
     chosen = F.coalesce("_near", "_carry")
     return out.select("_row.*", *(chosen[c].alias(c) for c in take))
