@@ -10,8 +10,10 @@ hashes, which is the same for all documents. Two sets link when
    elements in both. Sets that agree in a whole range meet under its key. This holds
    for every linked pair, and agreement in a whole range is rare among others, however
    common a single n-gram is.
-3. Verification: each key's least set is its pivot, and all pairs of a pivot with sets
-   are checked against the texts. A task stores the sets of one pivot in a prefix tree
+3. Verification: each key's least set is its pivot, and pairs of a pivot with its sets
+   are checked against the texts: first each set with the pivot it shares most keys
+   with, then the pairs whose components still differ. Pairs whose bit maps show too
+   many elements that aren't common are left out beforehand. A task stores the sets of one pivot in a prefix tree
    (sorted, each sharing its beginning with the one before) and walks it with the
    pivot's set: overlaps of shared beginnings are counted once, and a subtree ends
    where the elements missing so far leave too few for the threshold. Pivots of many
@@ -36,7 +38,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedside.llm.common import WORD_PATTERN, map_text, remove_written, slices, written
@@ -215,8 +217,37 @@ def linked_pairs(sets: list[np.ndarray], sides: list[int], roots: list[int], thr
     return out
 
 
+def bit_map(s: np.ndarray) -> np.ndarray:
+    """Which low bits of the hashes occur: 2 to 4 bits an element, a power of two of them, 64 at least."""
+    size = max(64, 1 << (2 * len(s) - 1).bit_length())
+    bits = np.zeros(size, dtype=bool)
+    bits[(s & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def may_link(a: Column, n: Column, b: Column, m: Column, threshold: int) -> Column:
+    """False only if the bit maps of two sets of sizes n and m show that they can't link.
+
+    A bit that one set has and the other hasn't stands for an element that isn't common.
+    The longer map is folded to the length of the shorter.
+    """
+
+    def folded(x: Column, y: Column) -> Column:
+        half = F.floor(F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseOR(q))).otherwise(x)
+
+    def alone(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda t, k: t + k)
+
+    x, y = folded(a, b), folded(b, a)
+    # Sizes within a quarter differ by one doubling at most; other lengths aren't judged.
+    judged = F.size(x) == F.size(y)
+    most = F.least(n - alone(x, y), m - alone(y, x))
+    return F.when(judged, (100 + threshold) * most >= threshold * (n + m)).otherwise(100 * F.least(n, m) >= threshold * F.greatest(n, m))
+
+
 def shingle_table(docs: DataFrame, n: int, threshold: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for empty sets) and the set's keys."""
+    """doc_id, n_shingles, set_id (null for empty sets), the set's bit map and keys."""
 
     def make() -> Callable[[list[str]], dict[str, pa.Array]]:
         shingles, classes = Shingler(n), Classes(threshold)
@@ -226,15 +257,18 @@ def shingle_table(docs: DataFrame, n: int, threshold: int) -> DataFrame:
             keys = [range_keys(s, classes) if len(s) else np.zeros(0, np.int64) for s in sets]
             ids = [set_id(s) if len(s) else None for s in sets]
             offsets = np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)
+            maps = [bit_map(s) if len(s) else np.zeros(0, np.int64) for s in sets]
+            ends = np.r_[0, np.cumsum([len(m) for m in maps])].astype(np.int32)
             return {
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "set_id": pa.array(ids, pa.int64()),
+                "bits": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(maps), pa.int64())),
                 "keys": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys), pa.int64())),
             }
 
         return work
 
-    return map_text(docs, ["doc_id"], "text", make, "n_shingles bigint, set_id bigint, keys array<bigint>")
+    return map_text(docs, ["doc_id"], "text", make, "n_shingles bigint, set_id bigint, bits array<bigint>, keys array<bigint>")
 
 
 def set_id(s: np.ndarray) -> int:
@@ -327,26 +361,48 @@ def group_links(members: DataFrame, roots: DataFrame, table: DataFrame, docs: Da
     return links
 
 
+def possible_pairs(members: DataFrame, table: DataFrame, threshold: int) -> DataFrame:
+    """pivot, other and the number of keys they share, without pairs that their bit maps rule out."""
+    shared = members.groupBy("pivot", F.col("set_id").alias("other")).agg(F.count("*").alias("n_keys"))
+    maps = table.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min(F.struct("n_shingles", "bits")).alias("map"))
+    for end in ("pivot", "other"):
+        shared = shared.join(maps.select(F.col("set_id").alias(end), F.col("map").alias(f"{end}_map")), end)
+    a, b = F.col("pivot_map"), F.col("other_map")
+    return written(shared.where(may_link(a["bits"], a["n_shingles"], b["bits"], b["n_shingles"], threshold)).select("pivot", "other", "n_keys"), "possible")
+
+
+def extended(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) with further links; known components are single nodes of the new graph."""
+    if links.isEmpty():
+        return roots
+    ends = links
+    for end in ("a", "b"):
+        up = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        ends = ends.join(up, end, "left").withColumn(end, F.coalesce(f"{end}_root", end)).drop(f"{end}_root")
+    later = components(ends)
+    joined = roots.join(later.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return written(joined.unionByName(later.join(roots.select("node"), "node", "left_anti")), "roots")
+
+
 def link_components(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id of its component) of each row of ``docs``."""
     table = written(shingle_table(docs, n, threshold), "sets")
     spread = table.where("set_id IS NOT NULL").select(F.explode("keys").alias("key"), "set_id")
     keys = written(spread.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot < last").select("key", "pivot"), "keys")
     members = written(spread.join(keys, "key").where("set_id <> pivot").distinct(), "members")
-    links = pivot_links(members.select("pivot", F.col("set_id").alias("other")).distinct(), table, docs, n, threshold)
-    roots = components(links)
+    pairs = possible_pairs(members, table, threshold)
+    # Most sets link with the pivot that they share most keys with; that settles most other pairs.
+    best = pairs.groupBy(F.col("other")).agg(F.max_by("pivot", F.struct("n_keys", "pivot")).alias("pivot"))
+    roots = components(pivot_links(best.select("pivot", "other"), table, docs, n, threshold))
+    for end in ("pivot", "other"):
+        up = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        pairs = pairs.join(up, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
+    apart = pairs.where("pivot_root <> other_root").select("pivot", "other").join(best, ["pivot", "other"], "left_anti")
+    roots = extended(roots, pivot_links(apart, table, docs, n, threshold))
     more = group_links(members.select("key", "set_id"), roots, table, docs, n, threshold)
     remove_written(members, keys)
-    if more is not None and not more.isEmpty():
-        # Components become single nodes of the graph of later links.
-        ends = more
-        for end in ("a", "b"):
-            up = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-            ends = ends.join(up, end, "left").withColumn(end, F.coalesce(f"{end}_root", end)).drop(f"{end}_root")
-        later = components(ends)
-        joined = roots.join(later.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-        new = later.join(roots.select("node"), "node", "left_anti")
-        roots = joined.unionByName(new)
+    if more is not None:
+        roots = extended(roots, more)
     named = table.select("doc_id", "n_shingles", "set_id").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
     # Rows of one component can be a third of all: only its least doc_id is gathered, then joined back.
     least = written(named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
