@@ -19,7 +19,7 @@ hashes, which is the same for all documents. Two sets link when
    where the elements missing so far leave too few for the threshold. Pivots of many
    sets are dealt to many tasks.
 4. Components. Keys whose remaining sets lie in one component are settled. Sets that
-   share other keys form groups, dealt into blocks; each pair of blocks is one more
+   share other keys, and whose bit maps don't rule it out, form groups, dealt into blocks; each pair of blocks is one more
    task that walks a prefix tree with every set whose component still differs. So each
    pair under a key is checked or lies in one component: no link is lost, and no
    group's pairs are listed as rows.
@@ -47,6 +47,8 @@ from bedside.llm.components import components
 WORDS_HELD = 200_000
 #: Sets of one cell: what a pivot is compared with, or a block of a group, about.
 BUCKET_SETS = 256
+#: Sets of one key whose bit maps meet in one task, about.
+MAP_BLOCK = 1_024
 #: Elements that a walk looks up at a time.
 WALK = 32
 
@@ -333,12 +335,79 @@ def pivot_links(pairs: DataFrame, table: DataFrame, docs: DataFrame, n: int, thr
     return links
 
 
+def possible_in_cell(roots: np.ndarray, sizes: np.ndarray, maps: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
+    """Edges that tie together sets of different components which their bit maps let link; no more than there are sets."""
+    part = np.arange(len(sizes))
+    out: list[tuple[int, int]] = []
+    lengths = np.array([len(m) for m in maps])
+    for length in np.unique(lengths).tolist():
+        here, twice = np.flatnonzero(lengths == length), np.flatnonzero(lengths == 2 * length)
+        near = np.r_[here, twice]
+        if len(near) < 2:
+            continue
+        y = np.stack([maps[i] if lengths[i] == length else maps[i][:length] | maps[i][length:] for i in near]).view(np.uint64)
+        occurs = np.bitwise_count(y).sum(axis=1, dtype=np.int64)
+        rows = max(1, 2_000_000 // (len(near) * length))
+        for at in range(0, len(here), rows):
+            x = slice(at, min(at + rows, len(here)))
+            common = np.bitwise_count(y[x, None, :] & y[None, :, :]).sum(axis=2, dtype=np.int64)
+            most = np.minimum((sizes[near[x]] - occurs[x])[:, None], (sizes[near] - occurs)[None, :]) + common
+            ok = (100 + threshold) * most >= threshold * (sizes[near[x]][:, None] + sizes[near][None, :])
+            ok &= roots[near[x]][:, None] != roots[near][None, :]
+            for i, row in zip(near[x].tolist(), ok):
+                hits = near[row]
+                for part_of in np.unique(part[hits]).tolist():
+                    if part_of != part[i]:
+                        out.append((i, int(hits[part[hits] == part_of][0])))
+                        part[part == part_of] = part[i]
+    return out
+
+
+def possible_edges(left: DataFrame, table: DataFrame, threshold: int) -> DataFrame:
+    """Sets under one open key that may link though their components differ, as edges (a, b) of a forest per key.
+
+    A key of many sets is dealt into blocks, and each pair of blocks is a task's cell.
+    """
+    maps = table.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min(F.struct("n_shingles", "bits")).alias("map"))
+    size = left.groupBy("key").count().select("key", (F.floor(F.col("count") / MAP_BLOCK) + 1).alias("blocks"))
+    dealt = left.join(written(size, "blocks"), "key").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
+    each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = each.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "set_id", "root")
+    rows = cells.join(maps, "set_id").select("cell", "set_id", "root", F.col("map.n_shingles").alias("size"), "map.bits")
+
+    def settle(held: list[tuple]) -> list[tuple[int, int]]:
+        known = {r[1]: r for r in held}
+        ids = list(known)
+        if len(ids) < 2:
+            return []
+        roots, sizes = (np.array([known[i][k] for i in ids]) for k in (2, 3))
+        maps = [np.array(known[i][4], dtype=np.int64) for i in ids]
+        return [(ids[i], ids[j]) for i, j in possible_in_cell(roots, sizes, maps, threshold)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in slices(batches, "bits"):
+            out: list[tuple[int, int]] = []
+            for row in zip(*(batch[c].to_pylist() for c in ("cell", "set_id", "root", "size", "bits"))):
+                if held and held[-1][0] != row[0]:
+                    out += settle(held)
+                    held = []
+                held.append(row)
+            if out:
+                yield pa.RecordBatch.from_pydict({"a": [x for x, _ in out], "b": [x for _, x in out]})
+        if held and (out := settle(held)):
+            yield pa.RecordBatch.from_pydict({"a": [x for x, _ in out], "b": [x for _, x in out]})
+
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+
+
 def group_links(members: DataFrame, roots: DataFrame, table: DataFrame, docs: DataFrame, n: int, threshold: int) -> DataFrame | None:
     """Links among sets whose keys aren't settled; None if all are. ``members``: key, set_id without each key's pivot.
 
-    Sets that share such keys form a group, its sets are dealt into blocks, and each
-    pair of blocks is a cell: every pair under any of the keys meets once, however many
-    keys it shares, and is compared only if its components still differ.
+    Sets that share such a key and that their bit maps let link are tied together; the
+    components of these ties are groups. A group's sets are dealt into blocks, and each
+    pair of blocks is a cell: every pair that may link meets once, however many keys it
+    shares, and is compared only if its components still differ.
     """
     labelled = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", F.coalesce("root", "set_id").alias("root"))
     open_keys = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("set_id").alias("least")).where("a < b").select("key", "least")
@@ -347,8 +416,11 @@ def group_links(members: DataFrame, roots: DataFrame, table: DataFrame, docs: Da
     remove_written(open_keys)
     if left.isEmpty():
         return None
-    group = components(left.select(F.col("least").alias("a"), F.col("set_id").alias("b")))
-    sets = left.select("set_id", "root").distinct()
+    edges = written(possible_edges(left, table, threshold), "maybe")
+    if edges.isEmpty():
+        return None
+    group = components(edges)
+    sets = edges.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(left.select("set_id", "root").distinct(), "set_id")
     grouped = written(sets.join(group.withColumnRenamed("node", "set_id").withColumnRenamed("root", "group"), "set_id", "left").withColumn("group", F.coalesce("group", "set_id")), "grouped")
     blocks = written(grouped.groupBy("group").count().select("group", (F.floor(F.col("count") / BUCKET_SETS) + 1).alias("blocks")), "blocks")
     dealt = grouped.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
