@@ -413,3 +413,26 @@ def test_top_k(spark, monkeypatch):
             want += [(q, k, c, -s) for k, (s, c) in enumerate(scored, 1)]
     assert got == sorted(want)
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_bit_maps_keep_linked_pairs():
+    rng = np.random.default_rng(8)
+    for threshold in (60, 80, 90):
+        base = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (1, 5, 31, 33, 64, 120, 130, 500)]
+        sets = []
+        for s in base:
+            for _ in range(6):
+                keep = rng.random(len(s)) > rng.uniform(0, 0.2)
+                sets.append(np.unique(np.r_[s[keep], rng.integers(0, 2**64, rng.integers(0, len(s) // 8 + 1), dtype=np.uint64)]))
+        sets = [s for s in sets if len(s)]
+        maps, sizes = [jaccard_join.bit_map(s) for s in sets], np.array([len(s) for s in sets])
+        edges = jaccard_join.possible_in_cell(np.arange(len(sets)), sizes, maps, threshold)
+        root = list(range(len(sets)))
+        for a, b in edges:
+            old, new = root[b], root[a]
+            root = [new if r == old else r for r in root]
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(np.intersect1d(a, b)) >= threshold * len(np.union1d(a, b)):
+                    assert root[i] == root[j]
+        assert len(edges) < len(sets)
