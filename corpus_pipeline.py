@@ -1,7 +1,8 @@
 """Corpus preparation from end to end: five stages over ``documents``.
 
 Quality rules drop bad documents; of near-duplicates one stays; byte strings that
-repeat across documents are cut out; the rest is put in mixed order; texts are encoded.
+repeat across documents are cut out; the rest is put in mixed order; texts are encoded
+in that order, which the result's position column states.
 All stages but the last return the columns of ``documents``; columns beyond the known
 ones travel along untouched, whatever their names.
 """
@@ -45,8 +46,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    made = bpe.encode(docs.select("doc_id", "source", "text"), keep=["doc_id", "source"])
-    return made.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """doc_id, source, position, n_tokens and ids, sorted by position.
+
+    Reading files again loses their order. A row's place depends on the rows alone, so it is found anew.
+    """
+    mixed = mixing.mix(_packed(docs))
+    ordered = mixing.in_mixed_order(mixed, ["doc_id", "source", "position", "text"])
+    made = bpe.encode(ordered, keep=["doc_id", "source", "position"])
+    return made.select("doc_id", "source", "position", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [

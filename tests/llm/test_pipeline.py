@@ -7,7 +7,7 @@ import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from bedside.llm import bpe  # noqa: E402
+from bedside.llm import bpe, mixing  # noqa: E402
 from tests.llm import data  # noqa: E402
 
 
@@ -51,3 +51,17 @@ def test_pipeline(spark, tmp_path):
     library = bpe.WordBpe(bpe.default_path()).library
     for r in seen[names[4]]:
         assert r.ids == library.encode(cut[r.doc_id] or "", add_special_tokens=False).ids and r.n_tokens == len(r.ids)
+
+
+def test_result_is_in_mixed_order(spark, tmp_path, monkeypatch):
+    """The last stages over several files of very different sizes, read back as any reader does."""
+    rng = random.Random(3)
+    rows = [(i, data.prose(rng, 400 if i % 50 == 0 else 5), "en", "hot" if i % 3 else f"s{i % 5}", 1) for i in range(600)]
+    spark.createDataFrame(rows, data.COLUMNS).repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[3:])
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    want = [(r.doc_id, r.source, r.position) for r in mixing.mix(docs).orderBy("position").collect()]
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert [(r.doc_id, r.source, r.position) for r in got] == want
+    stage = corpus_pipeline.mixing_stage(spark, docs, str(tmp_path))
+    assert [r.doc_id for r in stage.collect()] == [r.doc_id for r in got]
