@@ -121,6 +121,26 @@ def test_mix(spark, docs, rows, empty):
     assert ordered.columns == many.columns and [r.doc_id for r in ordered.collect()] == [r.doc_id for r in got]
 
 
+def deviation(order, weights):
+    """The greatest distance of a source's blocks from slot times weight, after any slot."""
+    share = np.array(weights, dtype=float) / sum(weights)
+    had = np.cumsum(np.array(order)[:, None] == np.arange(len(weights))[None, :], axis=0)
+    return np.abs(had - np.arange(1, len(order) + 1)[:, None] * share).max()
+
+
+def test_mix_deviates_by_less_than_a_block_from_given_weights(spark):
+    for given in ([1.0] * 20, [1.0, 1e-5, 0.3], [x**0.7 for x in range(1, 40)]):
+        weights = mixing.whole_weights(given)
+        order = mixing.earliest_deadline_first(weights, [40_000 // len(given)] * len(given))
+        assert len(order) >= 10_000 and deviation(order, given) < 1
+    # One-row blocks: a fixed period of 4,096 slots would lag by more than a block after two of them.
+    many = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 20).alias("source"))
+    got = mixing.mix(many, block=1).where("within_target").orderBy("position").collect()
+    assert len(got) > 39_900 and deviation([int(r.source[1:]) for r in got], [1] * 20) < 1
+    with pytest.raises(ValueError):
+        mixing.whole_weights([1.0, -1.0])
+
+
 # 3 quality rules
 
 
