@@ -12,10 +12,9 @@ differ from slot times weight by less than one. After that (``within_target`` fa
 the remaining blocks follow in the order of the middles of their windows and no document is lost.
 
 Defined cases: a null source is a source of its own; an empty table gives no rows;
-repeated rows each get a place; sources beyond ``max_sources`` (the smallest ones)
-share one class, in hash order; a source of weight 0 comes last; ties of the hash are
-ordered by all columns; input columns named slot, position or within_target give way
-to the result's.
+repeated rows each get a place; any number of sources has its own weights and
+deadlines; a source of weight 0 comes last; ties of the hash are ordered by all
+columns; input columns named slot, position or within_target give way to the result's.
 """
 
 from __future__ import annotations
@@ -103,15 +102,14 @@ def slots_of(weights: list[int], sizes: list[int], block: int) -> tuple[np.ndarr
     return np.argsort(order, kind="stable"), counts, int(had.sum())
 
 
-def slot_table(spark: SparkSession, keys: list[str], slots: np.ndarray, counts: np.ndarray) -> DataFrame:
+def slot_table(spark: SparkSession, keys: pa.Array, slots: np.ndarray, counts: np.ndarray) -> DataFrame:
     """_of (the source's key), _chunk and _slots, those of its blocks from _chunk * CHUNK on."""
     chunks = -(-counts // CHUNK)
     source = np.repeat(np.arange(len(keys)), chunks)
     chunk = np.arange(len(source)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
     starts = (np.cumsum(counts) - counts)[source] + chunk * CHUNK
     lists = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(slots)].astype(np.int32)), pa.array(slots.astype(np.int64)))
-    table = spark.createDataFrame(pa.table({"_of": pa.array(keys, pa.string()).take(pa.array(source)), "_chunk": pa.array(chunk.astype(np.int64)), "_slots": lists}))
-    return F.broadcast(table) if len(slots) <= BROADCAST_BLOCKS else table
+    return spark.createDataFrame(pa.table({"_of": keys.take(pa.array(source)), "_chunk": pa.array(chunk.astype(np.int64)), "_slots": lists}))
 
 
 def mix(
@@ -127,7 +125,8 @@ def mix(
 
     Without ``weights`` a source's weight is its share of rows to the power ``temperature``.
     Sources that ``weights`` doesn't name share the least of its weights. With a
-    ``period`` weights are rounded to whole parts of it, one at least.
+    ``period`` weights are rounded to whole parts of it, one at least. Above
+    ``max_sources`` sources only a schedule of few rows is broadcast; results are the same.
     """
     docs = docs.drop("slot", "position", "within_target")
     # Never null, so that plain joins find a null source too.
@@ -137,18 +136,16 @@ def mix(
     if not total:
         zero = F.lit(0).cast("long")
         return docs.select("*", zero.alias("slot"), zero.alias("position"), F.lit(False).alias("within_target"))
-    rest = sum(r["count"] for r in counts[max_sources:])
-    counts = counts[:max_sources]
-    sizes = [r["count"] for r in counts] + [rest] * (rest > 0)
-    keys = [r["key"] for r in counts] + ["+"] * (rest > 0)
+    sizes = [r["count"] for r in counts]
     if weights is None:
         goal = [(n / total) ** temperature for n in sizes]
     else:
-        goal = [weights.get(r["source"], min(weights.values())) for r in counts] + [min(weights.values())] * (rest > 0)
+        least = min(weights.values())
+        goal = [weights.get(r["source"], least) for r in counts]
     slots, blocks, horizon = slots_of(parts_of(goal, period) if period else whole_weights(goal), sizes, block)
-    table = slot_table(docs.sparkSession, keys, slots, blocks)
-    if rest:
-        key = F.when(key.isin(keys), key).otherwise(F.lit("+"))
+    table = slot_table(docs.sparkSession, pa.array([r["key"] for r in counts], pa.string()), slots, blocks)
+    if len(slots) <= (BROADCAST_BLOCKS if len(counts) <= max_sources else BROADCAST_BLOCKS // 10):
+        table = F.broadcast(table)
 
     buckets = max(LEAST_BUCKETS, total // BUCKET_ROWS + 1)
     row = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))

@@ -141,6 +141,25 @@ def test_mix_deviates_by_less_than_a_block_from_given_weights(spark):
         mixing.whole_weights([1.0, -1.0])
 
 
+def test_mix_schedules_each_of_many_sources(spark, monkeypatch):
+    rows = [(i, f"h{i % 400:03}" if i % 2 else "hot") for i in range(16_000)]
+    many = spark.createDataFrame([*rows, *((20_000 + i, "named") for i in range(30)), (30_000, None)], "doc_id long, source string")
+    got = mixing.mix(many, {"hot": 1.0, "named": 0.5, "other": 0.001}, block=1).orderBy("position").collect()
+    assert len(got) == len({r.position for r in got}) == 16_031
+    inside = [r.source for r in got if r.within_target]
+    goal = {s: {"hot": 1.0, "named": 0.5}.get(s, 0.001) for s in {r.source for r in got}}
+    assert len(goal) == 203 and inside.count("named") == 30  # a small source keeps its given weight
+    names = list(goal)
+    assert deviation([names.index(s) for s in inside], list(goal.values())) < 1
+    even = mixing.mix(many.where("source LIKE 'h%' AND source <> 'hot'").unionByName(many.select("doc_id", F.concat(F.lit("x"), F.col("doc_id") % 100).alias("source"))), block=1)
+    ends = [r.source for r in even.where("within_target").orderBy("position").collect()]
+    sizes = Counter(r.source for r in even.select("source").collect())
+    assert len(sizes) > 255 and deviation([list(sizes).index(s) for s in ends], [n**0.7 for n in sizes.values()]) < 1
+    monkeypatch.setattr(mixing, "BROADCAST_BLOCKS", 0)
+    again = mixing.mix(many, {"hot": 1.0, "named": 0.5, "other": 0.001}, block=1, max_sources=3)
+    assert {(r.doc_id, r.position) for r in again.collect()} == {(r.doc_id, r.position) for r in got}
+
+
 # 3 quality rules
 
 
