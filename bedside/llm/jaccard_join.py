@@ -248,8 +248,13 @@ def may_link(a: Column, n: Column, b: Column, m: Column, threshold: int) -> Colu
     return F.when(judged, (100 + threshold) * most >= threshold * (n + m)).otherwise(100 * F.least(n, m) >= threshold * F.greatest(n, m))
 
 
+def row_key() -> Column:
+    """Equal for rows of equal doc_id and text."""
+    return F.xxhash64("doc_id", "text")
+
+
 def shingle_table(docs: DataFrame, n: int, threshold: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for empty sets), the set's bit map and keys."""
+    """doc_id, row_key, n_shingles, set_id (null for empty sets), the set's bit map and keys."""
 
     def make() -> Callable[[list[str]], dict[str, pa.Array]]:
         shingles, classes = Shingler(n), Classes(threshold)
@@ -270,7 +275,8 @@ def shingle_table(docs: DataFrame, n: int, threshold: int) -> DataFrame:
 
         return work
 
-    return map_text(docs, ["doc_id"], "text", make, "n_shingles bigint, set_id bigint, bits array<bigint>, keys array<bigint>")
+    keyed = docs.select("doc_id", "text", row_key().alias("row_key"))
+    return map_text(keyed, ["doc_id", "row_key"], "text", make, "n_shingles bigint, set_id bigint, bits array<bigint>, keys array<bigint>")
 
 
 def set_id(s: np.ndarray) -> int:
@@ -278,9 +284,15 @@ def set_id(s: np.ndarray) -> int:
 
 
 def texts_of(sets: DataFrame, table: DataFrame, docs: DataFrame) -> DataFrame:
-    """set_id and a text that has this set, from one document for each."""
-    one = table.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")).join(sets, "set_id")
-    return written(docs.select("doc_id", "text").join(one, "doc_id").select("set_id", "text"), "texts")
+    """set_id and a text that has this set, from one row for each; one with a doc_id if there is any."""
+    least = F.min(F.when(F.col("doc_id").isNotNull(), F.col("row_key")))
+    rows = table.where("set_id IS NOT NULL").groupBy("set_id").agg(least.alias("named"), F.min("row_key").alias("any"))
+    one = rows.join(sets, "set_id").select("set_id", F.coalesce("named", "any").alias("row_key"), F.col("named").isNotNull().alias("has_id"))
+    keyed = docs.select("doc_id", "text", row_key().alias("row_key"))
+    named = keyed.where("doc_id IS NOT NULL").join(one.where("has_id"), "row_key").select("set_id", "text")
+    # Copies without a doc_id can be many under one key: one of each partition is dealt.
+    unnamed = keyed.where("doc_id IS NULL").groupBy("row_key").agg(F.min("text").alias("text")).join(one.where("NOT has_id"), "row_key").select("set_id", "text")
+    return written(named.unionByName(unnamed), "texts")
 
 
 def walked(cells: DataFrame, texts: DataFrame, n: int, threshold: int, pivoted: bool) -> DataFrame:
@@ -295,7 +307,7 @@ def walked(cells: DataFrame, texts: DataFrame, n: int, threshold: int, pivoted:
         for _, i, side, root, text in held:
             if i not in known:
                 s = shingles(text or "")
-                if set_id(s) == i:  # another row may have the same doc_id
+                if set_id(s) == i:  # another row may have the same key
                     known[i] = (s, side, root)
         ids = list(known)
         sets, sides, roots = ([known[i][k] for i in ids] for k in range(3))
@@ -456,8 +468,8 @@ def extended(roots: DataFrame, links: DataFrame) -> DataFrame:
     return written(joined.unionByName(later.join(roots.select("node"), "node", "left_anti")), "roots")
 
 
-def link_components(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id of its component) of each row of ``docs``."""
+def linked_rows(docs: DataFrame, n: int, threshold: int) -> DataFrame:
+    """doc_id, row_key, n_shingles, set_id and root (of the set's component; null for empty sets) of each row."""
     table = written(shingle_table(docs, n, threshold), "sets")
     spread = table.where("set_id IS NOT NULL").select(F.explode("keys").alias("key"), "set_id")
     keys = written(spread.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot < last").select("key", "pivot"), "keys")
@@ -475,21 +487,30 @@ def link_components(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFra
     remove_written(members, keys)
     if more is not None:
         roots = extended(roots, more)
-    named = table.select("doc_id", "n_shingles", "set_id").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
+    labelled = table.select("doc_id", "row_key", "n_shingles", "set_id").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
+    return labelled.select("doc_id", "row_key", "n_shingles", "set_id", F.coalesce("root", "set_id").alias("root"))
+
+
+def link_components(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id of its component) of each row of ``docs``."""
+    named = linked_rows(docs, n, threshold).select("doc_id", "n_shingles", "root")
     # Rows of one component can be a third of all: only its least doc_id is gathered, then joined back.
     least = written(named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
     return named.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
-    """One document of each component, the one of the smallest doc_id; columns as they came.
+    """One row of each component; columns as they came.
 
-    Of repeated rows (same doc_id and text) one stays; blank texts all stay.
+    It is the row of the smallest doc_id (null ones come last), then of the smallest
+    set_id. Of repeated rows (same doc_id and text) one stays; blank texts all stay.
     """
-    found = link_components(docs.select("doc_id", "text"), n, threshold)
-    drop = written(found.where("component_id <> doc_id").select("doc_id").distinct(), "dropped")
-    kept = docs.join(drop, "doc_id", "left_anti")
-    words = F.col("text").rlike(WORD_PATTERN)
-    copy = F.row_number().over(Window.partitionBy("doc_id", "_text_hash").orderBy("_text_hash"))
-    marked = kept.withColumn("_text_hash", F.xxhash64("text")).withColumn("_copy", copy)
-    return marked.where((F.col("_copy") == 1) | ~F.coalesce(words, F.lit(False))).select(*docs.columns)
+    found = linked_rows(docs.select("doc_id", "text"), n, threshold).where("root IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "set_id", "row_key")).alias("first")
+    chosen = written(found.groupBy("root").agg(first).select(F.col("first.row_key").alias("_row_key")), "chosen")
+    words = F.coalesce(F.col("text").rlike(WORD_PATTERN), F.lit(False))
+    copy = F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key"))
+    # One copy is taken in each partition already: there can be very many of one row.
+    single = docs.where(words).withColumn("_row_key", row_key()).withColumn("_copy", copy).where("_copy = 1").drop("_copy")
+    kept = single.join(chosen, "_row_key", "left_semi")
+    return kept.select(*docs.columns).unionByName(docs.where(~words))

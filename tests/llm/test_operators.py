@@ -418,6 +418,32 @@ def test_jaccard_keeps_one(spark, docs, rows, empty):
     assert jaccard_join.link_components(empty).count() == 0
 
 
+def test_jaccard_rows_of_one_or_no_id(spark):
+    """Ids with several texts, and rows without an id: one row of each component stays."""
+    rng = random.Random(8)
+
+    def near(text, k):
+        return " ".join([*text.split()[:-k], *(f"new{k}x{i}" for i in range(k))])
+
+    a, b, c, d, e, f = (data.prose(rng, 150) for _ in range(6))
+    rows = [(1, a), (5, near(a, 2)), (5, b)]  # b has no other row
+    rows += [(7, c), (7, near(c, 2)), (8, near(c, 3))]  # the least id has two near texts
+    rows += [(9, d), *[(None, d)] * 5, (None, near(d, 2))]
+    rows += [*[(None, e)] * 4, (None, near(e, 2))]  # no row has an id
+    rows += [(20, near(f, 6)), (None, f), (21, " ".join(["head"] * 6 + f.split()[6:]))]  # tied only by a row without id
+    rows += [(None, None), (None, " "), (30, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = Counter((r.doc_id, r.text) for r in jaccard_join.keep_one(df, 3, 90).collect())
+    assert kept[1, a] == 1 and kept[5, b] == 1 and (5, near(a, 2)) not in kept
+    assert sum(k for (i, _), k in kept.items() if i in (7, 8)) == sum(k for (i, _), k in kept.items() if i == 7) == 1
+    assert kept[9, d] == 1 and kept[20, near(f, 6)] == 1
+    assert sum(k for (i, x), k in kept.items() if i is None and x in (e, near(e, 2))) == 1
+    assert kept[None, None] == kept[None, " "] == kept[30, ""] == 1
+    assert sum(kept.values()) == 9
+    linked = {(r.doc_id, r.component_id) for r in jaccard_join.link_components(df, 3, 90).collect()}
+    assert {(20, 20), (21, 20), (None, 20), (None, 9), (8, 7)} <= linked
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(400 + i, 401 + i) for i in range(50)] + [(900, 900)]
