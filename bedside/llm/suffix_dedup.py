@@ -12,8 +12,8 @@ and rank several times over; so positions are sampled by content first:
 2. The others are ranked anew at a longer extent: all the windows that an anchor
    stands for. Where all anchors of a rank agree in it, all those windows repeat.
 3. What is left (edges of repeats) is ranked past the threshold: the fingerprint of
-   each whole window, once per distinct extent. Anchors of very many extents are
-   regrouped by what windows of neighbouring offsets have in common.
+   each whole window, once per distinct extent. Extents of an anchor are ranked in one
+   task; where they are very many, Spark counts their windows' fingerprints instead.
 4. Windows that repeat become spans of their documents.
 
 Defined cases: a null text is empty; texts shorter than ``length`` lose nothing;
@@ -24,12 +24,11 @@ kept as it is; an empty table gives no rows; input columns named like the result
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedside.llm.common import slices, written
@@ -39,8 +38,10 @@ LENGTH = 200
 GRAM = 64
 #: Bytes that are ranked at a time; positions are packed in 20 bits.
 PIECE, PACKED = 1 << 18, 20
-#: Anchors of more distinct extents than this are regrouped by BLOCK offsets.
-MANY, BLOCK = 4_096, 16
+#: Anchors of more distinct extents than this aren't gathered in one task.
+MANY = 4_096
+#: Window fingerprints in one batch, about.
+MARKS = 200_000
 #: Extents whose windows are ranked at a time.
 EXTENTS = 10_000
 ANCHORS = "gram bigint, extent bigint, row_key bigint, pos bigint, low int, high int"
@@ -147,33 +148,48 @@ def anchor_table(docs: DataFrame, length: int) -> DataFrame:
 
 
 def extents(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Bytes of the wanted extents: key, gram, extent, low, high, bytes. ``wanted``: one row of the corpus for each extent."""
+    """Bytes of the wanted extents: key, gram, extent, low, high, bytes. ``wanted``: one row of the corpus for each extent.
+
+    Extents of an anchor of many have a row for each window instead: its fingerprint
+    as key, its offset as low and high, and no bytes.
+    """
+    names = ("key", "gram", "extent", "low", "high", "bytes")
+
+    def made(columns: list) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(names))
+
+    def windows(marks: list[tuple]) -> pa.RecordBatch:
+        key, gram, extent, offset = (np.concatenate(c) for c in zip(*marks))
+        return made([key, gram, extent, offset, offset, [None] * len(key)])
     per_row = wanted.groupBy("row_key").agg(F.collect_list(F.struct("gram", "extent", "pos", "low", "high", "many")).alias("wanted"))
     rows = docs.join(per_row, "row_key").select("text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1_000_000):
             data, bounds = text_buffers(batch["text"])
-            out: dict[str, list] = {n: [] for n in ("key", "gram", "extent", "low", "high", "bytes")}
+            out: list[tuple] = []
+            marks: list[tuple] = []
+            n_marks = 0
             for row, items in enumerate(batch["wanted"].to_pylist()):
-                text = data[bounds[row] : bounds[row + 1]].tobytes()
+                text = data[bounds[row] : bounds[row + 1]]
                 for w in items:
-                    lows = [w["low"]] if not w["many"] else [w["low"], *range((w["low"] // BLOCK + 1) * BLOCK, w["high"] + 1, BLOCK)]
-                    for low, nxt in zip(lows, [*lows[1:], w["high"] + 1]):
-                        high = nxt - 1
-                        key = w["gram"]
-                        if w["many"]:
-                            # The bytes that all windows of this block of offsets share.
-                            to = low // BLOCK * BLOCK
-                            core = text[w["pos"] - to : w["pos"] - to - BLOCK + 1 + length]
-                            key = int.from_bytes(hashlib.blake2b(core, digest_size=8, person=to.to_bytes(2, "big")).digest(), "big", signed=True)
-                        out["key"].append(key)
-                        out["gram"].append(w["gram"])
-                        out["extent"].append(w["extent"])
-                        out["low"].append(low)
-                        out["high"].append(high)
-                        out["bytes"].append(text[w["pos"] - high : w["pos"] - low + length])
-            yield pa.RecordBatch.from_arrays([pa.array(out["key"], pa.int64()), pa.array(out["gram"], pa.int64()), pa.array(out["extent"], pa.int64()), pa.array(out["low"], pa.int32()), pa.array(out["high"], pa.int32()), pa.array(out["bytes"], pa.binary())], names=list(out))
+                    low, high = w["low"], w["high"]
+                    part = text[w["pos"] - high : w["pos"] - low + length]
+                    if not w["many"]:
+                        out.append((w["gram"], w["gram"], w["extent"], low, high, part.tobytes()))
+                        continue
+                    n = high - low + 1
+                    mark = fingerprint(grams(part), np.arange(n), np.full(n, length)).view(np.int64)
+                    marks.append((mark, np.full(n, w["gram"]), np.full(n, w["extent"]), np.arange(high, low - 1, -1, dtype=np.int32)))
+                    n_marks += n
+                    if n_marks >= MARKS:
+                        yield windows(marks)
+                        marks, n_marks = [], 0
+            if out:
+                yield made(list(zip(*out)))
+            if marks:
+                yield windows(marks)
 
     return rows.mapInArrow(run, "key bigint, gram bigint, extent bigint, low int, high int, bytes binary")
 
@@ -225,6 +241,20 @@ def repeated_offsets(rows: DataFrame, length: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "gram bigint, extent bigint, low int, high int")
 
 
+def repeated_windows(rows: DataFrame) -> DataFrame:
+    """As ``repeated_offsets`` for rows of one window each: fingerprints are counted, and none is gathered under its key."""
+    counted = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("extent").alias("a"), F.max("extent").alias("b"))
+    twice = written(counted.where("a < b").select("key", "n"), "twice")
+    # There are at most 1 / MANY as many common fingerprints as rows.
+    common = F.broadcast(twice.where(F.col("n") > MANY).select("key"))
+    others = rows.join(common, "key", "left_anti").join(twice.where(F.col("n") <= MANY).select("key"), "key", "left_semi")
+    found = rows.join(common, "key", "left_semi").unionByName(others).select("gram", "extent", "low")
+    # Neighbouring offsets of an extent have the same difference from their rank.
+    rank = F.row_number().over(Window.partitionBy("gram", "extent").orderBy("low"))
+    runs = found.withColumn("run", F.col("low") - rank).groupBy("gram", "extent", "run").agg(F.min("low").alias("low"), F.max("low").alias("high"))
+    return runs.select("gram", "extent", "low", "high")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """row_key, start, end (bytes) of repeated windows, joined within an anchor. ``docs``: row_key, text."""
     table = written(anchor_table(docs, length), "anchors")
@@ -237,7 +267,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     kinds = written(kinds.select("gram", "extent", "n", "one.*"), "extents")
     many = written(kinds.groupBy("gram").count().where(F.col("count") > MANY).select("gram", F.lit(True).alias("many")), "many")
     wanted = kinds.join(many, "gram", "left").withColumn("many", F.coalesce("many", F.lit(False)))
-    edges = repeated_offsets(extents(docs, wanted, length), length)
+    ranked = extents(docs, wanted, length)
+    if many.isEmpty():
+        edges = repeated_offsets(ranked, length)
+    else:
+        ranked = written(ranked, "ranked")
+        edges = repeated_offsets(ranked.where("bytes IS NOT NULL"), length).unionByName(repeated_windows(ranked.where("bytes IS NULL")))
     copies = kinds.where("n > 1").select("gram", "extent", "low", "high")
     offsets = written(edges.unionByName(copies), "offsets")
     found = mixed.select("gram", "extent", "row_key", "pos").join(offsets, ["gram", "extent"]).select("row_key", "pos", "low", "high")

@@ -67,6 +67,25 @@ def test_suffix_dedup_regroups_common_anchors(docs, rows, monkeypatch):
     assert dedup_rows(docs.select("doc_id", "text")) == dedup_expected(rows)
 
 
+def test_suffix_dedup_gathers_no_common_passage(spark, monkeypatch):
+    """A passage in different contexts: no task gets more than MANY extents under one key."""
+    monkeypatch.setattr(suffix_dedup, "MANY", 8)
+    monkeypatch.setattr(suffix_dedup, "MARKS", 500)
+    rng = random.Random(6)
+    passage = data.prose(rng, 60)
+    rows = [(i, data.prose(rng, 40) + passage[: 195 + i] + data.prose(rng, 40)) for i in range(40)]
+    most = []
+    gather = suffix_dedup.repeated_offsets
+
+    def watched(ranked, length):
+        most.append(ranked.groupBy("key").count().agg(F.max("count")).first()[0] or 0)
+        return gather(ranked, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_offsets", watched)
+    assert dedup_rows(spark.createDataFrame(rows, "doc_id long, text string")) == dedup_expected(rows)
+    assert len(most) == 1 and most[0] <= 8
+
+
 def test_suffix_dedup_empty_and_names(spark, empty):
     assert dedup_rows(empty) == []
     odd = spark.createDataFrame([(None, "q" * 300, 1, 1), (None, None, 2, 2)], "doc_id long, text string, spans int, kept int")
