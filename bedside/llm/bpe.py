@@ -15,14 +15,13 @@ from __future__ import annotations
 
 import json
 import re
-import struct
 import unicodedata
-from collections import deque
 from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from bedside.llm.common import map_text
@@ -30,9 +29,11 @@ from bedside.llm.common import map_text
 #: A rank above all ranks: no such pair.
 NO_PAIR = np.iinfo(np.int64).max
 #: Entries of a task's table of encoded chunks; beyond it the table starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 #: Symbols that one flat array holds at most, if a single word isn't longer.
 FLAT_SYMBOLS = 1_000_000
+#: Bytes of text that are encoded at a time, about.
+SLICE_BYTES = 2_000_000
 #: Below this code point, lower case included, the classes of Python and of the library agree and nothing composes.
 PLAIN_BELOW = 0x180
 
@@ -72,16 +73,41 @@ def plain_pattern() -> re.Pattern:
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
 
 
-class Table(dict):
-    """A table that notes the keys it lacks."""
+class Numbers(dict):
+    """Numbers of keys; keys that it lacks are noted and read as -1."""
 
-    def __init__(self, *args):
-        super().__init__(*args)
-        self.missing: set[str] = set()
+    def __init__(self):
+        super().__init__()
+        self.missing: dict[str, None] = {}
 
-    def __missing__(self, key: str) -> bytes:
-        self.missing.add(key)
-        return b""
+    def __missing__(self, key: str) -> int:
+        self.missing[key] = None
+        return -1
+
+
+class Pieces:
+    """Piece lists in one growing flat array, by their number."""
+
+    def __init__(self):
+        self.flat = np.zeros(0, dtype=np.uint32)
+        self.counts = np.zeros(0, dtype=np.int64)
+        self.starts = np.zeros(0, dtype=np.int64)
+
+    def append(self, flat: np.ndarray, counts: np.ndarray) -> None:
+        self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(counts) - counts]
+        self.counts = np.r_[self.counts, counts]
+        self.flat = np.concatenate([self.flat, flat])
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists of these numbers one after another, and the length of each."""
+        counts = self.counts[numbers]
+        return self.flat[spread(self.starts[numbers], counts)], counts
+
+
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of each run, one run after another."""
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(int(counts.sum()))
 
 
 class WordBpe:
@@ -106,17 +132,24 @@ class WordBpe:
         self.pieces = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for piece, i in [*vocab.items(), *self.special.items()]:
             self.pieces[i] = piece
+        self.piece_array = pa.array(self.pieces, pa.string())
         self.library = Tokenizer.from_file(path)
         self.bytes_of = {c: b for b, c in enumerate(chars)}
         self.pattern = plain_pattern()
         self.separators = re.compile("[\x1c-\x1f]")
         self.other = re.compile(f"[^\x00-{chr(PLAIN_BELOW - 1)}]")
-        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        marks = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
+        self.marks = re.compile(f"({marks})") if marks else None
+        #: Texts with these aren't cut at white space alone.
+        self.odd = "|".join(["[\x1c-\x1f]", *map(re.escape, self.special)])
         self._forget()
 
     def _forget(self) -> None:
-        self.words: dict[str, bytes] = {}
-        self.cache = Table({k: np.array([v], dtype="<u4").tobytes() for k, v in self.special.items()})
+        self.words, self.word_pieces = Numbers(), Pieces()
+        self.cache, self.chunk_pieces = Numbers(), Pieces()
+        self.cache.update(zip(self.special, range(len(self.special))))
+        ids = np.array(list(self.special.values()), dtype=np.uint32)
+        self.chunk_pieces.append(ids, np.ones(len(ids), dtype=np.int64))
 
     def chunks(self, text: str) -> list[str]:
         """The text cut at white space, where no pre-token reaches across; special strings stand alone."""
@@ -130,8 +163,9 @@ class WordBpe:
 
     def split(self, chunk: str) -> list[str]:
         """Normalised pre-tokens of one chunk."""
-        if not self.other.search(chunk):
-            return self.pattern.findall(chunk.lower())
+        if chunk.isascii() or not self.other.search(chunk):
+            low = chunk.lower()
+            return [low] if low.isalpha() else self.pattern.findall(low)
         # Rare scripts: the library's own Unicode tables decide.
         said = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk))
         return [bytes(self.bytes_of[c] for c in w).decode("utf-8") for w, _ in said]
@@ -141,21 +175,20 @@ class WordBpe:
         at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
         return np.where(self.keys[at] == want, self.ranks[at], NO_PAIR)
 
-    def merge(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as little-endian 32-bit integers, by batched merge rounds."""
-        out: list[bytes] = []
+    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one flat array and how many each word has, by batched merge rounds."""
         blobs = [w.encode("utf-8") for w in words]
-        at = 0
+        done, at = [], 0
         while at < len(blobs):
             to, held = at, 0
             while to < len(blobs) and (to == at or held + len(blobs[to]) <= FLAT_SYMBOLS):
                 held += len(blobs[to])
                 to += 1
-            out += self._merge_flat(blobs[at:to])
+            done.append(self._merge_flat(blobs[at:to]))
             at = to
-        return out
+        return np.concatenate([flat for flat, _ in done]), np.concatenate([counts for _, counts in done])
 
-    def _merge_flat(self, blobs: list[bytes]) -> list[bytes]:
+    def _merge_flat(self, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(b) for b in blobs], dtype=np.int64)
         flat = np.frombuffer(b"".join(blobs), dtype=np.uint8)
         sym = self.inner[flat]
@@ -199,42 +232,79 @@ class WordBpe:
                 rank[near] = self._rank(sym[near], sym[near + 1])
         word, sym = np.concatenate(done_word), np.concatenate(done_sym)
         order = np.argsort(word, kind="stable")
-        data = sym[order].astype("<u4").tobytes()
-        cut = np.r_[0, np.cumsum(np.bincount(word, minlength=len(blobs)))] * 4
-        cut = cut.tolist()
-        return [data[a:b] for a, b in zip(cut, cut[1:])]
+        return sym[order].astype(np.uint32), np.bincount(word, minlength=len(blobs)).astype(np.int64)
 
-    def learn(self, texts: list[list[str]], merge: Callable[[list[str]], list[bytes]] | None = None) -> dict[str, bytes]:
-        """The table of encoded chunks, completed for ``texts``: each new pre-token is merged once."""
+    def library_merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``merge``, by the library's own model."""
+        tokens, chars = self.library.model.tokenize, {b: c for c, b in self.bytes_of.items()}
+        ids: list[int] = []
+        counts = []
+        for w in words:
+            made = tokens(w.encode("utf-8").decode("latin-1").translate(chars))
+            ids += [t.id for t in made]
+            counts.append(len(made))
+        return np.array(ids, dtype=np.uint32), np.array(counts, dtype=np.int64)
+
+    def learn(self, chunks: list[str], merge: Callable | None = None) -> None:
+        """Complete the table for these chunks, new ones all: each new pre-token is merged once."""
+        split = [self.split(c) for c in chunks]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        flat = [w for words in split for w in words]
+        numbers = np.fromiter(map(self.words.__getitem__, flat), np.int64, len(flat))
+        if self.words.missing:
+            new, self.words.missing = list(self.words.missing), {}
+            self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+            self.word_pieces.append(*(merge or self.merge)(new))
+            lacks = np.flatnonzero(numbers < 0)
+            numbers[lacks] = [self.words[flat[i]] for i in lacks]
+        ids, counts = self.word_pieces.gather(numbers)
+        ends = np.r_[0, np.cumsum(counts)][np.cumsum(sizes)]
+        self.cache.update(zip(chunks, range(len(self.cache), len(self.cache) + len(chunks))))
+        self.chunk_pieces.append(ids, np.diff(np.r_[0, ends]))
+
+    def chunked(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """All chunks of texts without nulls; first chunk and number of chunks of each text."""
+        cut = pc.utf8_split_whitespace(texts)
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
+        offsets = np.asarray(cut.offsets).astype(np.int64)
+        chunks = cut.flatten()
+        starts, counts = offsets[:-1] - offsets[0], np.diff(offsets)
+        if len(odd):
+            own = [self.chunks(texts[i].as_py()) for i in odd.tolist()]
+            counts[odd] = list(map(len, own))
+            starts[odd] = len(chunks) + np.cumsum(counts[odd]) - counts[odd]
+            chunks = pa.concat_arrays([chunks, pa.array([c for words in own for c in words], pa.string())])
+        return chunks, starts, counts
+
+    def encode(self, texts: pa.Array | list[str], merge: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one flat array, and how many each text has; nulls count as empty."""
+        texts = pc.fill_null(pa.array(texts, pa.string()), "") if isinstance(texts, list) else pc.fill_null(texts, "")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(self.cache) > CACHE_ENTRIES:
             self._forget()
-        for words in texts:
-            deque(map(self.cache.__getitem__, words), maxlen=0)
+        chunks, starts, sizes = self.chunked(texts)
+        coded = chunks.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.cache.__getitem__, distinct), np.int64, len(distinct))
         if self.cache.missing:
-            new, self.cache.missing = list(self.cache.missing), set()
-            split = [self.split(c) for c in new]
-            words, pre = self.words, list(set().union(*split).difference(self.words))
-            if pre:
-                words.update(zip(pre, (merge or self.merge)(pre)))
-            self.cache.update((c, words[w[0]] if len(w) == 1 else b"".join([words[x] for x in w])) for c, w in zip(new, split))
-        return self.cache
-
-    def encode(self, texts: list[str], merge: Callable[[list[str]], list[bytes]] | None = None) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        cut = [self.chunks(t) for t in texts]
-        ids = self.learn(cut, merge).__getitem__
-        return [b"".join(map(ids, words)) for words in cut]
-
-    def library_merge(self, words: list[str]) -> list[bytes]:
-        """As ``merge``, by the library's own model."""
-        tokens, chars = self.library.model.tokenize, {b: c for c, b in self.bytes_of.items()}
-        as_chars = [w.encode("utf-8").decode("latin-1").translate(chars) for w in words]
-        return [struct.pack(f"<{len(t)}I", *[x.id for x in t]) for t in map(tokens, as_chars)]
-
-    def decode(self, ids: list[int]) -> str:
-        """The pieces joined by spaces: the vocabulary names no decoder of its own."""
-        pieces = self.pieces
-        return " ".join([pieces[i] for i in ids])
+            new, self.cache.missing = list(self.cache.missing), {}
+            lacks = np.flatnonzero(numbers < 0)
+            first = len(self.cache)
+            self.learn(new, merge)
+            numbers[lacks] = np.arange(first, first + len(new))
+        codes = np.asarray(coded.indices)[spread(starts, sizes)]
+        ids, counts = self.chunk_pieces.gather(numbers[codes])
+        ends = np.r_[0, np.cumsum(counts)][np.cumsum(sizes)]
+        return ids, np.diff(np.r_[0, ends])
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The pieces of each list joined by spaces: the vocabulary names no decoder of its own."""
+        ids = pa.concat_arrays([ids])  # offsets from 0, no nulls beneath
+        pieces = self.piece_array.take(ids.flatten())
+        counts = pc.fill_null(pc.list_value_length(ids), 0)
+        offsets = pa.array(np.r_[0, np.cumsum(counts.to_numpy(zero_copy_only=False))].astype(np.int32))
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, pieces), " ")
 
 
 @lru_cache(maxsize=2)
@@ -250,10 +320,9 @@ def vocabulary_size(path: str) -> int:
     return max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) + 1
 
 
-def _ids_array(data: list[bytes]) -> pa.Array:
-    offsets = np.r_[0, np.cumsum([len(d) // 4 for d in data])].astype(np.int32)
-    values = np.frombuffer(b"".join(data), dtype="<u4").astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+def _ids_array(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    offsets = np.r_[0, np.cumsum(counts)].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
 
 
 def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
@@ -263,9 +332,9 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str
 
     def make():
         words = coder(path)
-        return lambda texts: {ids: _ids_array(words.encode(texts))}
+        return lambda texts: {ids: _ids_array(*words.encode(texts))}
 
-    return map_text(df, keep, text, make, f"{ids} array<int>", 2_000_000)
+    return map_text(df, keep, text, make, f"{ids} array<int>", SLICE_BYTES, as_array=True)
 
 
 def decode(df: DataFrame, path: str | None = None, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -277,8 +346,9 @@ def decode(df: DataFrame, path: str | None = None, ids: str = "ids", decoded: st
     def run(batches):
         words = coder(path)
         for batch in batches:
-            texts = [words.decode(x or []) for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k)) for k in keep), pa.array(texts, pa.string())], names=[*keep, decoded])
+            texts = words.decode(batch.column(batch.schema.get_field_index(ids)))
+            kept = [batch.column(batch.schema.get_field_index(k)) for k in keep]
+            yield pa.RecordBatch.from_arrays([*kept, texts], names=[*keep, decoded])
 
     return df.select(*keep).mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), f"{decoded} string"]))
 
@@ -291,11 +361,10 @@ def round_trip(df: DataFrame, path: str | None = None, text: str = "text", keep:
     def make():
         words = coder(path)
 
-        def work(texts: list[str]) -> dict[str, pa.Array]:
-            ids = _ids_array(words.encode(texts))
-            values, cut = ids.values.to_pylist(), ids.offsets.to_pylist()
-            return {"ids": ids, "decoded": pa.array([words.decode(values[a:b]) for a, b in zip(cut, cut[1:])], pa.string())}
+        def work(texts: pa.Array) -> dict[str, pa.Array]:
+            ids = _ids_array(*words.encode(texts))
+            return {"ids": ids, "decoded": words.decode(ids)}
 
         return work
 
-    return map_text(df, keep, text, make, "ids array<int>, decoded string", 2_000_000)
+    return map_text(df, keep, text, make, "ids array<int>, decoded string", SLICE_BYTES, as_array=True)

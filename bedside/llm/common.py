@@ -47,14 +47,15 @@ def map_text(
     df: DataFrame,
     keep: list[str],
     text: str,
-    make: Callable[[], Callable[[list[str]], dict[str, pa.Array]]],
+    make: Callable[[], Callable[[list[str] | pa.Array], dict[str, pa.Array]]],
     schema: str,
     max_bytes: int = 4_000_000,
+    as_array: bool = False,
 ) -> DataFrame:
     """Run ``make()(texts)`` over slices of ``text`` and return ``keep`` plus its columns.
 
     ``make`` is called once per task, so tables a task needs are built there. Null
-    texts arrive as empty strings.
+    texts arrive as empty strings; with ``as_array`` texts are an Arrow array as it came.
     """
     names = [part.split()[0] for part in schema.split(", ")]
 
@@ -62,8 +63,8 @@ def map_text(
         with no_cycle_collection():
             work = make()
             for part in slices(batches, text, max_bytes):
-                texts = [t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()]
-                made = work(texts)
+                texts = part.column(part.schema.get_field_index(text))
+                made = work(texts if as_array else [t or "" for t in texts.to_pylist()])
                 kept = [part.column(part.schema.get_field_index(k)) for k in keep]
                 yield pa.RecordBatch.from_arrays([*kept, *(made[n] for n in names)], names=[*keep, *names])
 
@@ -73,12 +74,15 @@ def map_text(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where none is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir; local sessions without it get one of their own."""
     set_before = spark.sparkContext._jsc.sc().getCheckpointDir()
     shared = spark.conf.get("spark.checkpoint.dir", None) or (set_before.get() if set_before.isDefined() else None)
     if not shared:
         import tempfile
 
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+
         shared = tempfile.mkdtemp(prefix="bedside-checkpoint-")
         spark.sparkContext.setCheckpointDir(shared)
     return shared
