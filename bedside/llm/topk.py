@@ -9,8 +9,9 @@ per query; these few rows are merged by rank.
 Defined cases: vectors that are null, or hold a null or non-finite component, take no
 part; missing components of shorter vectors count 0; rows with the query's own id are
 no candidates; repeated query rows are searched each for itself; ties go to the
-smaller id; whole numbers beyond 2**28 count as 2**28, so that sums fit 64 bits; an
-empty table gives no rows.
+smaller id; scores are exact however large the components are: where sums may leave
+64 bits a block counts in Python integers, and a returned score beyond 64 bits is an
+error; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 QUERY_BLOCK, CANDIDATE_BLOCK = 2_048, 16_384
-LARGEST = 2**28
+#: Below this doubles have fractions; from it on all are whole.
+ALL_WHOLE = float(2**53)
 
 
 def usable(vector: Column) -> Column:
@@ -30,7 +32,14 @@ def usable(vector: Column) -> Column:
 
 
 def whole(vector: Column, scale: float) -> Column:
-    return F.transform(vector, lambda x: F.floor(F.least(F.greatest(F.lit(scale) * x.cast("double"), F.lit(-float(LARGEST))), F.lit(float(LARGEST)))).cast("long"))
+    """floor(scale * x) as doubles, which hold these whole numbers exactly; a product beyond all doubles is an error."""
+
+    def one(x: Column) -> Column:
+        y = F.lit(scale) * x.cast("double")
+        far = F.when(F.abs(y) < float("inf"), y).otherwise(F.raise_error(F.lit("a component is too large")).cast("double"))
+        return F.when(F.abs(y) < ALL_WHOLE, F.floor(y).cast("double")).otherwise(far)
+
+    return F.transform(vector, one)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -38,23 +47,34 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     if isinstance(rows, pa.ChunkedArray):
         rows = pa.concat_arrays(rows.chunks)
     sizes = np.diff(rows.offsets.to_numpy())
-    out = np.zeros((len(sizes), int(sizes.max(initial=0))), dtype=np.int64)
+    out = np.zeros((len(sizes), int(sizes.max(initial=0))))
     at = np.arange(out.shape[1])
     out[at[None, :] < sizes[:, None]] = rows.flatten().to_numpy()
     return out
 
 
+def _integers(queries: np.ndarray, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as 64-bit integers if no sum of products can leave them, else as Python integers."""
+    width = min(queries.shape[1], candidates.shape[1])
+    most = np.abs(queries[:, :width]).max(axis=0, initial=0) @ np.abs(candidates[:, :width]).max(axis=0, initial=0)
+    if most < 2**62 and max(np.abs(queries).max(initial=0), np.abs(candidates).max(initial=0)) < 2**62:
+        return queries.astype(np.int64), candidates.astype(np.int64)
+    exact = np.frompyfunc(int, 1, 1)
+    return exact(queries), exact(candidates)
+
+
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best scores, ties to the smaller id, best first."""
     if len(scores) > k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
+        place = len(scores) - k
+        least = np.sort(scores)[place] if scores.dtype == object else np.partition(scores, place)[place]
         at = np.flatnonzero(scores > least)
         ties = np.flatnonzero(scores == least)
         ties = ties[np.argsort(ids[ties], kind="stable")][: k - len(at)]
         at = np.r_[at, ties]
     else:
         at = np.arange(len(scores))
-    return at[np.lexsort((ids[at], -scores[at]))]
+    return np.array(sorted(at.tolist(), key=lambda i: (-scores[i], ids[i])), dtype=np.int64)
 
 
 def search_block(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
@@ -62,11 +82,12 @@ def search_block(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     out = {"query_row": [], "query_id": [], "vec_id": [], "score": []}
     if queries.num_rows and candidates.num_rows:
         ids = candidates["vec_id"].to_numpy()
-        values = np.ascontiguousarray(_matrix(candidates["vector"]).T)
+        terms, values = _integers(_matrix(queries["vector"]), _matrix(candidates["vector"]))
+        values = np.ascontiguousarray(values.T)
         # A posting list: where the term occurs (None: everywhere) and its values there.
         postings = [(None, v) if v.all() else (np.flatnonzero(v), v[v != 0]) for v in values]
-        terms = _matrix(queries["vector"])[:, : len(postings)]
-        scores = np.empty(len(ids), dtype=np.int64)
+        terms = terms[:, : len(postings)]
+        scores = np.empty(len(ids), dtype=values.dtype)
         for row, q, weights in zip(queries["query_row"].to_pylist(), queries["vec_id"].to_pylist(), terms):
             scores[:] = 0
             for t in np.flatnonzero(weights):

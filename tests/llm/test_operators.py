@@ -519,6 +519,19 @@ def test_top_k(spark, monkeypatch):
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Beyond 64 bits within a sum, and scores that differ in their last digit only."""
+    rows = [(50, [2.0**31, 1.0, 2.0**52]), (1, [2.0**31, 1.0, 0.0]), (2, [2.0**31, 2.0, 0.0]), (3, [-(2.0**31), 0.0, 0.0]), (4, [2.0**40, 0.0, -(2.0**19)]), (5, [0.0, 0.00390625, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = [math.floor(256 * x) for x in rows[0][1]]
+    want = sorted(((sum(a * math.floor(256 * x) for a, x in zip(q, v)), -i) for i, v in rows[1:]), reverse=True)
+    inside = df.where("vec_id NOT IN (1, 2, 3)")
+    got = [(r.score, -r.vec_id) for r in topk.search(inside, df.where("vec_id = 50")).orderBy("rank").collect()]
+    assert got == [w for w in want if w[1] in (-4, -5)]
+    with pytest.raises(Exception, match="(?i)overflow|too large|int64|convert"):
+        topk.search(df, df.where("vec_id = 50")).collect()
+
+
 def test_bit_maps_keep_linked_pairs():
     rng = np.random.default_rng(8)
     for threshold in (60, 80, 90):
