@@ -96,8 +96,8 @@ def fahrenheit(value: Column, conversion: Column) -> Column:
 
 
 def fraction(value: Column) -> Column:
-    """Percent to fraction (X16): values above 1 are percent."""
-    return F.when(value > 1, value / 100).otherwise(value)
+    """Percent to fraction (X16), whatever the value: a range rule drops what wasn't percent."""
+    return value / 100
 
 
 def age(birth: Column, at: Column) -> Column:
@@ -105,28 +105,31 @@ def age(birth: Column, at: Column) -> Column:
     return F.bround(F.least(F.greatest(F.datediff(at, birth) / 365.25, F.lit(0.0)), F.lit(89.0)), 2)
 
 
-def garbled_label(text: Column) -> Column:
-    """The last word of a label that was run into its unit."""
-    return F.when(F.startswith(text, F.lit("C ")), F.element_at(F.split(text, " "), -1)).otherwise(text)
+def garbled_label(text: Column, known: list[str]) -> Column:
+    """The last word of a label that was run into its unit (X14), if that word is a known label; a null label is empty."""
+    last = F.element_at(F.split(text, " "), -1)
+    return F.when(text.isNull(), "").when(F.startswith(text, F.lit("C ")) & last.isin(*known), last).otherwise(text)
 
 
 def min_max(value: Column, low: Column, high: Column) -> Column:
     return F.least(F.greatest((value - low) / (high - low + 1e-8), F.lit(0.0)), F.lit(1.0))  # X21
 
 
-def valid_samples(samples: Column, low: Column, high: Column, gain: Column, offset: Column, sentinels: tuple[float, ...] = (), offset_first: bool = False) -> Column:
-    """Scaled samples with NaN for sentinels and values out of range.
+def valid_samples(samples: Column, low: Column, high: Column, gain: Column, offset: Column, sentinels: tuple[float, float] | None = None, offset_first: bool = False) -> Column:
+    """Scaled samples with NaN for sentinels and for scaled values out of range.
 
-    One family of monitors scales raw * gain + offset, another gain * (raw + offset).
+    Raw samples at or below the first sentinel, or at or above the second, are missing.
+    A range with one bound only isn't applied. One family of monitors scales
+    raw * gain + offset, another gain * (raw + offset).
     """
     nan = F.lit(float("nan")).cast("float")
 
     def one(x: Column) -> Column:
-        bad = (x < low) | (x > high) | F.isnan(x)
-        for s in sentinels:
-            bad = bad | (x == s)
-        scaled = gain * (x + offset) if offset_first else x * gain + offset
-        return F.when(bad, nan).otherwise(scaled.cast("float"))
+        scaled = (gain * (x + offset) if offset_first else x * gain + offset).cast("float")
+        bad = F.isnan(x) | F.coalesce((scaled < low) | (scaled > high), F.lit(False))
+        if sentinels:
+            bad = bad | (x <= sentinels[0]) | (x >= sentinels[1])
+        return F.when(bad, nan).otherwise(scaled)
 
     return F.transform(samples, one)
 

@@ -24,14 +24,18 @@ def coverage(counts: DataFrame, n_entities: int | Column, thresholds: tuple[int,
     aggs = [F.count_if(inside >= t).alias(f"eligible_{t}") for t in thresholds]
     aggs += [F.round(F.count_if(inside >= t) / total, 4).alias(f"share_{t}") for t in thresholds]
     aggs += [F.coalesce(F.floor(F.percentile(inside, F.lit(0.5))), F.lit(0)).cast("bigint").alias("median_events"), F.coalesce(F.floor(F.percentile(inside, F.lit(0.95))), F.lit(0)).cast("bigint").alias("p95_events"), F.coalesce(F.sum(inside), F.lit(0)).alias("total_events")]
-    aggs += [F.count_if(F.col("part") == p).alias(f"any_{p}") for p in ("recent", "baseline")]
-    return counts.groupBy("var_id").agg(*aggs)
+    for p in ("recent", "baseline"):
+        n = F.when(F.col("part") == p, F.col("n"))
+        aggs += [F.count(n).alias(f"any_{p}"), F.coalesce(F.floor(F.percentile(n, F.lit(0.5))), F.lit(0)).cast("bigint").alias(f"median_{p}")]
+    return counts.groupBy("var_id").agg(*aggs).orderBy(F.desc(f"eligible_{thresholds[0]}"), "var_id")
 
 
 def split_coverage(counts: DataFrame, splits: DataFrame, by: list[str], least: int = 1) -> DataFrame:
     """Eligible entities per split and variable, with a row of all splits."""
     inside = counts.where(F.col("part") == "events").join(splits, by)
-    return inside.cube("split", "var_id").agg(F.count_if(F.col("n") >= least).alias("eligible"), F.grouping_id().alias("_g")).where(F.col("_g").isin(0, 2)).select(F.when(F.col("_g") == 2, "all").otherwise(F.col("split")).alias("split"), "var_id", "eligible")
+    sets = inside.groupingSets([[F.col("split"), F.col("var_id")], [F.col("var_id")]], "split", "var_id")
+    counted = sets.agg(F.count_if(F.col("n") >= least).alias("eligible"), F.grouping("split").alias("_all"))
+    return counted.select(F.when(F.col("_all") == 1, "all").otherwise(F.col("split")).alias("split"), "var_id", "eligible")
 
 
 def match_quality(deltas: DataFrame, by: list[str], delta: str = "delta_ms") -> DataFrame:
@@ -51,10 +55,15 @@ def position(event_ms: Column, start: Column, end: Column) -> Column:
 
 
 def cadence(samples: DataFrame, code: str, entity: list[str], t: str, first: int = 2000) -> DataFrame:
-    """Median positive step per code over each entity's first samples."""
+    """Median step per code (A21): of each entity's first samples the median positive step, then the median over entities.
+
+    Entities with less than three samples of a code aren't probed.
+    """
     w = Window.partitionBy(*entity, code).orderBy(t)
     stepped = samples.withColumns({"_n": F.row_number().over(w), "_d": F.col(t) - F.lag(t).over(w)})
-    return stepped.where((F.col("_n") <= first) & (F.col("_d") > 0)).groupBy(code).agg(F.count("*").alias("n_steps"), F.median("_d").alias("median_step"))
+    probed = stepped.where(F.col("_n") <= first).groupBy(*entity, code).agg(F.count("*").alias("_k"), F.median(F.when(F.col("_d") > 0, F.col("_d"))).alias("_m"))
+    m = F.col("_m")
+    return probed.where((F.col("_k") >= 3) & m.isNotNull()).groupBy(code).agg(F.count("*").alias("n_entities"), F.median(m).alias("median_step"), F.min(m).alias("least_step"), F.max(m).alias("greatest_step"))
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -69,6 +78,11 @@ def frequent(codes: DataFrame, names: DataFrame, code: str, most: int) -> DataFr
     return counts.join(names, code, "left")
 
 
+def ranked(df: DataFrame, order: list[Column], most: int) -> DataFrame:
+    """The first rows by several keys."""
+    return df.orderBy(*order).limit(most)
+
+
 def histogram_of_counts(events: DataFrame, entity: str, what: str) -> DataFrame:
     """Entities per number of distinct values."""
     return events.groupBy(entity).agg(F.count_distinct(what).alias("n_vars")).groupBy("n_vars").agg(F.count("*").alias("n_entities"))

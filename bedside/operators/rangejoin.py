@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,14 +14,20 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, by: list[str],
     return p.join(i, [*by, "_b"]).where(held).drop("_b")
 
 
-def best_overlap(left: DataFrame, right: DataFrame, by: list[str], bounds: tuple[str, str, str, str], key: list[str], order: list[str], least: int = 1) -> DataFrame:
+def best_overlap(left: DataFrame, right: DataFrame, by: list[str], bounds: tuple[str, str, str, str], key: list[str], order: list[str], bucket: int, least: int = 1) -> DataFrame:
     """Each left interval's right interval of largest overlap, the first in ``order`` of equal ones.
 
-    ``bounds`` names start and end of the left and of the right interval; overlaps under ``least`` don't match.
+    ``bounds`` names start and end of the left and of the right interval; overlaps under
+    ``least`` (1 at least) don't match. Intervals meet in time buckets, each pair in its first common one.
     """
     a, b, c, d = map(F.col, bounds)
     overlap = F.least(b, d) - F.greatest(a, c)
-    pairs = left.join(right, by).withColumn("overlap", overlap).where(F.col("overlap") >= least)
+
+    def spread(df: DataFrame, start: Column, end: Column) -> DataFrame:
+        return df.where(start <= end).withColumn("_b", F.explode(F.sequence(F.floor(start / bucket), F.floor(end / bucket))))
+
+    met = spread(left, a, b).join(spread(right, c, d), [*by, "_b"]).where(F.col("_b") == F.floor(F.greatest(a, c) / bucket)).drop("_b")
+    pairs = met.withColumn("overlap", overlap).where(F.col("overlap") >= least)
     place = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("overlap"), *order))
     return pairs.withColumn("_place", place).where("_place = 1").drop("_place")
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedside.functions.clean import label_clip
 from bedside.functions.timebase import align
 from bedside.operators.asof import as_of
+from bedside.operators.dedup import first_per
 from bedside.operators.segments import islands
 from bedside.schemas import SEGMENT_MS
 
@@ -24,21 +26,31 @@ def locate_windows(labels: DataFrame, axis: DataFrame, by: list[str], window_ms:
     return hi.withColumns({"seg_lo": F.when(ok, a["seg_idx"]), "seg_hi": F.when(ok, b["seg_idx"])}).drop("_lo", "_hi")
 
 
-def throttle(labels: DataFrame, by: list[str], t: str, valid: Column, interval_ms: int) -> DataFrame:
+def throttle(labels: DataFrame, by: list[str], t: str, valid: Column, interval_ms: int, order: list[str], spread: list[str] = []) -> DataFrame:  # noqa: B006
     """Labels at least ``interval_ms`` after the last one that was kept and valid.
 
-    What is kept depends on what was kept before, so a key's labels are folded in
-    order. A label with equal time follows the earlier row's fate.
+    Of labels at one time the first in ``order`` stays; rows that differ in ``spread`` are
+    of one label. What is kept depends on what was kept before, so a key's times stream
+    through one task in order; it holds the last kept time alone.
     """
-    points = labels.where(valid).groupBy(*by).agg(F.sort_array(F.collect_set(t)).alias("_t"))
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept"))
-
-    def step(acc: Column, x: Column) -> Column:
-        take = acc["last"].isNull() | (x - acc["last"] >= interval_ms)
-        return F.when(take, F.struct(x.alias("last"), F.concat(acc["kept"], F.array(x)).alias("kept"))).otherwise(acc)
-
-    kept = points.select(*by, F.explode(F.aggregate("_t", start, step)["kept"]).alias(t))
-    return labels.where(valid).join(kept, [*by, t], "left_semi")
+    once = first_per(labels.where(valid), [*by, t, *spread], order)
+    times = once.select(*by, t).distinct().repartition(*by).sortWithinPartitions(*by, t)
+
+    def kept(batches):
+        key, last = None, None
+        for batch in batches:
+            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
+            take = []
+            for i, row in enumerate(rows):
+                if key != row[:-1]:
+                    key, last = row[:-1], None
+                if last is None or row[-1] - last >= interval_ms:
+                    last = row[-1]
+                    take.append(i)
+            yield batch.take(pa.array(take, pa.int64()))
+
+    chosen = times.mapInArrow(kept, times.schema)
+    return once.join(chosen, [*by, t], "left_semi")
 
 
 def sample_index(events: DataFrame, axis: DataFrame, by: list[str], targets: list[int], window_ms: int, alignment: str = "end", clip: tuple[float | None, float | None] = (None, None), offsets_ms: tuple[int, ...] = (0,), interval_ms: int = 0, segment_ms: int = SEGMENT_MS, label_transform=None) -> DataFrame:
@@ -47,20 +59,24 @@ def sample_index(events: DataFrame, axis: DataFrame, by: list[str], targets: lis
     spread = labels.withColumn("offset_ms", F.explode(F.array(*(F.lit(o).cast("bigint") for o in offsets_ms)))).withColumn("time_ms", F.col("label_ms") + F.col("offset_ms"))
     found = locate_windows(spread, axis, by, window_ms, alignment, segment_ms).where("seg_lo IS NOT NULL")
     if interval_ms:
-        found = throttle(found, [*by, "var_id"], "label_ms", F.lit(True), interval_ms)
+        found = throttle(found, [*by, "var_id"], "label_ms", F.lit(True), interval_ms, ["value"], ["offset_ms"])
     value = label_transform(F.col("value")) if label_transform else F.col("value")
     return found.select(*by, "var_id", "label_ms", "offset_ms", value.alias("value"), "t_start", "t_end", "seg_lo", "seg_hi")
 
 
 def materialise(index: DataFrame, segments: DataFrame, by: list[str], waveform_transform=None) -> DataFrame:
-    """Samples with their signals by channel (M18, G10); arrays are read only for what the index names."""
+    """Samples with their signals by channel (M18, G10); arrays are read only for what the index names.
+
+    A window that reaches beyond its segments' samples is an error.
+    """
     keys = [*by, "label_ms", "var_id", "offset_ms"]
     wanted = index.withColumn("seg_idx", F.explode(F.sequence("seg_lo", "seg_hi")))
     rows = wanted.join(segments.select(*by, "seg_idx", "channel", "fs", "samples", F.col("time_ms").alias("seg_ms")), [*by, "seg_idx"])
     joined = rows.groupBy(*keys, "channel", "fs").agg(F.first("t_start").alias("t_start"), F.first("t_end").alias("t_end"), F.min("seg_ms").alias("base"), F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("seg_idx", "samples"))), lambda s: s["samples"])).alias("block"))
     first = F.round((F.col("t_start") - F.col("base")) * F.col("fs") / 1000).cast("int")
     n = F.round((F.col("t_end") - F.col("t_start")) * F.col("fs") / 1000).cast("int")
-    sliced = joined.withColumn("wave", F.slice("block", first + 1, n))
+    fits = F.assert_true((first >= 0) & (first + n <= F.size("block")), F.lit("a window reaches beyond its signal"))
+    sliced = joined.withColumn("wave", F.when(fits.isNull(), F.slice("block", first + 1, n)))
     waves = sliced.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("channel", "wave"))).alias("waveforms"))
     out = index.join(waves, keys)
     return out.withColumn("waveforms", waveform_transform(F.col("waveforms"))) if waveform_transform else out

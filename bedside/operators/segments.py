@@ -127,9 +127,9 @@ def events_in_segments(events: DataFrame, low: int, high: int) -> DataFrame:
 
 
 def step_changes(values: DataFrame, by: list[str], t: str, value: str, least: float = 0.5) -> DataFrame:
-    """Rows where a held value moves by more than ``least``, the first row included."""
+    """Rows where a held value moves by more than ``least``, the first row included (W6); missing values are skipped."""
     before = F.lag(value).over(Window.partitionBy(*by).orderBy(t))
-    held = values.where(F.col(value).isNotNull()).withColumn("_before", before)
+    held = values.where(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("_before", before)
     return held.where(F.col("_before").isNull() | (F.abs(F.col(value) - F.col("_before")) > least)).drop("_before")
 
 

@@ -65,12 +65,13 @@ def validate_parts(trajectory: DataFrame, axis: DataFrame, by: list[str] = ["ent
     return found.withColumn("errors", F.array_compact(F.array(*texts)))
 
 
-def part_summary(trajectory: DataFrame, by: list[str] = ["entity_id"], action_band: tuple[int, int] = (200, 299), onset: int = 399) -> DataFrame:  # noqa: B006
+def part_summary(trajectory: DataFrame, by: list[str] = ["entity_id"], action_band: tuple[int, int] = (200, 299), score_band: tuple[int, int] = (300, 306), onset: int = 307) -> DataFrame:  # noqa: B006
     """Counts and distinct variables per part, and flags of what the future would leak (A10)."""
     part, var = F.col("part"), F.col("var_id")
     aggs = [F.count_if(part == p).alias(f"n_{p}") for p in ("baseline", "recent", "events", "future")]
     aggs += [F.count_distinct(F.when(part == p, var)).alias(f"vars_{p}") for p in ("events", "future")]
-    aggs += [F.coalesce(F.bool_or((part == "future") & var.between(*action_band)), F.lit(False)).alias("has_future_actions"), F.coalesce(F.bool_or((part == "future") & (var == onset)), F.lit(False)).alias("has_future_onset")]
+    leaks = {"actions": var.between(*action_band), "scores": var.between(*score_band), "onset": var == onset}
+    aggs += [F.coalesce(F.bool_or((part == "future") & leak), F.lit(False)).alias(f"has_future_{name}") for name, leak in leaks.items()]
     return trajectory.groupBy(*by).agg(*aggs)
 
 

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bedside.functions.clean import fraction, mentions
+from bedside.functions.clean import finite, fraction, mentions
+from bedside.operators.dedup import first_per
 from bedside.operators.mapping import registry_side
 
 # Norepinephrine equivalents per unit of rate; vasopressin counts as a constant.
-DOSE_FACTORS = {"norepinephrine": 1.0, "epinephrine": 1.0, "dopamine": 0.01, "phenylephrine": 0.1, "vasopressin": None}
+DOSE_FACTORS = {"norepinephrine": 1.0, "epinephrine": 1.0, "dopamine": 0.01, "phenylephrine": 0.1 / 80, "vasopressin": None}
 VASOPRESSIN_DOSE = 0.1
-RATE_VAR, BOLUS_VAR, INFUSION_VAR, FIO2_VAR, PEEP_VAR, VENT_VAR = 200, 201, 202, 203, 204, 205
+RATE_VAR, INFUSION_VAR, BOLUS_VAR, FIO2_VAR, PEEP_VAR, VENT_VAR, URINE_VAR = 200, 201, 202, 203, 204, 205, 206
+# Ranges of what is kept.
+MOST_INFUSION, MOST_BOLUS = 2000, 5000
+RANGES = {FIO2_VAR: (0.21, 1.0), PEEP_VAR: (0, 30), URINE_VAR: (0, 2500)}
 
 
 def active(records: DataFrame, status: str = "status") -> DataFrame:
@@ -27,11 +31,14 @@ def vasopressor_rate(records: DataFrame, doses: DataFrame, by: list[str], start:
 
 
 def fluids(records: DataFrame, category: str = "category", word: str = "bolus") -> DataFrame:
-    """Bolus amounts and infusion rates (M7)."""
+    """Bolus amounts and infusion rates (M7); both need an amount above 0."""
     is_bolus = mentions(F.col(category), word)
     rest = [c for c in records.columns if c not in ("amount", "rate")]
-    bolus = records.where(is_bolus & (F.col("amount") > 0)).select(*rest, F.lit(BOLUS_VAR).alias("var_id"), F.col("amount").alias("value"))
-    return bolus.unionByName(records.where(~is_bolus & (F.col("rate") > 0)).select(*rest, F.lit(INFUSION_VAR).alias("var_id"), F.col("rate").alias("value")))
+    given = records.where((F.col("amount") > 0) & is_bolus.isNotNull())
+    bolus = is_bolus & (F.col("amount") <= MOST_BOLUS)
+    infusion = ~is_bolus & (F.col("rate") > 0) & (F.col("rate") <= MOST_INFUSION)
+    var, value = F.when(is_bolus, BOLUS_VAR).otherwise(INFUSION_VAR), F.when(is_bolus, F.col("amount")).otherwise(F.col("rate"))
+    return given.where(bolus | infusion).select(*rest, var.alias("var_id"), value.alias("value"))
 
 
 def ventilation(events: DataFrame, by: list[str]) -> DataFrame:
@@ -41,6 +48,10 @@ def ventilation(events: DataFrame, by: list[str]) -> DataFrame:
     return events.where(on).select(*by, "time_ms").distinct().withColumns({"var_id": F.lit(VENT_VAR), "value": F.lit(1.0)})
 
 
-def oxygen(events: DataFrame) -> DataFrame:
-    """FiO2 as a fraction."""
-    return events.withColumn("value", F.when(F.col("var_id") == FIO2_VAR, fraction(F.col("value"))).otherwise(F.col("value")))
+def charted(events: DataFrame, by: list[str]) -> DataFrame:
+    """FiO2 as a fraction, PEEP and urine output inside their ranges (M9, X16); the first of a time, then the least, stays."""
+    value = F.when(F.col("var_id") == FIO2_VAR, fraction(F.col("value"))).otherwise(F.col("value"))
+    inside = F.lit(False)
+    for var, (low, high) in RANGES.items():
+        inside = inside | ((F.col("var_id") == var) & F.col("value").between(low, high))
+    return first_per(events.withColumn("value", value).where(finite(F.col("value")) & inside), [*by, "time_ms", "var_id"], ["value"])

@@ -12,7 +12,7 @@ from bedside.schemas import HOUR_MS
 
 # Variables of the score's inputs and components.
 PAO2, CREATININE, BILIRUBIN, PLATELETS, GCS, MAP, NE_RATE, FIO2 = 14, 5, 6, 7, 108, 106, 200, 203
-RESP, COAG, LIVER, CARDIO, CNS, RENAL, ONSET = 301, 302, 303, 304, 305, 306, 399
+RESP, COAG, LIVER, CARDIO, CNS, RENAL, ONSET = 301, 302, 303, 304, 305, 306, 307
 #: Score ladders: (bound, score), tried in order; "below" or "from" the bound.
 BELOW = {PLATELETS: (COAG, ((20, 4), (50, 3), (100, 2), (150, 1))), GCS: (CNS, ((6, 4), (10, 3), (13, 2), (15, 1)))}
 FROM = {BILIRUBIN: (LIVER, ((12, 4), (6, 3), (1.2, 2))), CREATININE: (RENAL, ((5, 4), (3.5, 3), (2, 2), (1.2, 1)))}

@@ -31,19 +31,25 @@ def resolve_targets(registry: DataFrame, targets: list[int | str]) -> list[int]:
 
 
 def build_task(counts: DataFrame, entities: DataFrame, spec: TaskSpec, by: list[str]) -> DataFrame:
-    """Eligible entities (M16): any or all targets with enough events; per_target gives one cohort per variable."""
-    inside = counts.where((F.col("part") == "events") & F.col("var_id").isin(*spec.target_var_ids))
-    enough = F.col("n") >= spec.min_events_per_target
+    """Eligible entities (M16): any or all targets with enough events; per_target gives one cohort per variable.
+
+    An entity without events of a target has 0 of them, which is enough where 0 are asked for.
+    """
+    inside = counts.where((F.col("part") == "events") & F.col("var_id").isin(*spec.target_var_ids)).select(*by, "var_id", "n")
+    cells = entities.select(*by).withColumn("var_id", F.explode(F.array(*(F.lit(v) for v in spec.target_var_ids))))
+    met = cells.join(inside, [*by, "var_id"], "left").where(F.coalesce("n", F.lit(0)) >= spec.min_events_per_target)
     if spec.eligibility == "per_target":
-        return inside.where(enough).select(*by, "var_id")
-    met = inside.groupBy(*by).agg(F.count_if(enough).alias("n_met"))
+        return met.select(*by, "var_id")
     least = len(spec.target_var_ids) if spec.eligibility == "all" else 1
-    return entities.select(*by).join(met, by).where(F.col("n_met") >= least).select(*by)
+    return met.groupBy(*by).count().where(F.col("count") >= least).select(*by)
 
 
-def downstream_rows(splits: DataFrame, sizes: DataFrame, by: str, root: str) -> DataFrame:
-    """Rows of a split list (K6): directory, key, first and last segment."""
-    return splits.join(sizes, by).select("split", F.struct(F.concat_ws("/", F.lit(root), F.col(by)).alias("dir"), F.col(by).alias("id"), F.lit(0).alias("first"), F.col("n_seg").alias("last")).alias("row"))
+def downstream_rows(splits: DataFrame, sizes: DataFrame, by: str, patient: str, root: str) -> DataFrame:
+    """Rows of a split list (K6): directory, patient, first segment, number of segments, no onset (-1), control (0)."""
+    place = F.concat_ws("/", F.lit(root), F.col(by)).alias("dir")
+    n = F.coalesce("n_seg", F.lit(0)).cast("int").alias("n_seg")
+    rest = [F.lit(0).alias("first"), n, F.lit(-1).alias("onset"), F.lit(0).alias("label")]
+    return splits.join(sizes.select(by, "n_seg"), by, "left").select("split", place, F.col(patient).cast("string").alias("patient"), *rest)
 
 
 def named(counts: DataFrame, registry: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def points_in_intervals(spark, sf):
 @query(f"""WITH {STAYS}, {WAVES}, o AS (SELECT wave, stay, least(we, e) - greatest(ws, s) AS overlap FROM waves w JOIN stays t USING (pat))
 SELECT wave, stay, overlap FROM (SELECT *, row_number() OVER (PARTITION BY wave ORDER BY overlap DESC, stay) AS rn FROM o WHERE overlap >= 3600000) WHERE rn = 1""")
 def best_overlap(spark, sf):
-    return rangejoin.best_overlap(waves(spark, sf), stays(spark, sf), ["pat"], ("ws", "we", "s", "e"), ["wave"], ["stay"], 3_600_000).select("wave", "stay", "overlap")
+    return rangejoin.best_overlap(waves(spark, sf), stays(spark, sf), ["pat"], ("ws", "we", "s", "e"), ["wave"], ["stay"], 30 * DAY, 3_600_000).select("wave", "stay", "overlap")
 
 
 @query(f"""WITH {STAYS}, {WAVES}, c AS (SELECT w.wave, t.stay, row_number() OVER (PARTITION BY w.wave ORDER BY t.stay) AS rn FROM waves w JOIN stays t ON w.pat = t.pat AND t.s <= w.ws AND t.e >= w.we)
@@ -177,7 +177,7 @@ def seeded_sample(spark, sf):
 
 
 RX = "rx AS (SELECT l_orderkey AS stay, l_linenumber % 4 AS start, CASE l_suppkey % 5 WHEN 0 THEN 'norepinephrine' WHEN 1 THEN 'epinephrine' WHEN 2 THEN 'dopamine' WHEN 3 THEN 'phenylephrine' ELSE 'vasopressin' END AS drug, l_discount * 10 - 0.2 AS rate, l_quantity AS amount, CASE l_returnflag WHEN 'A' THEN 'Rewritten' WHEN 'N' THEN 'FinishedRunning' END AS status, CASE l_linestatus WHEN 'F' THEN '01-Drug Bolus' ELSE '02-Fluids' END AS category FROM lineitem)"
-DRUGS = "'norepinephrine', 1.0D), ('epinephrine', 1.0D), ('dopamine', 0.01D), ('phenylephrine', 0.1D), ('vasopressin', CAST(NULL AS DOUBLE)"
+DRUGS = "'norepinephrine', 1.0D), ('epinephrine', 1.0D), ('dopamine', 0.01D), ('phenylephrine', 0.00125D), ('vasopressin', CAST(NULL AS DOUBLE)"
 
 
 def _records(spark, sf):
@@ -188,16 +188,18 @@ def _records(spark, sf):
     return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("stay"), (F.col("l_linenumber") % 4).alias("start"), drug.alias("drug"), (F.col("l_discount") * 10 - 0.2).alias("rate"), F.col("l_quantity").alias("amount"), status.alias("status"), category.alias("category"))
 
 
-@query(f"""WITH {RX} SELECT stay, CAST(start AS INTEGER) AS start, round(sum(CASE drug WHEN 'vasopressin' THEN 0.1 WHEN 'dopamine' THEN rate * 0.01 WHEN 'phenylephrine' THEN rate * 0.1 ELSE rate END), 6) AS value, 200 AS var_id FROM rx WHERE status <> 'Rewritten' AND rate > 0 GROUP BY ALL""")
+@query(f"""WITH {RX} SELECT stay, CAST(start AS INTEGER) AS start, round(sum(CASE drug WHEN 'vasopressin' THEN 0.1 WHEN 'dopamine' THEN rate * 0.01 WHEN 'phenylephrine' THEN rate * 0.1 / 80 ELSE rate END), 6) AS value, 200 AS var_id FROM rx WHERE status <> 'Rewritten' AND rate > 0 GROUP BY ALL""")
 def vasopressor_rate(spark, sf):
     doses = spark.sql(f"SELECT * FROM VALUES ({DRUGS}) AS t(drug, factor)")
     return actions.vasopressor_rate(actions.active(_records(spark, sf)), doses, ["stay"], "start").withColumn("value", F.round("value", 6))
 
 
-@query(f"""WITH {RX}, f AS (SELECT 201 AS var_id, amount AS value FROM rx WHERE status <> 'Rewritten' AND category ILIKE '%bolus%' AND amount > 0 UNION ALL SELECT 202, rate FROM rx WHERE status <> 'Rewritten' AND category NOT ILIKE '%bolus%' AND rate > 0)
+@query(f"""WITH {RX}, r AS (SELECT amount * 150 - 300 AS amount, rate * 4000 AS rate, category FROM rx WHERE status <> 'Rewritten'),
+f AS (SELECT 202 AS var_id, amount AS value FROM r WHERE category ILIKE '%bolus%' AND amount > 0 AND amount <= 5000 UNION ALL SELECT 201, rate FROM r WHERE category NOT ILIKE '%bolus%' AND amount > 0 AND rate > 0 AND rate <= 2000)
 SELECT var_id, count(*) AS n, round(sum(value), 4) AS total FROM f GROUP BY 1""")
 def fluids(spark, sf):
-    return actions.fluids(actions.active(_records(spark, sf))).groupBy("var_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    scaled = _records(spark, sf).withColumns({"amount": F.col("amount") * 150 - 300, "rate": F.col("rate") * 4000})
+    return actions.fluids(actions.active(scaled)).groupBy("var_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query("""SELECT o_orderkey AS entity_id, c_name AS patient, n_name AS site, l.n AS n_items, d.primary_code FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
@@ -226,9 +228,9 @@ def intersect_ids(spark, sf):
     return c.intersect(o.where("o_totalprice > 100000").select(F.col("o_custkey").alias("c_custkey")))
 
 
-@query("SELECT c_custkey FROM customer ANTI JOIN orders ON c_custkey = o_custkey")
+@query("SELECT c_custkey FROM customer ANTI JOIN orders ON c_custkey = o_custkey AND o_totalprice > 300000")
 def anti_ids(spark, sf):
-    return table(spark, sf, "customer").select("c_custkey").join(table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    return table(spark, sf, "customer").select("c_custkey").join(table(spark, sf, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
 
 
 @query(f"""WITH {STAYS} SELECT pat, count(DISTINCT stay) AS n_records, min(s) AS start_ms, max(e) AS end_ms, CAST(sum(e - s) AS BIGINT) AS recorded_ms, arg_min(stay, (s, stay)) AS first_record, max(e) - min(s) AS span_ms FROM stays GROUP BY 1""")

@@ -55,9 +55,13 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def axis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days with a view between January 10 and 20: an axis of day-long segments with gaps."""
-    views = raw_events(spark, sf_dir).where("event_type = 'view'").select("entity_id", (F.floor(F.col("time_ms") / DAY) * DAY).alias("time_ms"))
-    days = views.where(F.col("time_ms").between(1704844800000, 1705708800000)).distinct()
+    """Days with a view in the middle third of all days: an axis of day-long segments with gaps."""
+    views = raw_events(spark, sf_dir).where("event_type = 'view'").select("entity_id", F.floor(F.col("time_ms") / DAY).alias("day"))
+    low, high = F.min("day"), F.max("day")
+    third = F.floor((high - low) / 3)
+    span = views.agg((low + third).alias("low"), (high - third).alias("high"))
+    inside = F.col("day").between(span.select("low").scalar(), span.select("high").scalar())
+    days = views.where(inside).distinct().select("entity_id", (F.col("day") * DAY).alias("time_ms"))
     return number_segments(days, ["entity_id"])
 
 
@@ -80,9 +84,10 @@ cleaned AS (
     SELECT r.entity_id, r.time_ms, g.var_id, r.value, row_number() OVER (PARTITION BY r.entity_id, r.time_ms, g.var_id ORDER BY r.event_type, r.value) AS rn
     FROM raw r JOIN reg g USING (event_type)
     WHERE r.value IS NOT NULL AND (g.physio_min IS NULL OR g.physio_max IS NULL OR r.value BETWEEN g.physio_min AND g.physio_max)) WHERE rn = 1),
+span AS (SELECT min(d) + (max(d) - min(d)) // 3 AS lo, max(d) - (max(d) - min(d)) // 3 AS hi FROM (SELECT time_ms // {DAY} AS d FROM raw WHERE event_type = 'view')),
 axis AS (
   SELECT entity_id, time_ms, CAST(row_number() OVER (PARTITION BY entity_id ORDER BY time_ms) - 1 AS INTEGER) AS seg_idx
-  FROM (SELECT DISTINCT entity_id, time_ms // {DAY} * {DAY} AS time_ms FROM raw WHERE event_type = 'view' AND time_ms // {DAY} * {DAY} BETWEEN 1704844800000 AND 1705708800000)),
+  FROM (SELECT DISTINCT entity_id, time_ms // {DAY} * {DAY} AS time_ms FROM raw, span WHERE event_type = 'view' AND time_ms // {DAY} BETWEEN lo AND hi)),
 ep AS (SELECT entity_id, min(time_ms) + {DAY} AS ep_start, max(time_ms) - {DAY} AS ep_end FROM raw GROUP BY 1),
 bounds AS (SELECT entity_id, min(time_ms) AS ws, max(time_ms) AS wl, count(*) AS n_seg FROM axis GROUP BY 1),
 parted AS (

@@ -80,9 +80,9 @@ def grid_placement(spark, sf):
     return out.select("entity_id", "seg_idx", F.size(good).cast("bigint").alias("n"), F.round(F.aggregate(good, F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"))
 
 
-@query("SELECT vec_id, list_transform(embedding, lambda x: round(CASE WHEN CAST(x AS DOUBLE) < CAST(-0.2 AS DOUBLE) OR CAST(x AS DOUBLE) > CAST(0.2 AS DOUBLE) THEN CAST(-9 AS DOUBLE) ELSE CAST(CAST(CAST(x AS DOUBLE) * 2 + 1 AS FLOAT) AS DOUBLE) END, 4)) AS samples FROM embeddings")
+@query("SELECT vec_id, list_transform(embedding, lambda x: round(CASE WHEN CAST(x AS DOUBLE) <= CAST(-0.15 AS DOUBLE) OR CAST(x AS DOUBLE) >= CAST(0.25 AS DOUBLE) OR CAST(CAST(CAST(x AS DOUBLE) * 2 + 1 AS FLOAT) AS DOUBLE) < CAST(0.6 AS DOUBLE) OR CAST(CAST(CAST(x AS DOUBLE) * 2 + 1 AS FLOAT) AS DOUBLE) > CAST(1.3 AS DOUBLE) THEN CAST(-9 AS DOUBLE) ELSE CAST(CAST(CAST(x AS DOUBLE) * 2 + 1 AS FLOAT) AS DOUBLE) END, 4)) AS samples FROM embeddings")
 def scaled_samples(spark, sf):
-    out = valid_samples(F.col("embedding"), F.lit(-0.2), F.lit(0.2), F.lit(2.0), F.lit(1.0))
+    out = valid_samples(F.col("embedding"), F.lit(0.6), F.lit(1.3), F.lit(2.0), F.lit(1.0), (-0.15, 0.25))
     return table(spark, sf, "embeddings").select("vec_id", F.transform(out, lambda x: F.when(F.isnan(x), -9.0).otherwise(F.round(x.cast("double"), 4))).alias("samples"))
 
 

@@ -115,7 +115,8 @@ COUNTS = "cnt AS (SELECT entity_id, part, var_id, count(*) AS n FROM traj GROUP
 SELECT var_id, count(*) FILTER (part = 'events' AND n >= 1) AS eligible_1, count(*) FILTER (part = 'events' AND n >= 3) AS eligible_3, count(*) FILTER (part = 'events' AND n >= 5) AS eligible_5,
  round(count(*) FILTER (part = 'events' AND n >= 1) / max(t), 4) AS share_1, round(count(*) FILTER (part = 'events' AND n >= 3) / max(t), 4) AS share_3, round(count(*) FILTER (part = 'events' AND n >= 5) / max(t), 4) AS share_5,
  CAST(floor(coalesce(quantile_cont(CAST(n AS DOUBLE), 0.5) FILTER (part = 'events'), 0)) AS BIGINT) AS median_events, CAST(floor(coalesce(quantile_cont(CAST(n AS DOUBLE), 0.95) FILTER (part = 'events'), 0)) AS BIGINT) AS p95_events,
- CAST(coalesce(sum(n) FILTER (part = 'events'), 0) AS BIGINT) AS total_events, count(*) FILTER (part = 'recent') AS any_recent, count(*) FILTER (part = 'baseline') AS any_baseline
+ CAST(coalesce(sum(n) FILTER (part = 'events'), 0) AS BIGINT) AS total_events, count(*) FILTER (part = 'recent') AS any_recent, count(*) FILTER (part = 'baseline') AS any_baseline,
+ CAST(floor(coalesce(quantile_cont(CAST(n AS DOUBLE), 0.5) FILTER (part = 'recent'), 0)) AS BIGINT) AS median_recent, CAST(floor(coalesce(quantile_cont(CAST(n AS DOUBLE), 0.5) FILTER (part = 'baseline'), 0)) AS BIGINT) AS median_baseline
 FROM cnt, tot GROUP BY var_id""")
 def coverage(spark, sf):
     n = axis(spark, sf).select("entity_id").distinct().count()
@@ -124,9 +125,11 @@ def coverage(spark, sf):
 
 @query(sql("""SELECT entity_id, count(*) FILTER (part = 'baseline') AS n_baseline, count(*) FILTER (part = 'recent') AS n_recent, count(*) FILTER (part = 'events') AS n_events, count(*) FILTER (part = 'future') AS n_future,
  count(DISTINCT var_id) FILTER (part = 'events') AS vars_events, count(DISTINCT var_id) FILTER (part = 'future') AS vars_future,
- coalesce(bool_or(part = 'future' AND var_id BETWEEN 200 AND 299), false) AS has_future_actions, coalesce(bool_or(part = 'future' AND var_id = 399), false) AS has_future_onset FROM traj GROUP BY 1"""))
+ coalesce(bool_or(part = 'future' AND var_id BETWEEN 200 AND 299), false) AS has_future_actions, coalesce(bool_or(part = 'future' AND var_id = 303), false) AS has_future_scores, coalesce(bool_or(part = 'future' AND var_id = 307), false) AS has_future_onset
+ FROM (SELECT entity_id, part, CASE var_id WHEN 101 THEN 303 WHEN 0 THEN 307 ELSE var_id END AS var_id FROM traj) GROUP BY 1"""))
 def part_summary(spark, sf):
-    return M.part_summary(trajectory(spark, sf))
+    scored = mapping.renumber(mapping.renumber(trajectory(spark, sf), 101, 303), 0, 307)
+    return M.part_summary(scored)
 
 
 @query(sql("SELECT entity_id, part, 0 AS n_errors FROM traj GROUP BY ALL").replace("0 AS n_errors", "CAST(0 AS INTEGER) AS n_errors"))
@@ -240,14 +243,17 @@ def variable_histogram(spark, sf):
     return A.histogram_of_counts(clean(spark, sf), "entity_id", "var_id")
 
 
-@query(sql("SELECT var_id, count(*) AS n_steps, median(d) AS median_step FROM (SELECT var_id, time_ms - lag(time_ms) OVER w AS d, row_number() OVER w AS rn FROM cleaned WINDOW w AS (PARTITION BY entity_id, var_id ORDER BY time_ms)) WHERE rn <= 2000 AND d > 0 GROUP BY 1"))
+@query(sql("""SELECT var_id, count(*) AS n_entities, median(m) AS median_step, min(m) AS least_step, max(m) AS greatest_step FROM (
+ SELECT entity_id, var_id, count(*) AS k, median(d) FILTER (d > 0) AS m FROM (SELECT entity_id, var_id, time_ms - lag(time_ms) OVER w AS d, row_number() OVER w AS rn FROM cleaned WINDOW w AS (PARTITION BY entity_id, var_id ORDER BY time_ms)) WHERE rn <= 2000 GROUP BY 1, 2) WHERE k >= 3 AND m IS NOT NULL GROUP BY 1"""))
 def sampling_cadence(spark, sf):
     return A.cadence(clean(spark, sf), "var_id", E1, "time_ms")
 
 
-@query(sql("SELECT entity_id, time_ms, value FROM (SELECT *, lag(value) OVER (PARTITION BY entity_id ORDER BY time_ms) AS b FROM cleaned WHERE var_id = 100) WHERE b IS NULL OR abs(value - b) > 20"))
+@query(sql("SELECT entity_id, time_ms, value FROM (SELECT *, lag(value) OVER (PARTITION BY entity_id ORDER BY time_ms) AS b FROM cleaned WHERE var_id = 100 AND value <= 100) WHERE b IS NULL OR abs(value - b) > 20"))
 def step_changes(spark, sf):
-    return segments.step_changes(clean(spark, sf).where("var_id = 100").select("entity_id", "time_ms", "value"), E1, "time_ms", "value", 20)
+    held = F.when(F.col("value") > 100, float("nan")).otherwise(F.col("value"))
+    rows = clean(spark, sf).where("var_id = 100").select("entity_id", "time_ms", held.alias("value"))
+    return segments.step_changes(rows, E1, "time_ms", "value", 20)
 
 
 def _samples_sql(alignment: str, window: int, offsets: str = "(0)") -> str:
@@ -276,13 +282,16 @@ def sample_index_start(spark, sf):
 
 
 @query(sql("").rstrip() + f""",
-t AS (SELECT entity_id, var_id, time_ms, row_number() OVER (PARTITION BY entity_id, var_id ORDER BY time_ms) AS rn FROM (SELECT DISTINCT entity_id, var_id, time_ms FROM cleaned)),
+d AS (SELECT entity_id, var_id // 100 AS var_id, time_ms // {6 * HOUR} * {6 * HOUR} AS time_ms, value FROM cleaned),
+t AS (SELECT entity_id, var_id, time_ms, row_number() OVER (PARTITION BY entity_id, var_id ORDER BY time_ms) AS rn FROM (SELECT DISTINCT entity_id, var_id, time_ms FROM d)),
 k AS (WITH RECURSIVE r AS (SELECT entity_id, var_id, time_ms, rn, true AS kept, time_ms AS last FROM t WHERE rn = 1
   UNION ALL SELECT t.entity_id, t.var_id, t.time_ms, t.rn, t.time_ms - r.last >= {2 * DAY}, CASE WHEN t.time_ms - r.last >= {2 * DAY} THEN t.time_ms ELSE r.last END FROM r JOIN t ON t.entity_id = r.entity_id AND t.var_id = r.var_id AND t.rn = r.rn + 1)
   SELECT * FROM r WHERE kept)
-SELECT c.entity_id, c.time_ms, c.var_id, c.value FROM cleaned c SEMI JOIN k ON c.entity_id = k.entity_id AND c.var_id = k.var_id AND c.time_ms = k.time_ms""")
+SELECT d.entity_id, d.time_ms, d.var_id, min(d.value) AS value FROM d SEMI JOIN k ON d.entity_id = k.entity_id AND d.var_id = k.var_id AND d.time_ms = k.time_ms GROUP BY ALL""")
 def throttle_labels(spark, sf):
-    return samples.throttle(clean(spark, sf), ["entity_id", "var_id"], "time_ms", F.lit(True), 2 * DAY).select("entity_id", "time_ms", "var_id", "value")
+    at, var = F.floor(F.col("time_ms") / (6 * HOUR)) * (6 * HOUR), F.floor(F.col("var_id") / 100)
+    labels = clean(spark, sf).withColumns({"time_ms": at, "var_id": var})  # many labels at one time
+    return samples.throttle(labels, ["entity_id", "var_id"], "time_ms", F.lit(True), 2 * DAY, ["value"]).select("entity_id", "time_ms", "var_id", "value")
 
 
 @query(sql(f"""SELECT 'early' AS dataset, var_id, count(*) AS n, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high FROM cleaned WHERE time_ms < 1705363200000 GROUP BY var_id
@@ -384,7 +393,7 @@ def cardio_score(spark, sf):
 
 
 @query(sql("").rstrip() + f""",
-sc AS (SELECT entity_id, time_ms, var_id, value FROM cleaned WHERE var_id = 101 UNION ALL SELECT entity_id, min(time_ms), 399, 1.0 FROM cleaned WHERE var_id = 200 AND value > 100 GROUP BY 1)
+sc AS (SELECT entity_id, time_ms, var_id, value FROM cleaned WHERE var_id = 101 UNION ALL SELECT entity_id, min(time_ms), 307, 1.0 FROM cleaned WHERE var_id = 200 AND value > 100 GROUP BY 1)
 SELECT sc.entity_id, sc.time_ms, sc.var_id, sc.value, a.seg_idx FROM sc ASOF JOIN axis a ON sc.entity_id = a.entity_id AND sc.time_ms >= a.time_ms""")
 def task_events(spark, sf):
     ev = clean(spark, sf)
@@ -461,14 +470,14 @@ def json_props(spark, sf):
     return ev.where(F.get_json_object("props", "$.k").try_cast("bigint") >= 50).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
 
 
-TASK_PARTS = f"""te AS (SELECT entity_id, time_ms, var_id, value FROM cleaned WHERE var_id = 101 UNION ALL SELECT entity_id, max(time_ms), 399, 1.0 FROM cleaned WHERE var_id = 200 GROUP BY 1),
+TASK_PARTS = f"""te AS (SELECT entity_id, time_ms, var_id, value FROM cleaned WHERE var_id = 101 UNION ALL SELECT entity_id, max(time_ms), 307, 1.0 FROM cleaned WHERE var_id = 200 GROUP BY 1),
 tp AS (SELECT te.*, CASE WHEN time_ms BETWEEN ws AND wl THEN 'events' WHEN time_ms >= ws - {DAY} AND time_ms < ws THEN 'recent' WHEN time_ms >= ws - {30 * DAY} AND time_ms < ws - {DAY} THEN 'baseline' WHEN time_ms > wl AND time_ms <= wl + {7 * DAY} THEN 'future' END AS part FROM te JOIN bounds USING (entity_id))"""
 
 
 @query(sql("").rstrip() + f""", {TASK_PARTS}
-SELECT entity_id, count(*) FILTER (part = 'events') AS n_events, count(*) FILTER (part = 'future') AS n_future, coalesce(bool_or(part = 'future' AND var_id = 399), false) AS has_future_onset FROM tp WHERE part IS NOT NULL GROUP BY 1""")
+SELECT entity_id, count(*) FILTER (part = 'events') AS n_events, count(*) FILTER (part = 'future') AS n_future, coalesce(bool_or(part = 'future' AND var_id = 307), false) AS has_future_onset FROM tp WHERE part IS NOT NULL GROUP BY 1""")
 def task_trajectory(spark, sf):
     ev = clean(spark, sf)
-    onset = ev.where("var_id = 200").groupBy("entity_id").agg(F.max("time_ms").alias("time_ms")).select("entity_id", "time_ms", F.lit(399).alias("var_id"), F.lit(1.0).alias("value"))
+    onset = ev.where("var_id = 200").groupBy("entity_id").agg(F.max("time_ms").alias("time_ms")).select("entity_id", "time_ms", F.lit(307).alias("var_id"), F.lit(1.0).alias("value"))
     _, flags = scores.task_trajectory(ev.where("var_id = 101").unionByName(onset), axis(spark, sf), None, E1)
     return flags.select("entity_id", "n_events", "n_future", "has_future_onset")

@@ -79,10 +79,10 @@ def null_tokens(spark, sf):
     return C.null_tokens(table(spark, sf, "part").select("p_partkey", "p_type"), ["PROMO", "LARGE"], ["p_type"])
 
 
-@query("SELECT p_partkey, upper(trim(p_name)) AS code, CASE WHEN p_name LIKE 'C %' THEN split_part(p_name, ' ', -1) ELSE p_name END AS label, lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS padded, regexp_replace(p_brand, '^Brand', '') AS brand, right(p_brand, 2) AS tail FROM part")
+@query("SELECT p_partkey, upper(trim(p_name)) AS code, CASE WHEN split_part(p_name, ' ', -1) IN ('ring', 'gear') THEN split_part(p_name, ' ', -1) ELSE 'C ' || p_name END AS label, lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS padded, regexp_replace(p_brand, '^Brand', '') AS brand, right(p_brand, 2) AS tail FROM part")
 def code_texts(spark, sf):
     p = table(spark, sf, "part")
-    return p.select("p_partkey", C.code_text(F.concat(F.lit(" "), F.col("p_name"), F.lit(" "))).alias("code"), C.garbled_label(F.col("p_name")).alias("label"), F.lpad(F.col("p_partkey").cast("string"), 8, "0").alias("padded"), F.regexp_replace("p_brand", "^Brand", "").alias("brand"), F.right("p_brand", F.lit(2)).alias("tail"))
+    return p.select("p_partkey", C.code_text(F.concat(F.lit(" "), F.col("p_name"), F.lit(" "))).alias("code"), C.garbled_label(F.concat(F.lit("C "), F.col("p_name")), ["ring", "gear"]).alias("label"), F.lpad(F.col("p_partkey").cast("string"), 8, "0").alias("padded"), F.regexp_replace("p_brand", "^Brand", "").alias("brand"), F.right("p_brand", F.lit(2)).alias("tail"))
 
 
 URL = r"^https?://([^/]+)/([a-z]+)/([0-9]+)"
@@ -99,7 +99,7 @@ def file_inventory(spark, sf):
     return headers.inventory(files, r"^https?://[^/]+/([a-z]+)/([0-9]+)")
 
 
-@query("SELECT l_orderkey, l_linenumber, round(CASE WHEN l_returnflag = 'A' THEN (l_quantity - 32) * 5 / 9 ELSE l_quantity END, 6) AS celsius, CASE WHEN l_tax * 25 > 1 THEN l_tax * 25 / 100 ELSE l_tax * 25 END AS fraction FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, round(CASE WHEN l_returnflag = 'A' THEN (l_quantity - 32) * 5 / 9 ELSE l_quantity END, 6) AS celsius, l_tax * 25 / 100 AS fraction FROM lineitem")
 def unit_conversions(spark, sf):
     li = table(spark, sf, "lineitem")
     conversion = F.when(F.col("l_returnflag") == "A", "F_to_C")
@@ -148,12 +148,13 @@ def first_per_key(spark, sf):
     return dedup.first_per(table(spark, sf, "lineitem"), ["l_orderkey", "l_suppkey"], ["l_linenumber", "l_quantity", "l_extendedprice"]).select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
 
 
-PROFILE = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS n_null, count(DISTINCT {c}) AS n_distinct FROM part" for c in ("p_partkey", "p_brand", "p_type", "p_size"))
+PROFILE = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS n_null, count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high FROM part" for c in ("p_partkey", "p_brand", "p_type", "p_size", "p_name"))
 
 
 @query(PROFILE)
 def column_profile(spark, sf):
-    return A.column_profile(table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")).select("column", "n_null", "n_distinct")
+    part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size", "p_name")
+    return A.column_profile(part).drop("kind")
 
 
 @query("SELECT p_partkey, p_name, count FROM (SELECT l_partkey AS p_partkey, count(*) AS count FROM lineitem GROUP BY 1 ORDER BY count DESC, p_partkey LIMIT 30) LEFT JOIN part USING (p_partkey)")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,11 +46,26 @@ def read_dirty_csv(spark: SparkSession, path: str, columns: list[str], encoding:
     return repair_lines(lines, "line", columns, fold_into, drop_phrase_commas)
 
 
+# A comma between digits of a number, and one after a phrase that isn't a number.
+THOUSANDS = r"(?<=[^\d,])(\d{1,3}),(?=\d{3}(?!\d))"
+PHRASE = r"\b(?!\d+(?:\.\d+)?\b)([^\",\s]+(?:\s[^\",\s]+)*?),"
+
+
+def without_thousands(text: Column) -> Column:
+    """Numbers without their first thousands separator; a number at the very start of a line keeps it."""
+    return F.regexp_replace(text, THOUSANDS, "$1")
+
+
+def without_stray_commas(text: Column) -> Column:
+    """Commas that aren't field separators go: in numbers, then after phrases."""
+    return F.regexp_replace(without_thousands(text), PHRASE, "$1")
+
+
 def repair_lines(lines: DataFrame, line: str, columns: list[str], fold_into: int | None = None, drop_phrase_commas: bool = False) -> DataFrame:
     at = len(columns) - 1 if fold_into is None else fold_into
     text = F.col(line)
     if drop_phrase_commas:
-        text = F.regexp_replace(text, r"([A-Za-z][A-Za-z ]*), (?=[A-Za-z])", "$1 ")
+        text = without_stray_commas(text)
     zero = F.array().cast("array<string>")
     # A piece with an odd number of quotes opens or closes a quoted field.
     step = F.aggregate(

@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; local sessions without it get one of their own."""
+    before = spark.sparkContext._jsc.sc().getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or (before.get() if before.isDefined() else None)
+    if not shared:
+        import tempfile
+
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="bedside-")
+        spark.sparkContext.setCheckpointDir(shared)
+    return shared
+
+
 def write_events(events: DataFrame, path: str) -> None:
     events.write.mode("overwrite").parquet(path)  # K1
 
@@ -34,9 +48,9 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)  # K5, K7, K9
 
 
-def split_lists(splits: DataFrame, key: str = "entity_id") -> DataFrame:
-    """One row per split with its sorted keys (K6): for cohorts whose key list fits a document."""
-    return splits.groupBy("split").agg(F.sort_array(F.collect_list(key)).alias("ids"))
+def write_split_lists(rows: DataFrame, path: str) -> None:
+    """One folder of JSON lines per split (K6), so that no split is gathered in one row."""
+    rows.write.mode("overwrite").partitionBy("split").json(path)
 
 
 def write_demographics(df: DataFrame, path: str) -> None:

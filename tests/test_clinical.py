@@ -114,7 +114,7 @@ def test_score_ladders(spark):
 
 def test_throttle_skips_invalid_labels(spark):
     df = spark.createDataFrame([("x", 0, True), ("x", 50, False), ("x", 90, True), ("x", 100, True), ("x", 210, True)], "e string, t bigint, ok boolean")
-    assert [r.t for r in samples.throttle(df, ["e"], "t", F.col("ok"), 100).orderBy("t").collect()] == [0, 100, 210]
+    assert [r.t for r in samples.throttle(df, ["e"], "t", F.col("ok"), 100, ["t"]).orderBy("t").collect()] == [0, 100, 210]
 
 
 @pytest.mark.parametrize("source, target", [(125, 40), (40, 125), (500, 120), (60, 60)])
@@ -241,3 +241,69 @@ def test_stream(spark, scenario, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("parted").where("part = 'events'").count() == 9
+
+
+def test_rules_of_treatments(spark):
+    """Values written from the published rules, not from the code."""
+    from bedside.plans import actions
+
+    assert math.isclose(actions.DOSE_FACTORS["phenylephrine"], 0.00125) and actions.DOSE_FACTORS["dopamine"] == 0.01
+    rows = [("01-Drug Push BOLUS", 0.0, 5.0), ("bolus", 5000.0, None), ("bolus", 5001.0, None), ("Fluids", 10.0, 2000.0), ("Fluids", 10.0, 2001.0), ("Fluids", 0.0, 9.0), (None, 5.0, 5.0)]
+    df = spark.createDataFrame(rows, "category string, amount double, rate double")
+    assert sorted((r.var_id, r.value) for r in actions.fluids(df).collect()) == [(201, 2000.0), (202, 5000.0)]
+    charted = [("x", 0, 203, 50.0), ("x", 1, 203, 0.5), ("x", 2, 203, 20.0), ("x", 3, 204, 31.0), ("x", 3, 204, 5.0), ("x", 4, 206, 0.0), ("x", 5, 206, 2501.0), ("x", 6, 203, float("nan"))]
+    got = actions.charted(spark.createDataFrame(charted, "e string, time_ms bigint, var_id int, value double"), ["e"]).collect()
+    assert sorted((r.time_ms, r.value) for r in got) == [(0, 0.5), (3, 5.0), (4, 0.0)]
+
+
+def test_onset_and_score_flags(spark):
+    assert scores.ONSET == 307
+    rows = [("a", "future", 307), ("b", "future", 306), ("c", "events", 307), ("d", "future", 399), ("e", "future", 299)]
+    df = spark.createDataFrame(rows, "entity_id string, part string, var_id int")
+    got = {r.entity_id: (r.has_future_actions, r.has_future_scores, r.has_future_onset) for r in M.part_summary(df).collect()}
+    assert got == {"a": (False, False, True), "b": (False, True, False), "c": (False,) * 3, "d": (False,) * 3, "e": (True, False, False)}
+
+
+def test_scaled_samples(spark):
+    df = spark.createDataFrame([([-32768.0, -32767.0, 32767.0, 100.0, 101.0, -50.0],)], "s array<float>")
+    got = df.select(C.valid_samples(F.col("s"), F.lit(-9.0), F.lit(51.0), F.lit(0.5), F.lit(1.0), (-32767, 32767))).first()[0]
+    assert [None if math.isnan(x) else x for x in got] == [None, None, None, 51.0, None, None]
+    free = df.select(C.valid_samples(F.col("s"), F.lit(None).cast("double"), F.lit(51.0), F.lit(0.5), F.lit(1.0))).first()[0]
+    assert free[0] == -16383.0
+
+
+def test_throttle_keeps_the_first_of_equal_times(spark):
+    df = spark.createDataFrame([("x", 10, 2.0), ("x", 10, 1.0), ("x", 60, 3.0), ("x", 111, 4.0), ("y", 10, 5.0)], "e string, t bigint, v double")
+    got = samples.throttle(df, ["e"], "t", F.lit(True), 100, ["v"])
+    assert sorted((r.e, r.t, r.v) for r in got.collect()) == [("x", 10, 1.0), ("x", 111, 4.0), ("y", 10, 5.0)]
+
+
+def test_a_window_beyond_its_signal_is_an_error(spark, scenario):
+    axis, events = scenario
+    wave = axis.select("*", F.lit("II").alias("channel"), F.lit(1).alias("fs"), F.array_repeat(F.lit(0.0).cast("float"), 20).alias("samples"))
+    index = samples.sample_index(events, axis, BY, [0], 60_000, "end")
+    with pytest.raises(Exception, match="beyond its signal"):
+        samples.materialise(index, wave, BY).collect()
+
+
+def test_tasks_count_entities_without_events(spark):
+    counts = spark.createDataFrame([("a", "events", 0, 3), ("b", "recent", 0, 9)], "e string, part string, var_id int, n bigint")
+    entities = spark.createDataFrame([("a",), ("b",), ("c",)], "e string")
+
+    def got(least, kind):
+        return sorted(map(tuple, tasks.build_task(counts, entities, tasks.TaskSpec("t", (0, 1), least, kind), ["e"]).collect()))
+
+    assert got(0, "all") == [("a",), ("b",), ("c",)] and got(1, "any") == [("a",)] and got(1, "all") == []
+    assert len(got(0, "per_target")) == 6 and got(3, "per_target") == [("a", 0)]
+
+
+def test_labels_lines_and_steps(spark):
+    df = spark.createDataFrame([("C HR",), ("C odd",), ("SpO2",), (None,)], "t string")
+    assert [r[0] for r in df.select(C.garbled_label(F.col("t"), ["HR"])).collect()] == ["HR", "C odd", "SpO2", ""]
+    lines = spark.createDataFrame([("1,CO2, ALT low,2,3",), ("a 1,234,5",)], "l string")
+    assert [r[0] for r in lines.select(delimited.without_stray_commas(F.col("l"))).collect()] == ["1,CO2 ALT low2,3", "a 12345"]
+    held = spark.createDataFrame([("x", i, v) for i, v in enumerate([1.0, float("nan"), 1.2, None, 2.0])], "e string, t int, v double")
+    assert [r.t for r in segments.step_changes(held, ["e"], "t", "v").orderBy("t").collect()] == [0, 4]
+    times = spark.createDataFrame([("x", "c", t) for t in (0, 1, 2, 3)] + [("y", "c", t) for t in (0, 10, 20)] + [("z", "c", 0), ("z", "c", 5)], "e string, code string, t int")
+    r = aggregates.cadence(times, "code", ["e"], "t").first()
+    assert (r.n_entities, r.median_step, r.least_step, r.greatest_step) == (2, 5.5, 1, 10)

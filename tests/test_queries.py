@@ -9,7 +9,7 @@ from bedside.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SOME = ["trajectory_parts", "as_of_nearest", "as_of_strict", "as_of_forward", "coverage", "sample_index_middle", "throttle_labels", "dense_grid", "resp_score", "cardio_score", "best_overlap", "covering_chunk", "stratified_split", "patient_split_floor", "vasopressor_rate", "numeric_texts", "local_times", "repaired_lines", "decoded_samples", "grid_placement", "anchor_blocks", "split_coverage"]
+SOME = ["trajectory_parts", "as_of_nearest", "as_of_strict", "as_of_forward", "coverage", "sample_index_middle", "throttle_labels", "dense_grid", "resp_score", "cardio_score", "best_overlap", "covering_chunk", "stratified_split", "patient_split_floor", "vasopressor_rate", "numeric_texts", "local_times", "repaired_lines", "decoded_samples", "grid_placement", "anchor_blocks", "split_coverage", "assembled", "manifest", "sample_waves", "sample_index_throttled", "trajectory_files", "delimited_files", "registry_file", "split_list_files", "charted_values", "organ_scores", "range_override", "fluids", "part_summary"]
 
 
 def plain(v):
