@@ -41,11 +41,18 @@ def as_of(left: DataFrame, right: DataFrame, by: list[str], on: str, take: list[
 
 def nearest(left: DataFrame, right: DataFrame, by: list[str], on: str, value: str, tolerance: int) -> DataFrame:
     """``left`` with ``value`` of the nearest right row less than ``tolerance`` away, the earlier of two."""
-    t = f"_{on}"
-    r = right.select(*by, F.col(on).alias(t), F.col(value).alias(value))
-    back = as_of(left, r.withColumnRenamed(t, on).withColumn(t, F.col(on)), by, on, [t, value]).withColumnsRenamed({t: "_t1", value: "_v1"})
-    both = as_of(back, r.withColumnRenamed(t, on).withColumn(t, F.col(on)), by, on, [t, value], forward=True).withColumnsRenamed({t: "_t2", value: "_v2"})
-    d1, d2 = F.col(on) - F.col("_t1"), F.col("_t2") - F.col(on)
-    pick = F.when((d1 < tolerance) & (d2.isNull() | (d1 <= d2)), F.col("_v1")).when(d2 < tolerance, F.col("_v2"))
-    delta = F.when((d1 < tolerance) & (d2.isNull() | (d1 <= d2)), -d1).when(d2 < tolerance, d2)
-    return both.withColumns({value: pick, "delta_ms": delta}).drop("_t1", "_v1", "_t2", "_v2")
+    row_type, bucket = left.select(F.struct("*")).schema[0].dataType, F.floor(F.col("_t") / tolerance)
+    r = right.select(*by, F.col(on).alias("_t"), F.struct(F.col(on).alias("at"), F.col(value).alias("value")).alias("_take"))
+    # Nothing nearer than the tolerance is more than one bucket away: each side is read once, and no bucket needs another.
+    r = r.withColumns({"_kind": F.lit(0), "_row": F.lit(None).cast(row_type), "_bucket": F.explode(F.array(bucket - 1, bucket, bucket + 1))})
+    rows = left.select(*by, F.col(on).alias("_t"), F.lit(None).cast(r.schema["_take"].dataType).alias("_take"), F.lit(1).alias("_kind"), F.struct("*").alias("_row"), bucket.alias("_bucket"))
+    order = Window.partitionBy(*by, "_bucket").orderBy("_t", "_kind", "_take")
+    before = F.last("_take", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first("_take", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    near = r.unionByName(rows).select("_row", before.alias("_a"), after.alias("_b")).where("_row IS NOT NULL")
+    a, b, t = F.col("_a"), F.col("_b"), F.col("_row")[on]
+    d1, d2 = t - a["at"], b["at"] - t
+    earlier = (d1 < tolerance) & (d2.isNull() | (d1 <= d2))
+    pick = F.when(earlier, a["value"]).when(d2 < tolerance, b["value"])
+    delta = F.when(earlier, -d1).when(d2 < tolerance, d2)
+    return near.select(*(F.col("_row")[c].alias(c) for c in left.columns if c not in (value, "delta_ms")), pick.alias(value), delta.alias("delta_ms"))
