@@ -427,9 +427,11 @@ def group_links(members: DataFrame, roots: DataFrame, table: DataFrame, docs: Da
     left = written(labelled.join(open_keys, "key"), "left")
     remove_written(open_keys)
     if left.isEmpty():
+        remove_written(left)
         return None
     edges = written(possible_edges(left, table, threshold), "maybe")
     if edges.isEmpty():
+        remove_written(left, edges)
         return None
     group = components(edges)
     sets = edges.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(left.select("set_id", "root").distinct(), "set_id")
@@ -441,7 +443,7 @@ def group_links(members: DataFrame, roots: DataFrame, table: DataFrame, docs: Da
     cells = each.select(F.xxhash64("group", low, high).alias("cell"), "set_id", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "root")
     texts = texts_of(grouped.select("set_id"), table, docs)
     links = written(walked(cells, texts, n, threshold, False), "links")
-    remove_written(texts, blocks, grouped, left)
+    remove_written(texts, blocks, grouped, left, edges)
     return links
 
 
@@ -474,7 +476,7 @@ def linked_rows(docs: DataFrame, n: int, threshold: int) -> DataFrame:
     spread = table.where("set_id IS NOT NULL").select(F.explode("keys").alias("key"), "set_id")
     keys = written(spread.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot < last").select("key", "pivot"), "keys")
     members = written(spread.join(keys, "key").where("set_id <> pivot").distinct(), "members")
-    pairs = possible_pairs(members, table, threshold)
+    pairs = all_pairs = possible_pairs(members, table, threshold)
     # Most sets link with the pivot that they share most keys with; that settles most other pairs.
     best = pairs.groupBy(F.col("other")).agg(F.max_by("pivot", F.struct("n_keys", "pivot")).alias("pivot"))
     roots = components(pivot_links(best.select("pivot", "other"), table, docs, n, threshold))
@@ -484,7 +486,7 @@ def linked_rows(docs: DataFrame, n: int, threshold: int) -> DataFrame:
     apart = pairs.where("pivot_root <> other_root").select("pivot", "other").join(best, ["pivot", "other"], "left_anti")
     roots = extended(roots, pivot_links(apart, table, docs, n, threshold))
     more = group_links(members.select("key", "set_id"), roots, table, docs, n, threshold)
-    remove_written(members, keys)
+    remove_written(members, keys, all_pairs)
     if more is not None:
         roots = extended(roots, more)
     labelled = table.select("doc_id", "row_key", "n_shingles", "set_id").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")

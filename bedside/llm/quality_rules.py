@@ -1,7 +1,7 @@
 """Quality rules with risk-controlled cutoffs (operator 3).
 
 Fixed base rules come first. Beyond them, cutoffs on statistics of the text are
-chosen from labelled documents. In each stratum (language) half of the good labelled
+chosen from labelled documents. In each stratum (a language with enough labels) half of the good labelled
 documents lay out a path of cutoffs, from lax to strict: a level of the path puts each
 statistic's cutoff at one quantile of those documents. The other half certifies: for
 each level an exact binomial test of "the false rejection rate is ``risk`` or more"
@@ -11,8 +11,8 @@ the certified levels the laxest is taken that still rejects nearly all bad docum
 the strictest one does. With too few labels nothing is certified and nothing more is
 rejected.
 
-Defined cases: a null text has no words and fails the base; a null or undeclared
-language is in the stratum of others; labels that are null or contradict each other
+Defined cases: a null text has no words and fails the base; a null language or one of
+few labels is in the stratum of others; labels that are null or contradict each other
 count as bad; repeated rows each get their verdict; empty tables give no rows.
 """
 
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from bedside.llm.common import remove_written, written
 from bedside.llm.textstats import statistics
 
-#: Languages with cutoffs of their own; all other rows are one more stratum.
-STRATA = ("en", "fr", "de", "es")
-OTHER = "other"
+#: A language with this many labelled documents has cutoffs of its own, the most frequent ones first; all others are one more stratum.
+LEAST_LABELLED, MOST_STRATA = 500, 64
+OTHER = ""
 RISK, ERROR = 0.01, 0.05
 #: Levels of the path: the quantile of good documents at which a cutoff stands, and a factor beyond it.
 LEVELS = ((1.0, 2.0), (1.0, 1.0), (0.999, 1.0), (0.998, 1.0), (0.996, 1.0), (0.994, 1.0), (0.992, 1.0), (0.99, 1.0))
@@ -84,24 +84,34 @@ def choose(good: list[int], bad: list[int], risk: float, error: float) -> int |
     return next(i for i, h in enumerate(hits) if h >= 0.99 * hits[-1])
 
 
-def stratum(lang: str = "lang") -> Column:
-    return F.when(F.col(lang).isin(*STRATA), F.col(lang)).otherwise(OTHER)
+def strata_of(labelled: DataFrame) -> list[str]:
+    """Languages of their own, from the labelled documents."""
+    counts = labelled.where("lang IS NOT NULL").groupBy("lang").count().where(F.col("count") >= LEAST_LABELLED)
+    return [r["lang"] for r in counts.orderBy(F.desc("count"), "lang").limit(MOST_STRATA).collect()]
+
+
+def stratum(strata: list[str], lang: str = "lang") -> Column:
+    """``lang`` where it has cutoffs of its own; the empty name is that of all others."""
+    return F.when(F.col(lang).isin(*strata), F.col(lang)).otherwise(OTHER) if strata else F.lit(OTHER)
 
 
 def learn_cutoffs(stats: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> dict[str, dict[str, float]]:
-    """Cutoffs by stratum and measure. ``stats``: doc_id, lang and statistics; ``labels``: doc_id, quality.
+    """Cutoffs by stratum and measure, none where nothing was certified. ``stats``: doc_id, lang and statistics; ``labels``: doc_id, quality.
 
     What comes to the driver are quantiles and counts by stratum and level, whose number is fixed.
     """
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("quality"))
     m = measures()
-    rows = stats.where(~base_failed()).select("doc_id", stratum().alias("stratum"), *(c.alias(n) for n, c in m.items())).join(known, "doc_id")
+    good = stats.where(~base_failed()).join(known, "doc_id")
+    strata = strata_of(good)
+    rows = good.select("doc_id", stratum(strata).alias("stratum"), *(c.alias(n) for n, c in m.items()), "quality")
     rows = rows.withColumn("tuning", F.pmod(F.crc32(F.concat(F.lit("half "), F.col("doc_id").cast("string"))), F.lit(2)) == 0)
     quantiles = sorted({q for q, _ in LEVELS})
     tuned = rows.where("tuning AND quality = 1").groupBy("stratum").agg(*(F.percentile_approx(n, quantiles, 10_000).alias(n) for n in m)).collect()
     paths = {r["stratum"]: [{n: r[n][quantiles.index(q)] * f for n in m} for q, f in LEVELS] for r in tuned}
+    out: dict[str, dict[str, float]] = {s: {} for s in [*strata, OTHER]}
     if not paths:
-        return {}
+        return out
     level = F.lit(len(LEVELS))
     for s, path in paths.items():
         first = F.lit(len(LEVELS))
@@ -111,9 +121,8 @@ def learn_cutoffs(stats: DataFrame, labels: DataFrame, risk: float = RISK, error
     counts: dict = defaultdict(lambda: ([0] * (len(LEVELS) + 1), [0] * (len(LEVELS) + 1)))
     for r in rows.where("NOT tuning").select("stratum", level.alias("level"), "quality").groupBy("stratum", "level", "quality").count().collect():
         counts[r["stratum"]][0 if r["quality"] == 1 else 1][r["level"]] += r["count"]
-    out = {}
     for s, path in paths.items():
-        at = choose(*counts[s], risk, error / (len(STRATA) + 1))
+        at = choose(*counts[s], risk, error / (len(strata) + 1))
         if at is not None:
             out[s] = path[at]
     return out
@@ -140,7 +149,7 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float =
     stats = written(statistics(docs, keep), "quality-stats")
     cutoffs = learn_cutoffs(stats, labels, risk, error)
     m = measures()
-    out = stats.withColumns({"stratum": stratum(), "base_failed": base_failed(), **m})
+    out = stats.withColumns({"stratum": stratum(list(cutoffs)), "base_failed": base_failed(), **m})
     return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(rejected(cutoffs), F.lit(False))).drop(*m)
 
 
@@ -154,6 +163,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: flo
     remove_written(labelled)
     # Under numbered names, columns of the table can't be mistaken for statistics.
     plain = {c: f"_c{i}" for i, c in enumerate(columns)}
-    judged = statistics(docs.toDF(*plain.values()), list(plain.values()), plain["text"]).withColumns({"stratum": stratum(plain["lang"]), **m})
+    judged = statistics(docs.toDF(*plain.values()), list(plain.values()), plain["text"]).withColumns({"stratum": stratum(list(cutoffs), plain["lang"]), **m})
     kept = judged.where(~base_failed() & ~F.coalesce(rejected(cutoffs), F.lit(False)))
     return kept.select(*(F.col(p).alias(c) for c, p in plain.items()))

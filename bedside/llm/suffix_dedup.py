@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bedside.llm.common import slices, written
+from bedside.llm.common import remove_written, slices, written
 
 LENGTH = 200
 #: Bytes of an anchor's fingerprint: a power of two.
@@ -261,6 +261,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ranks = table.groupBy("gram").agg(F.count("*").alias("n"), F.min("extent").alias("a"), F.max("extent").alias("b"))
     ranks = written(ranks.where("n > 1").select("gram", (F.col("a") == F.col("b")).alias("same")), "ranks")
     again = written(table.join(ranks, "gram"), "again")
+    remove_written(table, ranks)
     settled = again.where("same").select("row_key", "pos", "low", "high")
     mixed = again.where("NOT same").drop("same")
     kinds = mixed.groupBy("gram", "extent").agg(F.count("*").alias("n"), F.min(F.struct("row_key", "pos", "low", "high")).alias("one"))
@@ -275,6 +276,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         edges = repeated_offsets(ranked.where("bytes IS NOT NULL"), length).unionByName(repeated_windows(ranked.where("bytes IS NULL")))
     copies = kinds.where("n > 1").select("gram", "extent", "low", "high")
     offsets = written(edges.unionByName(copies), "offsets")
+    remove_written(kinds, many)
     found = mixed.select("gram", "extent", "row_key", "pos").join(offsets, ["gram", "extent"]).select("row_key", "pos", "low", "high")
     return settled.unionByName(found).select("row_key", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("end"))
 

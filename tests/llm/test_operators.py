@@ -239,9 +239,89 @@ def test_quality_rules(spark, rows, empty):
     assert all(r.kept == (not r.base_failed) for r in quality_rules.judge(df.limit(50), none).collect())
 
 
+def plain_cutoffs(stats, labels, risk, error):
+    """The learning of cutoffs by plain loops over all labelled documents."""
+    quality = {}
+    for d, q in labels:
+        if d is not None:
+            quality[d] = min(quality.get(d, 9), q or 0)
+    rows = [(r, quality[r["doc_id"]]) for r in stats if r["doc_id"] in quality and r["n_words"] >= 50 and 2 * r["n_repeat_words"] <= r["n_words"]]
+    own = [s for s, n in Counter(r["lang"] for r, _ in rows if r["lang"]).items() if n >= quality_rules.LEAST_LABELLED]
+
+    def measures(r):
+        w, c = max(r["n_words"], 1), max(r["word_chars"], 1)
+        return {"symbols": r["n_symbols"] / c, "dup_lines": r["n_dup_lines"] / max(r["n_lines"], 1), "repeats": r["n_repeat_words"] / w, "shouting": r["n_upper"] / w, "digits": r["n_digits"] / c, "marks": r["n_marks"] / c, "sameness": 1 - r["n_distinct"] / w, "word_length": c / w}
+
+    out = {}
+    for s in [*own, ""]:
+        here = [(measures(r), q, zlib.crc32(f"half {r['doc_id']}".encode()) % 2 == 0) for r, q in rows if (r["lang"] if r["lang"] in own else "") == s]
+        tune = [m for m, q, t in here if t and q == 1]
+        out[s] = {}
+        if not tune:
+            continue
+        path = []
+        for share, factor in quality_rules.LEVELS:
+            path.append({n: sorted(m[n] for m in tune)[max(math.ceil(share * len(tune)), 1) - 1] * factor for n in tune[0]})
+        good, bad = [0] * (len(path) + 1), [0] * (len(path) + 1)
+        for m, q, t in here:
+            if not t:
+                at = next((i for i, cut in enumerate(path) if any(m[n] > cut[n] for n in cut)), len(path))
+                (good if q == 1 else bad)[at] += 1
+        certified = 0
+        for i in range(len(path)):
+            lost, n = sum(good[: i + 1]), sum(good)
+            tail = sum(math.comb(n, k) * risk**k * (1 - risk) ** (n - k) for k in range(lost + 1))
+            if not n or tail > error / (len(own) + 1):
+                break
+            certified = i + 1
+        if certified:
+            most = sum(bad[:certified])
+            out[s] = path[next(i for i in range(certified) if sum(bad[: i + 1]) >= 0.99 * most)]
+    return out
+
+
+def test_cutoffs_equal_plain_loops(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "LEAST_LABELLED", 300)
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(1500):
+        text, bad = data.prose(rng, rng.randrange(50, 120)), rng.random() < 0.2
+        if bad:
+            text = " ".join(w.upper() + "##" * rng.randrange(3) if rng.random() < 0.6 else w for w in text.split())
+        rows.append((i, text, ("en", "en", "fr", "xx", None)[i % 5], "s", 1))
+        labels += [(i, int(not bad))] * (i % 7 != 0)
+    df = spark.createDataFrame(rows, data.COLUMNS)
+    stats = textstats.statistics(df, ["doc_id", "lang"]).cache()
+    known = spark.createDataFrame([*labels, (None, 1), (3, 0)], "doc_id long, quality int")
+    for risk, error in ((0.05, 0.2), (0.1, 0.05), (0.01, 0.05)):
+        got = quality_rules.learn_cutoffs(stats, known, risk, error)
+        want = plain_cutoffs([r.asDict() for r in stats.collect()], [*labels, (3, 0)], risk, error)
+        assert got.keys() == want.keys() and "en" in want
+        for s in want:
+            assert got[s].keys() == want[s].keys() and all(math.isclose(got[s][n], want[s][n]) for n in want[s]), (s, risk)
+    assert quality_rules.learn_cutoffs(stats, known, 0.1, 0.05)["en"]
+
+
 # 4 classifier
 
 
+def test_ridge_scores_equal_a_direct_solution(spark):
+    rng = random.Random(9)
+    rows = [(i, data.prose(rng, rng.randrange(20, 90)) + " #9!" * (rng.randrange(8) * (i % 3 == 0)), "en", "s", 1) for i in range(900)]
+    truth = {i: int(i % 3 > 0 or rng.random() < 0.2) for i, *_ in rows}
+    stats = textstats.statistics(spark.createDataFrame(rows, data.COLUMNS), ["doc_id"]).cache()
+    model = classifier.fit(stats, spark.createDataFrame(list(truth.items()), "doc_id long, quality int"), features=64)
+    used = [r for r in stats.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4))).collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    x = classifier.inputs({n: np.array([r[n] for r in used], dtype=float) for n in textstats.NAMES})
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.spread, np.sqrt(np.maximum(x.var(0), 1e-6)), atol=1e-6)
+    fit = np.array([r.part != 0 for r in used])
+    z, y = model.features(x[fit]), np.array([truth[r.doc_id] for r in used])[fit]
+    # Ridge as least squares with one more row a weight.
+    ridge = classifier.RIDGE * len(used) / z.shape[1]
+    want = np.linalg.lstsq(np.vstack([z, np.sqrt(ridge) * np.eye(z.shape[1])]), np.r_[y, np.zeros(z.shape[1])], rcond=None)[0]
+    assert np.allclose(z @ model.weights, z @ want, atol=1e-6)
+
+
 def test_isotonic():
     assert classifier.isotonic(np.array([0.0, 2.0, 1.0, 3.0]), np.ones(4)).tolist() == [0.0, 1.5, 1.5, 3.0]
 
