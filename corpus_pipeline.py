@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bedside.llm import bpe, jaccard_join, mixing, quality_rules, suffix_dedup
-from bedside.llm.common import read_table, written
+from bedside.llm.common import read_table, remove_written, written
 
 KNOWN = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -70,9 +70,12 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written and read again by the next."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs = written(docs, "stage")
+            if before is not None:
+                remove_written(before)
+            before = docs
     return docs
