@@ -5,11 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bedside.operators.buckets import earlier, meet
+
+
+def percentiles(df: DataFrame, by: list[str], value: Column, names: dict[str, float], times: Column | None = None, buckets: int = 1024) -> DataFrame:
+    """Exact percentiles, linear between ranks, of a group's values that aren't null; no group is one task.
+
+    Equal values are counted first; a row counts ``times``, or once. A value's ranks are running
+    sums within equal steps between the group's bounds, plus the counts of the steps below.
+    """
+    given = df.select(*by, value.cast("double").alias("_v"), (F.lit(1) if times is None else times).alias("_c"))
+    counts = given.where("_v IS NOT NULL").groupBy(*by, "_v").agg(F.sum("_c").alias("_c"))
+    bounds = counts.groupBy(*by).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_c").alias("_all"))
+    v, low, high = F.col("_v"), F.col("_low"), F.col("_high")
+    share = F.nanvl((v - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.0))
+    dealt = same_group(counts, bounds, by).withColumn("_bucket", F.coalesce(F.floor(share * buckets), F.lit(0)))
+    inside, over = Window.partitionBy(*by, "_bucket").orderBy("_v"), Window.partitionBy(*by).orderBy("_bucket")
+    rows = dealt.withColumn("_to", F.sum("_c").over(inside))
+    steps = rows.groupBy(*by, "_bucket").agg(F.sum("_c").alias("_n"))
+    met = meet(rows, steps, by, {"_below": F.coalesce(F.sum("_n").over(earlier(over)), F.lit(0))})
+    end = F.col("_below") + F.col("_to")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank < end) & (rank >= end - F.col("_c")), v))
+
+    out = []
+    for name, p in names.items():
+        place = (F.col("_all") - 1) * p
+        weight = F.max(place - F.floor(place))
+        a, b = at(F.floor(place)), at(F.ceil(place))
+        out.append(F.when(a == b, a).otherwise((1 - weight) * a + weight * b).alias(name))
+    return met.groupBy(*by).agg(*out)
+
+
+def same_group(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """``left`` with the columns of ``right`` for its group, null groups included."""
+    renamed = right.withColumnsRenamed({c: f"_group{i}" for i, c in enumerate(by)})
+    same = [F.col(c).eqNullSafe(F.col(f"_group{i}")) for i, c in enumerate(by)]
+    return left.join(renamed, same, "left").drop(*(f"_group{i}" for i in range(len(by))))
+
 
 def norm_stats(events: DataFrame, by: str = "var_id", value: str = "value") -> DataFrame:
     """Count, bounds, mean, population deviation and linear percentiles per variable (A5)."""
-    p = F.percentile(value, F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99)))
-    return events.groupBy(by).agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), p.alias("_p")).select(by, "n", "low", "high", "mean", "std", F.col("_p")[0].alias("p01"), F.col("_p")[1].alias("median"), F.col("_p")[2].alias("p99"))
+    stats = events.groupBy(by).agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
+    return same_group(stats, percentiles(events, [by], F.col(value), {"p01": 0.01, "median": 0.5, "p99": 0.99}), [by])
 
 
 def event_counts(trajectory: DataFrame, by: list[str]) -> DataFrame:
@@ -40,8 +79,11 @@ def split_coverage(counts: DataFrame, splits: DataFrame, by: list[str], least: i
 
 def match_quality(deltas: DataFrame, by: list[str], delta: str = "delta_ms") -> DataFrame:
     """Median, median of absolute values and 5th, 50th and 95th percentiles."""
-    p = F.percentile(delta, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    return deltas.groupBy(*by).agg(F.count(delta).alias("n"), F.median(F.abs(delta)).alias("median_abs"), p.alias("_p")).select(*by, "n", "median_abs", F.col("_p")[0].alias("p05"), F.col("_p")[1].alias("p50"), F.col("_p")[2].alias("p95"))
+    counts = deltas.groupBy(*by, delta).agg(F.count("*").alias("_times"))
+    n = counts.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col(delta).isNotNull(), F.col("_times"))), F.lit(0)).alias("n"))
+    size = percentiles(counts, by, F.abs(delta), {"median_abs": 0.5}, F.col("_times"))
+    signed = percentiles(counts, by, F.col(delta), {"p05": 0.05, "p50": 0.5, "p95": 0.95}, F.col("_times"))
+    return same_group(same_group(n, size, by), signed, by)
 
 
 def better_hypothesis(quality: DataFrame, name: str = "hypothesis") -> DataFrame:
@@ -60,8 +102,10 @@ def cadence(samples: DataFrame, code: str, entity: list[str], t: str, first: int
     Entities with less than three samples of a code aren't probed.
     """
     w = Window.partitionBy(*entity, code).orderBy(t)
-    stepped = samples.withColumns({"_n": F.row_number().over(w), "_d": F.col(t) - F.lag(t).over(w)})
-    probed = stepped.where(F.col("_n") <= first).groupBy(*entity, code).agg(F.count("*").alias("_k"), F.median(F.when(F.col("_d") > 0, F.col("_d"))).alias("_m"))
+    # Ranked alone, so that Spark cuts to the first rows before the exchange as well.
+    early = samples.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= first)
+    stepped = early.withColumn("_d", F.col(t) - F.lag(t).over(w))
+    probed = stepped.groupBy(*entity, code).agg(F.count("*").alias("_k"), F.median(F.when(F.col("_d") > 0, F.col("_d"))).alias("_m"))
     m = F.col("_m")
     return probed.where((F.col("_k") >= 3) & m.isNotNull()).groupBy(code).agg(F.count("*").alias("n_entities"), F.median(m).alias("median_step"), F.min(m).alias("least_step"), F.max(m).alias("greatest_step"))
 

@@ -5,37 +5,62 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bedside.operators.buckets import WIDTH, deal, earlier, later, meet
 from bedside.schemas import SEGMENT_MS
 
 NAN = float("nan")
 
 
-def number_segments(axis: DataFrame, by: list[str], t: str = "time_ms") -> DataFrame:
-    """seg_idx from 0 in order of time."""
-    return axis.withColumn("seg_idx", (F.row_number().over(Window.partitionBy(*by).orderBy(t)) - 1).cast("int"))
+def number_segments(axis: DataFrame, by: list[str], t: str = "time_ms", width: float = WIDTH * SEGMENT_MS) -> DataFrame:
+    """seg_idx from 0 in order of time (W1), counted within buckets of ``width`` and added up over them."""
+    dealt, inside, over = deal(axis, by, t, width)
+    rows = dealt.withColumn("_in", F.row_number().over(inside))
+    buckets = rows.groupBy(*by, "_bucket").agg(F.max("_in").alias("_n"))
+    met = meet(rows, buckets, by, {"_before": F.coalesce(F.sum("_n").over(earlier(over)), F.lit(0))})
+    return met.withColumn("seg_idx", (F.col("_before") + F.col("_in") - 1).cast("int")).drop("_bucket", "_in", "_before")
 
 
-def islands(axis: DataFrame, by: list[str], t: str = "time_ms", stride_ms: int = SEGMENT_MS, tolerance_ms: int = 1) -> DataFrame:
+def islands(axis: DataFrame, by: list[str], t: str = "time_ms", stride_ms: int = SEGMENT_MS, tolerance_ms: int = 1, width: float | None = None) -> DataFrame:
     """island_id: maximal runs whose steps are the stride within the tolerance."""
-    w = Window.partitionBy(*by).orderBy(t)
-    step = F.col(t) - F.lag(t).over(w)
-    new = F.when(step.isNull() | (F.abs(step - stride_ms) > tolerance_ms), 1).otherwise(0)
-    return axis.withColumn("_new", new).withColumn("island_id", F.sum("_new").over(w) - 1).drop("_new")
 
+    def breaks(step: Column) -> Column:
+        return F.abs(step - stride_ms) > tolerance_ms
 
-def axis_report(axis: DataFrame, by: list[str], t: str = "time_ms", stride_ms: int = SEGMENT_MS) -> DataFrame:
-    """Segments, bounds, whether times increase in the order of seg_idx, and gaps."""
-    step = F.col(t) - F.lag(t).over(Window.partitionBy(*by).orderBy("seg_idx"))
-    stepped = axis.withColumn("_step", step)
-    return stepped.groupBy(*by).agg(F.count("*").alias("n_seg"), F.min(t).alias("wave_start"), F.max(t).alias("wave_end"), F.coalesce(F.bool_and(F.col("_step") > 0), F.lit(True)).alias("increasing"), F.count_if(F.col("_step") > 1.5 * stride_ms).alias("n_gaps"))
+    dealt, inside, over = deal(axis, by, t, width or WIDTH * stride_ms)
+    new = F.when(breaks(F.col(t) - F.lag(t).over(inside)), 1).otherwise(0)
+    rows = dealt.withColumn("_new", new).withColumn("_run", F.sum("_new").over(inside))
+    buckets = rows.groupBy(*by, "_bucket").agg(F.min(t).alias("_first"), F.max(t).alias("_last"), F.sum("_new").alias("_n"))
+    # Whether a bucket's first row begins a run is settled by the bucket before.
+    step = F.col("_first") - F.lag("_last").over(over)
+    opened = buckets.withColumn("_opens", F.when(step.isNull() | breaks(step), 1).otherwise(0))
+    base = F.sum(F.col("_opens") + F.col("_n")).over(over) - F.col("_n")
+    met = meet(rows, opened, by, {"_base": base})
+    return met.withColumn("island_id", F.col("_base") + F.col("_run") - 1).drop("_bucket", "_new", "_run", "_base")
 
 
-def anchor_blocks(chunks: DataFrame, by: list[str], order: str, broken: Column) -> DataFrame:
-    """block_id of maximal runs of usable rows (W4): a broken row belongs to none."""
-    w = Window.partitionBy(*by).orderBy(order)
+def axis_report(axis: DataFrame, by: list[str], t: str = "time_ms", stride_ms: int = SEGMENT_MS, width: int = WIDTH) -> DataFrame:
+    """Segments, bounds, whether times increase in the order of seg_idx, and gaps."""
+    dealt, inside, over = deal(axis, by, "seg_idx", width)
+    rows = dealt.withColumn("_step", F.col(t) - F.lag(t).over(inside))
+    falls, gaps = F.count_if(F.col("_step") <= 0), F.count_if(F.col("_step") > 1.5 * stride_ms)
+    ends = [F.min_by(t, "seg_idx").alias("_first"), F.max_by(t, "seg_idx").alias("_last"), F.min(t).alias("_low"), F.max(t).alias("_high")]
+    buckets = rows.groupBy(*by, "_bucket").agg(*ends, F.count("*").alias("_n"), falls.alias("_falls"), gaps.alias("_gaps"))
+    stepped = buckets.withColumn("_step", F.col("_first") - F.lag("_last").over(over))
+    increasing = (F.sum("_falls") + falls) == 0
+    return stepped.groupBy(*by).agg(F.sum("_n").alias("n_seg"), F.min("_low").alias("wave_start"), F.max("_high").alias("wave_end"), increasing.alias("increasing"), (F.sum("_gaps") + gaps).alias("n_gaps"))
+
+
+def anchor_blocks(chunks: DataFrame, by: list[str], order: str, broken: Column, width: float = WIDTH) -> DataFrame:
+    """block_id of maximal runs of usable rows (W4): a broken row belongs to none. ``order`` is a number."""
     marked = chunks.withColumn("_broken", F.coalesce(broken, F.lit(True)).cast("int"))
-    start = F.when((F.col("_broken") == 0) & (F.coalesce(F.lag("_broken").over(w), F.lit(1)) == 1), 1).otherwise(0)
-    return marked.withColumn("_start", start).withColumn("block_id", F.sum("_start").over(w) - 1).where("_broken = 0").drop("_broken", "_start")
+    dealt, inside, over = deal(marked, by, order, width)
+    start = F.when((F.col("_broken") == 0) & (F.lag("_broken").over(inside) == 1), 1).otherwise(0)
+    rows = dealt.withColumn("_start", start).withColumn("_run", F.sum("_start").over(inside))
+    buckets = rows.groupBy(*by, "_bucket").agg(F.min_by("_broken", order).alias("_first"), F.max_by("_broken", order).alias("_last"), F.sum("_start").alias("_n"))
+    opens = F.when((F.col("_first") == 0) & (F.coalesce(F.lag("_last").over(over), F.lit(1)) == 1), 1).otherwise(0)
+    base = F.sum(F.col("_opens") + F.col("_n")).over(over) - F.col("_n")
+    met = meet(rows, buckets.withColumn("_opens", opens), by, {"_base": base})
+    return met.withColumn("block_id", F.col("_base") + F.col("_run") - 1).where("_broken = 0").drop("_bucket", "_broken", "_start", "_run", "_base")
 
 
 def cut(blocks: DataFrame, samples: str, window: int, stride: int) -> DataFrame:
@@ -126,23 +151,32 @@ def events_in_segments(events: DataFrame, low: int, high: int) -> DataFrame:
     return events.where((F.col("seg_idx") >= low) & (F.col("seg_idx") < high))  # W12
 
 
-def step_changes(values: DataFrame, by: list[str], t: str, value: str, least: float = 0.5) -> DataFrame:
+def step_changes(values: DataFrame, by: list[str], t: str, value: str, least: float = 0.5, width: float = WIDTH * SEGMENT_MS) -> DataFrame:
     """Rows where a held value moves by more than ``least``, the first row included (W6); missing values are skipped."""
-    before = F.lag(value).over(Window.partitionBy(*by).orderBy(t))
-    held = values.where(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("_before", before)
-    return held.where(F.col("_before").isNull() | (F.abs(F.col(value) - F.col("_before")) > least)).drop("_before")
+    dealt, inside, over = deal(values.where(F.col(value).isNotNull() & ~F.isnan(value)), by, t, width)
+    rows = dealt.withColumn("_lag", F.lag(value).over(inside))
+    buckets = rows.groupBy(*by, "_bucket").agg(F.max_by(value, t).alias("_last"))
+    met = meet(rows, buckets, by, {"_carry": F.lag("_last").over(over)})
+    before = F.coalesce("_lag", "_carry")
+    return met.where(before.isNull() | (F.abs(F.col(value) - before) > least)).drop("_bucket", "_lag", "_carry")
 
 
-def dense_grid(axis: DataFrame, events: DataFrame, by: list[str], variables: list[int]) -> DataFrame:
+def dense_grid(axis: DataFrame, events: DataFrame, by: list[str], variables: list[int], width: int = WIDTH) -> DataFrame:
     """Per segment and variable the last measurement (mask 2), an interpolation between two (mask 1), or nothing (mask 0)."""
     measured = events.groupBy(*by, "seg_idx", "var_id").agg(F.max_by("value", "time_ms").alias("measured"))
     cells = axis.select(*by, "seg_idx").withColumn("var_id", F.explode(F.array(*(F.lit(v) for v in variables))))
     grid = cells.join(measured, [*by, "seg_idx", "var_id"], "left")
-    w = Window.partitionBy(*by, "var_id").orderBy("seg_idx")
     point = F.when(F.col("measured").isNotNull(), F.struct("seg_idx", "measured"))
-    grid = grid.withColumn("_a", F.last(point, ignorenulls=True).over(w)).withColumn("_b", F.first(point, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-    a, b = F.col("_a"), F.col("_b")
+    dealt, inside, over = deal(grid, [*by, "var_id"], "seg_idx", width)
+    onward = inside.rowsBetween(0, Window.unboundedFollowing)
+    rows = dealt.withColumns({"_a": F.last(point, ignorenulls=True).over(inside), "_b": F.first(point, ignorenulls=True).over(onward)})
+    # The nearest measurements of other buckets; a bucket without any has none to give.
+    buckets = dealt.groupBy(*by, "var_id", "_bucket").agg(F.min(point).alias("_first"), F.max(point).alias("_last"))
+    last = F.last("_last", ignorenulls=True).over(earlier(over))
+    following = F.first("_first", ignorenulls=True).over(later(over))
+    met = meet(rows, buckets, [*by, "var_id"], {"_from": last, "_to": following})
+    a, b = F.coalesce("_a", "_from"), F.coalesce("_b", "_to")
     line = a["measured"] + (b["measured"] - a["measured"]) * (F.col("seg_idx") - a["seg_idx"]) / (b["seg_idx"] - a["seg_idx"])
     between = a.isNotNull() & b.isNotNull()
     mask = F.when(F.col("measured").isNotNull(), 2).when(between, 1).otherwise(0)
-    return grid.select(*by, "seg_idx", "var_id", mask.alias("mask"), F.when(F.col("measured").isNotNull(), F.col("measured")).when(between, line).alias("value"))
+    return met.select(*by, "seg_idx", "var_id", mask.alias("mask"), F.when(F.col("measured").isNotNull(), F.col("measured")).when(between, line).alias("value"))

@@ -62,7 +62,8 @@ def inherit(members: DataFrame, splits: DataFrame, key: str) -> DataFrame:
 def balanced_pick(entities: DataFrame, strata: list[str], key: str, n: int, seed: int = 42) -> DataFrame:
     """N entities dealt from the strata in turn."""
     place = F.row_number().over(Window.partitionBy(*strata).orderBy(lot(F.col(key), seed), key))
-    return entities.withColumn("turn", place).orderBy("turn", *strata).limit(n)
+    # No stratum gives more than n, so Spark cuts each to n before the exchange as well.
+    return entities.withColumn("turn", place).where(F.col("turn") <= n).orderBy("turn", *strata).limit(n)
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

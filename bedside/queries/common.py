@@ -62,7 +62,7 @@ def axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = views.agg((low + third).alias("low"), (high - third).alias("high"))
     inside = F.col("day").between(span.select("low").scalar(), span.select("high").scalar())
     days = views.where(inside).distinct().select("entity_id", (F.col("day") * DAY).alias("time_ms"))
-    return number_segments(days, ["entity_id"])
+    return number_segments(days, ["entity_id"], width=256 * DAY)
 
 
 def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:

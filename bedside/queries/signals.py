@@ -15,7 +15,7 @@ SIG = "sig AS (SELECT label AS entity_id, CAST(row_number() OVER (PARTITION BY l
 def signals(spark, sf):
     nan = F.lit(float("nan")).cast("float")
     e = table(spark, sf, "embeddings").select(F.col("label").alias("entity_id"), "vec_id", F.transform("embedding", lambda x: F.when(x < -0.25, nan).otherwise(x)).alias("samples"))
-    return segments.number_segments(e, ["entity_id"], "vec_id")
+    return segments.number_segments(e, ["entity_id"], "vec_id", 4096)
 
 
 @query(f"WITH {SIG} SELECT vec_id, CAST(i // 8 AS INTEGER) AS place, round(list_sum(list_transform(samples[i + 1 : i + 16], lambda x: CASE WHEN isnan(x) THEN 0 ELSE CAST(x AS DOUBLE) END)), 5) AS total FROM sig, unnest(range(0, 49, 8)) AS u(i)")

@@ -307,3 +307,101 @@ def test_labels_lines_and_steps(spark):
     times = spark.createDataFrame([("x", "c", t) for t in (0, 1, 2, 3)] + [("y", "c", t) for t in (0, 10, 20)] + [("z", "c", 0), ("z", "c", 5)], "e string, code string, t int")
     r = aggregates.cadence(times, "code", ["e"], "t").first()
     assert (r.n_entities, r.median_step, r.least_step, r.greatest_step) == (2, 5.5, 1, 10)
+
+
+@pytest.fixture(scope="module")
+def ragged(spark):
+    """A large, a small and a null entity on axes with gaps, in mixed order."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for e, n in (("big", 150), ("small", 3), (None, 20)):
+        t = np.cumsum(rng.choice([10, 10, 10, 35], n)) - 200
+        rows += [(e, int(x)) for x in rng.permutation(t)]
+    return rows, spark.createDataFrame(rows, "e string, t bigint")
+
+
+def by_entity(rows):
+    out = {}
+    for e, *rest in rows:
+        out.setdefault(e, []).append(tuple(rest) if len(rest) > 1 else rest[0])
+    return {e: sorted(x) for e, x in out.items()}
+
+
+@pytest.mark.parametrize("width", [1, 40, 10**6])
+def test_buckets_do_not_change_an_axis(ragged, width):
+    rows, axis = ragged
+    numbered = segments.number_segments(axis, ["e"], "t", width)
+    runs = segments.islands(numbered, ["e"], "t", 10, 1, width)
+    want, report = set(), set()
+    for e, ts in by_entity(rows).items():
+        run = gaps = 0
+        for i, t in enumerate(ts):
+            if i and abs(t - ts[i - 1] - 10) > 1:
+                run += 1
+                gaps += 1
+            want.add((e, t, i, run))
+        report.add((e, len(ts), ts[0], ts[-1], True, gaps))
+    assert {tuple(r) for r in runs.select("e", "t", "seg_idx", "island_id").collect()} == want
+    got = segments.axis_report(numbered, ["e"], "t", 10, width)
+    assert {tuple(r) for r in got.select("e", "n_seg", "wave_start", "wave_end", "increasing", "n_gaps").collect()} == report
+    falling = numbered.withColumn("t", F.when(F.col("seg_idx") == 2, -1000).otherwise(F.col("t")))
+    assert {r.increasing for r in segments.axis_report(falling, ["e"], "t", 10, width).collect()} == {False}
+
+
+@pytest.mark.parametrize("width", [1, 7, 10**6])
+def test_buckets_do_not_change_runs_and_changes(spark, width):
+    rng = np.random.default_rng(4)
+    rows = [(e, i, float(rng.integers(0, 4)) if rng.random() < 0.8 else None, bool(rng.random() < 0.3)) for e, n in (("big", 120), ("small", 2), (None, 9)) for i in range(n)]
+    df = spark.createDataFrame(rows, "e string, i bigint, v double, bad boolean")
+    blocks, changes = set(), set()
+    for e, part in by_entity([(e, i, bad, -1.0 if v is None else v) for e, i, v, bad in rows]).items():
+        block, usable, held = -1, False, None
+        for i, bad, v in part:
+            block += not bad and not usable
+            usable = not bad
+            if not bad:
+                blocks.add((e, i, block))
+            if v >= 0:
+                if held is None or abs(v - held) > 1.5:
+                    changes.add((e, i))
+                held = v
+    assert {(r.e, r.i, r.block_id) for r in segments.anchor_blocks(df, ["e"], "i", F.col("bad"), width).collect()} == blocks
+    assert {(r.e, r.i) for r in segments.step_changes(df, ["e"], "i", "v", 1.5, width).collect()} == changes
+
+
+@pytest.mark.parametrize("width", [1, 5, 10**6])
+def test_buckets_do_not_change_a_grid(spark, width):
+    rng = np.random.default_rng(5)
+    axis = [(e, i) for e, n in (("big", 60), ("small", 1)) for i in range(n)]
+    events = [(e, i, 7, 100 * i + k, float(rng.integers(0, 50))) for e, i in axis if rng.random() < 0.15 for k in (1, 2)]
+    grid = segments.dense_grid(spark.createDataFrame(axis, "e string, seg_idx int"), spark.createDataFrame(events, "e string, seg_idx int, var_id int, time_ms bigint, value double"), ["e"], [7, 8], width)
+    have = {(e, i): v for e, i, _, _, v in events}
+    want = {}
+    for e, i in axis:
+        a = max((j for f, j in have if f == e and j <= i), default=None)
+        b = min((j for f, j in have if f == e and j >= i), default=None)
+        if (e, i) in have:
+            want[e, i, 7] = (2, have[e, i])
+        elif a is not None and b is not None:
+            want[e, i, 7] = (1, have[e, a] + (have[e, b] - have[e, a]) * (i - a) / (b - a))
+        else:
+            want[e, i, 7] = (0, None)
+        want[e, i, 8] = (0, None)
+    got = {(r.e, r.seg_idx, r.var_id): (r.mask, r.value) for r in grid.collect()}
+    assert {k: m for k, (m, _) in got.items()} == {k: m for k, (m, _) in want.items()}
+    assert all(got[k][1] == (v if v is None else pytest.approx(v)) for k, (_, v) in want.items())
+
+
+def test_percentiles_by_counts(spark):
+    rng = np.random.default_rng(6)
+    groups = {"normal": rng.normal(0, 5, 401), "ties": rng.integers(0, 3, 200).astype(float), "one": np.array([2.5]), "wide": np.append(rng.random(50), 1e300), None: rng.random(10)}
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("normal", None), ("nothing", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.p01, r.median, r.p99) for r in aggregates.norm_stats(df, "g", "v").collect()}
+    assert got.pop("nothing") == (None, None, None) and set(got) == set(groups)
+    for g, xs in groups.items():
+        assert got[g] == pytest.approx(np.quantile(xs, [0.01, 0.5, 0.99]))
+    quality = {r.g: (r.n, r.median_abs, r.p05, r.p95) for r in aggregates.match_quality(df, ["g"], "v").collect()}
+    assert quality["nothing"] == (0, None, None, None)
+    for g, xs in groups.items():
+        assert quality[g] == pytest.approx((len(xs), np.median(np.abs(xs)), *np.quantile(xs, [0.05, 0.95])))
