@@ -29,11 +29,14 @@ def as_of(left: DataFrame, right: DataFrame, by: list[str], on: str, take: list[
     rows = left.select(*by, (F.col(on) * sign).alias("_t"), F.lit(None).cast(r.schema["_take"].dataType).alias("_take"), F.lit(0 if strict else 1).alias("_kind"), F.struct("*").alias("_row"))
     both = r.unionByName(rows).withColumn("_bucket", F.floor(F.col("_t") / bucket_ms))
     order = Window.partitionBy(*by, "_bucket").orderBy("_t", "_kind", "_take").rowsBetween(Window.unboundedPreceding, 0)
-    near = both.withColumn("_near", F.last("_take", ignorenulls=True).over(order)).where("_row IS NOT NULL")
-    # What a bucket takes over from the ones before it: one row per bucket.
-    lasts = both.groupBy(*by, "_bucket").agg(F.max(F.when(F.col("_take").isNotNull(), F.struct("_t", "_take"))).alias("_last"))
+    near = both.withColumn("_near", F.last("_take", ignorenulls=True).over(order))
+    # What a bucket takes over from the ones before it: one row per bucket with rows of the left side. Taken from
+    # the windowed rows themselves, so Spark reads both sides once and reuses their exchange.
+    end = F.max(F.struct("_t", "_kind", "_near"))["_near"]
+    ends = near.groupBy(*by, "_bucket").agg(end.alias("_end"), F.count("_row").alias("_asked"))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = lasts.withColumn("_carry", F.last("_last", ignorenulls=True).over(before)["_take"]).select(*by, "_bucket", "_carry")
+    carry = ends.withColumn("_carry", F.last("_end", ignorenulls=True).over(before)).where("_asked > 0").select(*by, "_bucket", "_carry")
+    near = near.where("_row IS NOT NULL")
     out = near.join(carry, [*by, "_bucket"], "left")
     chosen = F.coalesce("_near", "_carry")
     return out.select("_row.*", *(chosen[c].alias(c) for c in take))

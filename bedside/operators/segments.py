@@ -154,11 +154,11 @@ def events_in_segments(events: DataFrame, low: int, high: int) -> DataFrame:
 def step_changes(values: DataFrame, by: list[str], t: str, value: str, least: float = 0.5, width: float = WIDTH * SEGMENT_MS) -> DataFrame:
     """Rows where a held value moves by more than ``least``, the first row included (W6); missing values are skipped."""
     dealt, inside, over = deal(values.where(F.col(value).isNotNull() & ~F.isnan(value)), by, t, width)
-    rows = dealt.withColumn("_lag", F.lag(value).over(inside))
-    buckets = rows.groupBy(*by, "_bucket").agg(F.max_by(value, t).alias("_last"))
+    rows = dealt.withColumns({"_lag": F.lag(value).over(inside), "_in": F.row_number().over(inside)})
+    buckets = rows.groupBy(*by, "_bucket").agg(F.max_by(value, "_in").alias("_last"))
     met = meet(rows, buckets, by, {"_carry": F.lag("_last").over(over)})
     before = F.coalesce("_lag", "_carry")
-    return met.where(before.isNull() | (F.abs(F.col(value) - before) > least)).drop("_bucket", "_lag", "_carry")
+    return met.where(before.isNull() | (F.abs(F.col(value) - before) > least)).drop("_bucket", "_lag", "_in", "_carry")
 
 
 def dense_grid(axis: DataFrame, events: DataFrame, by: list[str], variables: list[int], width: int = WIDTH) -> DataFrame:
@@ -171,7 +171,7 @@ def dense_grid(axis: DataFrame, events: DataFrame, by: list[str], variables: lis
     onward = inside.rowsBetween(0, Window.unboundedFollowing)
     rows = dealt.withColumns({"_a": F.last(point, ignorenulls=True).over(inside), "_b": F.first(point, ignorenulls=True).over(onward)})
     # The nearest measurements of other buckets; a bucket without any has none to give.
-    buckets = dealt.groupBy(*by, "var_id", "_bucket").agg(F.min(point).alias("_first"), F.max(point).alias("_last"))
+    buckets = rows.groupBy(*by, "var_id", "_bucket").agg(F.min("_b").alias("_first"), F.max("_a").alias("_last"))
     last = F.last("_last", ignorenulls=True).over(earlier(over))
     following = F.first("_first", ignorenulls=True).over(later(over))
     met = meet(rows, buckets, [*by, "var_id"], {"_from": last, "_to": following})
