@@ -135,8 +135,9 @@ def valid_samples(samples: Column, low: Column, high: Column, gain: Column, offs
 
 
 def padded_id(value: Column, width: int, prefix: str = "") -> Column:
-    """Zero-padded id with a prefix."""
-    return F.concat(F.lit(prefix), F.lpad(value.cast("string"), width, "0"))
+    """Zero-padded id with a prefix (X12); a longer id stays whole."""
+    text = value.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")))
 
 
 def without_prefix(text: Column, prefix: str) -> Column:
