@@ -16,6 +16,9 @@ and rank several times over; so positions are sampled by content first:
    task; where they are very many, Spark counts their windows' fingerprints instead.
 4. Windows that repeat become spans of their documents.
 
+``doubled_spans`` is the plain form: rank pairs of all positions, sorted in Spark at
+growing offsets. It gives the same spans and shuffles some 60 times its input.
+
 Defined cases: a null text is empty; texts shorter than ``length`` lose nothing;
 repeated rows are copies of each other and lose all, if long enough; a null doc_id is
 kept as it is; an empty table gives no rows; input columns named like the result's own
@@ -57,14 +60,14 @@ def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """Fingerprints of GRAM bytes at each position (the last ones reach into padding)."""
+def grams(data: np.ndarray, size: int = GRAM) -> np.ndarray:
+    """Fingerprints of ``size`` bytes at each position (the last ones reach into padding)."""
     n = len(data)
-    padded = np.zeros(n + GRAM + 8, dtype=np.uint8)
+    padded = np.zeros(n + size + 8, dtype=np.uint8)
     padded[:n] = data
-    h = np.ndarray((n + GRAM,), "<u8", padded, 0, (1,)).astype(np.uint64)
+    h = np.ndarray((n + size,), "<u8", padded, 0, (1,)).astype(np.uint64)
     width = 8
-    while width < GRAM:
+    while width < size:
         h = joined(h[:-width], h[width:])
         width *= 2
     return h[:n]
@@ -281,6 +284,83 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return settled.unionByName(found).select("row_key", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("end"))
 
 
+def gram_positions(docs: DataFrame, size: int) -> DataFrame:
+    """row_key, pos and fingerprint of every string of ``size`` bytes, a power of two from 8 to GRAM."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", PIECE):
+            data, bounds = text_buffers(batch["text"])
+            for key, a, b in zip(batch["row_key"].to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                for at in range(a, b - size + 1, PIECE):
+                    h = grams(data[at : min(b, at + PIECE + size - 1)], size)
+                    h = h[: len(h) - size + 1]
+                    pos = np.arange(len(h), dtype=np.int32) + np.int32(at - a)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), key)), pa.array(pos), pa.array(h.view(np.int64))], names=["row_key", "pos", "rank"])
+
+    return docs.mapInArrow(run, "row_key bigint, pos int, rank bigint")
+
+
+def ranked_again(pairs: DataFrame) -> DataFrame:
+    """New ranks of the pairs (rank, further) that occur more than once, by one sort in Spark; unique ones go.
+
+    Equal pairs meet in one range of the sort, which a task passes once in order: it
+    holds a batch and the pair before it, whatever the number of equal pairs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        base, n = np.int64(TaskContext.get().partitionId()) << np.int64(40), 0
+        before: np.ndarray | None = None  # last row that isn't settled: row_key, pos, rank, further
+        repeated = False  # it equals the row before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.stack([batch[c].to_numpy().astype(np.int64) for c in ("row_key", "pos", "rank", "further")])
+            if before is not None:
+                rows = np.concatenate([before[:, None], rows], axis=1)
+            same = (rows[2:, 1:] == rows[2:, :-1]).all(axis=0)
+            first = np.r_[repeated, same[:-1]] if rows.shape[1] > 1 else np.zeros(0, dtype=bool)
+            number = n + np.cumsum(np.r_[0, ~same])
+            keep = first | same
+            done = rows[:, :-1][:, keep]
+            if done.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(done[0]), pa.array(done[1].astype(np.int32)), pa.array(base + number[:-1][keep])], names=["row_key", "pos", "rank"])
+            before, n = rows[:, -1], int(number[-1])
+            repeated = bool(same[-1]) if len(same) else repeated
+        if before is not None and repeated:
+            yield pa.RecordBatch.from_arrays([pa.array(before[:1]), pa.array(before[1:2].astype(np.int32)), pa.array([base + n])], names=["row_key", "pos", "rank"])
+
+    laid = pairs.repartitionByRange("rank", "further").sortWithinPartitions("rank", "further")
+    return laid.mapInArrow(run, "row_key bigint, pos int, rank bigint")
+
+
+def doubled_spans(docs: DataFrame, length: int = LENGTH, start: int = GRAM) -> DataFrame:
+    """As ``repeated_spans``, by prefix doubling over every position.
+
+    Pairs of ranks at growing offsets are sorted and ranked anew until strings of
+    ``length`` bytes are ranked; a position goes once its rank is unique, and with it
+    every string that holds it further on. Needs no anchors, but each round shuffles
+    all positions left: for tables of some gigabytes and as a check on the sampled way.
+    """
+    # Rows of one key are copies: one is ranked, and all lose the whole text.
+    one = docs.groupBy("row_key").agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    size = F.octet_length("text")
+    copies = one.where("n > 1").where(size >= length).select("row_key", F.lit(0).alias("start"), size.alias("end"))
+    at = gram_positions(one, start)
+    ranks = written(ranked_again(at.withColumn("further", F.lit(0).cast("bigint"))), "doubled")
+    size = start
+    while size < length:
+        step = min(size, length - size)
+        further = ranks.select("row_key", (F.col("pos") - step).alias("pos"), F.col("rank").alias("further"))
+        longer = written(ranked_again(ranks.join(further, ["row_key", "pos"])), "doubled")
+        remove_written(ranks)
+        ranks, size = longer, size + step
+    run = F.col("pos") - F.row_number().over(Window.partitionBy("row_key").orderBy("pos"))
+    runs = ranks.withColumn("run", run).groupBy("row_key", "run").agg(F.min("pos").alias("start"), (F.max("pos") + length).alias("end"))
+    return runs.select("row_key", "start", "end").unionByName(copies)
+
+
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs that the spans cover."""
     order = np.argsort(starts, kind="stable")

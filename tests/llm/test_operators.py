@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pytest
@@ -86,6 +87,13 @@ def test_suffix_dedup_gathers_no_common_passage(spark, monkeypatch):
     assert len(most) == 1 and most[0] <= 8
 
 
+@pytest.mark.parametrize("start", [8, 64])
+def test_suffix_dedup_by_doubling(docs, rows, start, monkeypatch):
+    """Rank pairs of all positions, sorted in Spark, lead to the same cuts."""
+    monkeypatch.setattr(suffix_dedup, "repeated_spans", partial(suffix_dedup.doubled_spans, start=start))
+    assert dedup_rows(docs) == dedup_expected(rows)
+
+
 def test_suffix_dedup_empty_and_names(spark, empty):
     assert dedup_rows(empty) == []
     odd = spark.createDataFrame([(None, "q" * 300, 1, 1), (None, None, 2, 2)], "doc_id long, text string, spans int, kept int")
