@@ -166,6 +166,14 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import repair
+
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair(turns, repair.damaged(turns))
+
+
 ORACLES["op9_ngram_jaccard_join"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
