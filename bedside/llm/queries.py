@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bedside.llm import oracles
 from bedside.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,6 +175,17 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(turns, repair.damaged(turns))
 
 
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bedside.llm import spelling
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(docs, spelling.planted)
+
+
+ORACLES["op12_conversation_repair"] = oracles.repair_sql()
+ORACLES["op13_spelling_variants"] = oracles.spelling_sql()
+
 ORACLES["op9_ngram_jaccard_join"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
