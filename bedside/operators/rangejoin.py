@@ -1,33 +1,44 @@
-"""Range and interval joins as equi-joins on time buckets, so that no key's rows meet all in one task."""
+"""Range and interval joins as equi-joins on dyadic nodes or time buckets, so that no key's rows meet all in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def points_in_intervals(points: DataFrame, intervals: DataFrame, by: list[str], t: str, start: str, end: str, bucket: int, buffer: int = 0) -> DataFrame:
-    """Pairs of a point and an interval that holds it, widened by ``buffer`` on both sides."""
-    p = points.withColumn("_b", F.floor(F.col(t) / bucket))
-    i = intervals.withColumn("_b", F.explode(F.sequence(F.floor((F.col(start) - buffer) / bucket), F.floor((F.col(end) + buffer) / bucket))))
-    held = (F.col(t) >= F.col(start) - buffer) & (F.col(t) <= F.col(end) + buffer)
-    return p.join(i, [*by, "_b"]).where(held).drop("_b")
+from bedside.operators.intervals import meet_points
 
 
-def best_overlap(left: DataFrame, right: DataFrame, by: list[str], bounds: tuple[str, str, str, str], key: list[str], order: list[str], bucket: int, least: int = 1) -> DataFrame:
+def points_in_intervals(
+    points: DataFrame, intervals: DataFrame, by: list[str], t: str, start: str, end: str, unit: int, buffer: int = 0
+) -> DataFrame:
+    """Pairs of a point and an interval that holds it, widened by ``buffer`` on both sides."""
+    low, high = F.col(start) - buffer, F.col(end) + buffer
+    met = meet_points(points, F.col(t), intervals, low, high, by, unit)
+    return met.where((F.col(t) >= low) & (F.col(t) <= high))
+
+
+def best_overlap(
+    left: DataFrame,
+    right: DataFrame,
+    by: list[str],
+    bounds: tuple[str, str, str, str],
+    key: list[str],
+    order: list[str],
+    unit: int,
+    least: int = 1,
+) -> DataFrame:
     """Each left interval's right interval of largest overlap, the first in ``order`` of equal ones.
 
     ``bounds`` names start and end of the left and of the right interval; overlaps under
-    ``least`` (1 at least) don't match. Intervals meet in time buckets, each pair in its first common one.
+    ``least`` (1 at least) don't match. Of two intervals that overlap, either the right one begins inside the
+    left one or the left one after the right one's begin and inside it: two searches of points.
     """
     a, b, c, d = map(F.col, bounds)
+    left, right = left.where(a <= b), right.where(c <= d)
+    begun = meet_points(right, c, left, a, b, by, unit).where((c >= a) & (c <= b))
+    inside = meet_points(left, a, right, c, d, by, unit).where((a > c) & (a <= d))
     overlap = F.least(b, d) - F.greatest(a, c)
-
-    def spread(df: DataFrame, start: Column, end: Column) -> DataFrame:
-        return df.where(start <= end).withColumn("_b", F.explode(F.sequence(F.floor(start / bucket), F.floor(end / bucket))))
-
-    met = spread(left, a, b).join(spread(right, c, d), [*by, "_b"]).where(F.col("_b") == F.floor(F.greatest(a, c) / bucket)).drop("_b")
-    pairs = met.withColumn("overlap", overlap).where(F.col("overlap") >= least)
+    pairs = inside.unionByName(begun).withColumn("overlap", overlap).where(F.col("overlap") >= least)
     place = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("overlap"), *order))
     return pairs.withColumn("_place", place).where("_place = 1").drop("_place")
 
@@ -40,13 +51,22 @@ def band_max(left: DataFrame, right: DataFrame, by: list[str], t: str, value: st
     return left.join(best, key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 
-def covering_chunk(windows: DataFrame, chunks: DataFrame, by: list[str], window: tuple[str, str], chunk: tuple[str, str], order: str, take: list[str], bucket: int) -> DataFrame:
+def covering_chunk(
+    windows: DataFrame,
+    chunks: DataFrame,
+    by: list[str],
+    window: tuple[str, str],
+    chunk: tuple[str, str],
+    order: str,
+    take: list[str],
+    unit: int,
+) -> DataFrame:
     """The first chunk in ``order`` that covers each window whole (J13); windows without one get nulls."""
     ws, we = window
     cs, ce = chunk
-    w = windows.withColumn("_b", F.floor(F.col(ws) / bucket))
-    c = chunks.select(*by, cs, ce, order, *take).withColumn("_b", F.explode(F.sequence(F.floor(F.col(cs) / bucket), F.floor(F.col(ce) / bucket))))
-    held = w.join(c, [*by, "_b"]).where((F.col(cs) <= F.col(ws)) & (F.col(ce) >= F.col(we)))
+    c = chunks.select(*dict.fromkeys([*by, cs, ce, order, *take]))
+    met = meet_points(windows, F.col(ws), c, F.col(cs), F.col(ce), by, unit)
+    held = met.where((F.col(cs) <= F.col(ws)) & (F.col(ce) >= F.col(we)))
     first = held.groupBy(*by, ws, we).agg(F.min_by(F.struct(*take), F.col(order)).alias("_first"))
     return windows.join(first, [*by, ws, we], "left").select(*windows.columns, *(F.col("_first")[t].alias(t) for t in take))
 

@@ -9,6 +9,7 @@ from bedside.operators import quality, rangejoin, samples
 from bedside.plans import actions, cohorts, demographics, splits
 from bedside.queries.common import DAY, query, table, utc_millis
 
+HOUR = 3_600_000
 O_MS = "epoch_us(o_orderdate) // 1000"
 STAYS = f"stays AS (SELECT o_orderkey AS stay, o_custkey AS pat, {O_MS} AS s, {O_MS} + (1 + o_orderkey % 60) * {DAY} AS e FROM orders)"
 WAVES = f"waves AS (SELECT o_orderkey AS wave, o_custkey AS pat, {O_MS} + 5 * {DAY} AS ws, {O_MS} + (5 + o_orderkey % 40) * {DAY} AS we FROM orders)"
@@ -26,22 +27,45 @@ def waves(spark, sf):
 
 @query(f"WITH {STAYS}, {WAVES} SELECT wave, stay FROM waves w JOIN stays t ON w.pat = t.pat AND w.ws BETWEEN t.s - 3600000 AND t.e + 3600000")
 def points_in_intervals(spark, sf):
-    return rangejoin.points_in_intervals(waves(spark, sf), stays(spark, sf), ["pat"], "ws", "s", "e", 30 * DAY, 3_600_000).select("wave", "stay")
+    return rangejoin.points_in_intervals(waves(spark, sf), stays(spark, sf), ["pat"], "ws", "s", "e", HOUR, HOUR).select("wave", "stay")
 
 
 @query(f"""WITH {STAYS}, {WAVES}, o AS (SELECT wave, stay, least(we, e) - greatest(ws, s) AS overlap FROM waves w JOIN stays t USING (pat))
 SELECT wave, stay, overlap FROM (SELECT *, row_number() OVER (PARTITION BY wave ORDER BY overlap DESC, stay) AS rn FROM o WHERE overlap >= 3600000) WHERE rn = 1""")
 def best_overlap(spark, sf):
-    return rangejoin.best_overlap(waves(spark, sf), stays(spark, sf), ["pat"], ("ws", "we", "s", "e"), ["wave"], ["stay"], 30 * DAY, 3_600_000).select("wave", "stay", "overlap")
+    return rangejoin.best_overlap(waves(spark, sf), stays(spark, sf), ["pat"], ("ws", "we", "s", "e"), ["wave"], ["stay"], HOUR, HOUR).select("wave", "stay", "overlap")
 
 
 @query(f"""WITH {STAYS}, {WAVES}, c AS (SELECT w.wave, t.stay, row_number() OVER (PARTITION BY w.wave ORDER BY t.stay) AS rn FROM waves w JOIN stays t ON w.pat = t.pat AND t.s <= w.ws AND t.e >= w.we)
 SELECT w.wave, c.stay FROM waves w LEFT JOIN (SELECT * FROM c WHERE rn = 1) c USING (wave)""")
 def covering_chunk(spark, sf):
-    found = rangejoin.covering_chunk(waves(spark, sf), stays(spark, sf), ["pat"], ("ws", "we"), ("s", "e"), "stay", ["stay"], 30 * DAY)
+    found = rangejoin.covering_chunk(waves(spark, sf), stays(spark, sf), ["pat"], ("ws", "we"), ("s", "e"), "stay", ["stay"], HOUR)
     return found.select("wave", "stay")
 
 
+SPANS = f"""spans AS (
+  SELECT o_orderkey AS stay, o_custkey % 40 AS pat, {O_MS} AS s, {O_MS} + CAST(pow(10, o_orderkey % 7) AS BIGINT) * 60000 - 1 AS e FROM orders
+), marks AS (SELECT l_orderkey, l_linenumber, l_partkey % 40 AS pat, epoch_us(l_shipdate) // 1000 AS t FROM lineitem WHERE l_linenumber = 1)"""
+
+
+def spans(spark, sf):
+    """Intervals of a minute to a million minutes, cut in cells of a minute."""
+    ms = utc_millis("o_orderdate")
+    length = F.pow(F.lit(10.0), F.col("o_orderkey") % 7).cast("bigint") * 60_000
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("stay"), (F.col("o_custkey") % 40).alias("pat"), ms.alias("s"), (ms + length - 1).alias("e"))
+
+
+@query(f"""WITH {SPANS}
+SELECT l_orderkey, l_linenumber, count(*) AS n_spans, min(stay) AS first_stay, max(e - s) AS longest
+FROM marks m JOIN spans USING (pat) WHERE t BETWEEN s AND e GROUP BY ALL""")
+def points_in_spans(spark, sf):
+    marks = table(spark, sf, "lineitem").where("l_linenumber = 1")
+    marks = marks.select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 40).alias("pat"), utc_millis("l_shipdate").alias("t"))
+    met = rangejoin.points_in_intervals(marks, spans(spark, sf), ["pat"], "t", "s", "e", 60_000)
+    longest = F.max(F.col("e") - F.col("s"))
+    return met.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n_spans"), F.min("stay").alias("first_stay"), longest.alias("longest"))
+
+
 @query(f"""WITH {STAYS} SELECT a.stay, a.s, coalesce(max(b.e - b.s), 0) AS longest FROM stays a LEFT JOIN stays b ON a.pat = b.pat AND abs(a.s - b.s) < {90 * DAY} GROUP BY ALL""")
 def band_max(spark, sf):
     left = stays(spark, sf).select("pat", "stay", "s")
