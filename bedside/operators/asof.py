@@ -2,17 +2,24 @@
 
 An entity may hold a third of all rows, so rows are windowed by entity and time
 bucket; what a bucket needs from the buckets before is carried by a table of one row
-per bucket.
+per bucket. Null keys match nothing, as in other joins: right rows with one are left out.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedside.schemas import DAY_MS
 
 
+def keyed(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Rows without a null key."""
+    return rows.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in by))) if by else rows
+
+
 def as_of(left: DataFrame, right: DataFrame, by: list[str], on: str, take: list[str], forward: bool = False, strict: bool = False, bucket_ms: int = DAY_MS) -> DataFrame:
     """``left`` with ``take`` of the last row of ``right`` at or before its time.
 
@@ -21,7 +28,7 @@ def as_of(left: DataFrame, right: DataFrame, by: list[str], on: str, take: list[
     """
     sign = -1 if forward else 1
     row_type = left.select(F.struct("*")).schema[0].dataType
-    r = right.select(*by, (F.col(on) * sign).alias("_t"), F.struct(*(F.col(c) for c in take)).alias("_take"))
+    r = keyed(right, by).select(*by, (F.col(on) * sign).alias("_t"), F.struct(*(F.col(c) for c in take)).alias("_take"))
     if forward:  # of rows at one time the least values
         r = r.groupBy(*by, "_t").agg(F.min("_take").alias("_take"))
     # At equal times a right row comes before left rows, or after them if strict.
@@ -45,7 +52,7 @@ def as_of(left: DataFrame, right: DataFrame, by: list[str], on: str, take: list[
 def nearest(left: DataFrame, right: DataFrame, by: list[str], on: str, value: str, tolerance: int) -> DataFrame:
     """``left`` with ``value`` of the nearest right row less than ``tolerance`` away, the earlier of two."""
     row_type, bucket = left.select(F.struct("*")).schema[0].dataType, F.floor(F.col("_t") / tolerance)
-    r = right.select(*by, F.col(on).alias("_t"), F.struct(F.col(on).alias("at"), F.col(value).alias("value")).alias("_take"))
+    r = keyed(right, by).select(*by, F.col(on).alias("_t"), F.struct(F.col(on).alias("at"), F.col(value).alias("value")).alias("_take"))
     # Nothing nearer than the tolerance is more than one bucket away: each side is read once, and no bucket needs another.
     r = r.withColumns({"_kind": F.lit(0), "_row": F.lit(None).cast(row_type), "_bucket": F.explode(F.array(bucket - 1, bucket, bucket + 1))})
     rows = left.select(*by, F.col(on).alias("_t"), F.lit(None).cast(r.schema["_take"].dataType).alias("_take"), F.lit(1).alias("_kind"), F.struct("*").alias("_row"), bucket.alias("_bucket"))

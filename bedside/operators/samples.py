@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +10,7 @@ from bedside.functions.timebase import align
 from bedside.operators.asof import as_of
 from bedside.operators.dedup import first_per
 from bedside.operators.segments import islands
+from bedside.operators.throttling import kept_times
 from bedside.schemas import SEGMENT_MS
 
 
@@ -30,27 +30,13 @@ def throttle(labels: DataFrame, by: list[str], t: str, valid: Column, interval_m
     """Labels at least ``interval_ms`` after the last one that was kept and valid.
 
     Of labels at one time the first in ``order`` stays; rows that differ in ``spread`` are
-    of one label. What is kept depends on what was kept before, so a key's times stream
-    through one task in order; it holds the last kept time alone.
+    of one label. A null key is a key. What is kept depends on what was kept before; ``kept_times`` composes
+    that over buckets of time, so a key may have any share of the labels.
     """
     once = first_per(labels.where(valid), [*by, t, *spread], order)
-    times = once.select(*by, t).distinct().repartition(*by).sortWithinPartitions(*by, t)
-
-    def kept(batches):
-        key, last = None, None
-        for batch in batches:
-            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
-            take = []
-            for i, row in enumerate(rows):
-                if key != row[:-1]:
-                    key, last = row[:-1], None
-                if last is None or row[-1] - last >= interval_ms:
-                    last = row[-1]
-                    take.append(i)
-            yield batch.take(pa.array(take, pa.int64()))
-
-    chosen = times.mapInArrow(kept, times.schema)
-    return once.join(chosen, [*by, t], "left_semi")
+    chosen = kept_times(once.select(*by, t).distinct(), by, t, interval_ms)
+    same = [once[c].eqNullSafe(chosen[c]) for c in (*by, t)]
+    return once.join(chosen, same, "left_semi")
 
 
 def sample_index(events: DataFrame, axis: DataFrame, by: list[str], targets: list[int], window_ms: int, alignment: str = "end", clip: tuple[float | None, float | None] = (None, None), offsets_ms: tuple[int, ...] = (0,), interval_ms: int = 0, segment_ms: int = SEGMENT_MS, label_transform=None) -> DataFrame:
@@ -67,7 +53,7 @@ def sample_index(events: DataFrame, axis: DataFrame, by: list[str], targets: lis
 def materialise(index: DataFrame, segments: DataFrame, by: list[str], waveform_transform=None) -> DataFrame:
     """Samples with their signals by channel (M18, G10); arrays are read only for what the index names.
 
-    A window that reaches beyond its segments' samples is an error.
+    A window that reaches beyond its segments' samples is an error. Of a channel at several rates the highest is taken.
     """
     keys = [*by, "label_ms", "var_id", "offset_ms"]
     wanted = index.withColumn("seg_idx", F.explode(F.sequence("seg_lo", "seg_hi")))
@@ -77,6 +63,7 @@ def materialise(index: DataFrame, segments: DataFrame, by: list[str], waveform_t
     n = F.round((F.col("t_end") - F.col("t_start")) * F.col("fs") / 1000).cast("int")
     fits = F.assert_true((first >= 0) & (first + n <= F.size("block")), F.lit("a window reaches beyond its signal"))
     sliced = joined.withColumn("wave", F.when(fits.isNull(), F.slice("block", first + 1, n)))
+    sliced = sliced.groupBy(*keys, "channel").agg(F.max_by("wave", "fs").alias("wave"))
     waves = sliced.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("channel", "wave"))).alias("waveforms"))
     out = index.join(waves, keys)
     return out.withColumn("waveforms", waveform_transform(F.col("waveforms"))) if waveform_transform else out

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedside.operators.buckets import WIDTH, deal, earlier, later, meet
+from bedside.operators.overlay import overlaid, slices
 from bedside.schemas import SEGMENT_MS
 
 NAN = float("nan")
@@ -84,14 +85,29 @@ def nan_gate(samples: Column, most: float) -> Column:
     return nan_fraction(samples) <= most
 
 
-def assemble_seconds(seconds: DataFrame, by: list[str], second: str, samples: str, fs: int, length_s: int = 30) -> DataFrame:
+def assemble_seconds(
+    seconds: DataFrame,
+    by: list[str],
+    second: str,
+    samples: str,
+    fs: int,
+    length_s: int = 30,
+    order: str | None = None,
+    first_second: str | None = None,
+) -> DataFrame:
     """Windows of ``length_s`` seconds from one-second blocks, with the number of seconds present.
 
-    A block with half or more NaN counts as absent; absent seconds are NaN.
+    A block of another length than ``fs`` or with half or more NaN counts as absent; absent seconds are NaN. Of several blocks of
+    a second the last in ``order`` counts, whether or not it is usable; without an order the greatest one.
+    Windows begin at multiples of their length, or at ``first_second``.
     """
-    usable = seconds.where(nan_fraction(F.col(samples)) < 0.5)
-    w = usable.withColumn("window", F.floor(F.col(second) / length_s))
-    got = w.groupBy(*by, "window").agg(F.map_from_entries(F.collect_list(F.struct(F.pmod(F.col(second), F.lit(length_s)).cast("int"), F.col(samples)))).alias("_have"))
+    from_first = F.col(second) - (F.col(first_second) if first_second else F.lit(0))
+    place = F.struct(F.floor(from_first / length_s).alias("window"), F.pmod(from_first, F.lit(length_s)).cast("int").alias("at"))
+    last = F.max(F.struct(F.col(order or samples).alias("order"), F.col(samples).alias("x")))
+    once = seconds.withColumn("_place", place).groupBy(*by, "_place").agg(last["x"].alias("_x"))
+    usable = once.where((F.size("_x") == fs) & (nan_fraction(F.col("_x")) < 0.5))
+    pairs = F.collect_list(F.struct(F.col("_place.at"), F.col("_x")))
+    got = usable.groupBy(*by, F.col("_place.window").alias("window")).agg(F.map_from_entries(pairs).alias("_have"))
     blank = F.array_repeat(F.lit(NAN).cast("float"), fs)
     filled = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(length_s - 1)), lambda s: F.coalesce(F.element_at("_have", s), blank)))
     return got.select(*by, "window", F.size("_have").alias("coverage_s"), filled.alias("samples"))
@@ -102,16 +118,23 @@ def clean_entities(windows: DataFrame, by: list[str], length_s: int = 30, least:
     return windows.groupBy(*by).agg(F.count_if(F.col("coverage_s") == length_s).alias("n_clean")).where(F.col("n_clean") >= least)
 
 
-def place_on_grid(chunks: DataFrame, by: list[str], start: str, samples: str, order: str, episode_start: str, episode_end: str, step_ms: int, per_segment: int) -> DataFrame:
+def place_on_grid(
+    chunks: DataFrame,
+    by: list[str],
+    start: str,
+    samples: str,
+    order: str,
+    episode_start: str,
+    episode_end: str,
+    step_ms: int,
+    per_segment: int,
+) -> DataFrame:
     """Samples on a fixed grid from the episode's start (G9): later chunks overwrite, samples outside are dropped."""
-    flat = chunks.select(*by, start, order, episode_start, episode_end, F.posexplode(samples).alias("_i", "_x"))
-    t = F.col(start) + F.col("_i") * step_ms
-    inside = flat.withColumn("_t", t).where((F.col("_t") >= F.col(episode_start)) & (F.col("_t") < F.col(episode_end)))
-    grid = inside.withColumn("_g", F.floor((F.col("_t") - F.col(episode_start)) / step_ms))
-    best = grid.groupBy(*by, "_g").agg(F.max_by("_x", order).alias("_x")).withColumn("seg_idx", F.floor(F.col("_g") / per_segment).cast("int"))
-    got = best.groupBy(*by, "seg_idx").agg(F.map_from_entries(F.collect_list(F.struct(F.pmod("_g", F.lit(per_segment)).cast("int"), "_x"))).alias("_have"))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(per_segment - 1)), lambda g: F.coalesce(F.element_at("_have", g), F.lit(NAN).cast("float")))
-    return got.select(*by, "seg_idx", filled.alias("samples"))
+    first = F.floor((F.col(start) - F.col(episode_start)) / step_ms)
+    inside = F.ceil((F.col(episode_end) - F.col(start)) / step_ms)  # samples before the episode's end
+    high = first + F.least(F.size(samples), inside)
+    cut = slices(chunks, [*by, order], first, F.greatest(first, F.lit(0)), high, samples, per_segment)
+    return overlaid(cut, by, order, per_segment)
 
 
 def channel_quality(segments: DataFrame, by: list[str], samples: str = "samples") -> DataFrame:

@@ -47,11 +47,23 @@ def envelope(spark, sf):
     return segments.envelope(signals(spark, sf), 3).withColumns({c: F.round(c, 5) for c in ("mean", "std")})
 
 
-@query(f"""WITH {SIG}, q AS (SELECT entity_id, seg_idx // 4 AS "window", seg_idx % 4 AS s, samples FROM sig WHERE len(list_filter(samples, lambda x: isnan(x))) < 2)
-SELECT entity_id, CAST("window" AS BIGINT) AS "window", CAST(count(*) AS INTEGER) AS coverage_s FROM q GROUP BY ALL""")
+@query(
+    f"""WITH {SIG},
+d AS (SELECT entity_id, seg_idx // 2 AS second, vec_id, samples FROM sig),
+l AS (SELECT entity_id, second, arg_max(samples, vec_id) AS samples FROM d GROUP BY ALL),
+q AS (SELECT * FROM l WHERE len(list_filter(samples, lambda x: isnan(x))) < 32),
+w AS (SELECT entity_id, second // 4 AS "window", count(*) AS c FROM q GROUP BY ALL)
+SELECT w.entity_id, CAST("window" AS BIGINT) AS "window", CAST(c AS INTEGER) AS coverage_s,
+  flatten(list(CASE WHEN samples IS NULL THEN list_transform(range(0, 64), lambda i: -9)
+    ELSE list_transform(samples, lambda x: CASE WHEN isnan(x) THEN -9 ELSE CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT) END) END ORDER BY i)) AS samples
+FROM w, unnest(range(0, 4)) AS u(i) LEFT JOIN q ON q.entity_id = w.entity_id AND q.second = "window" * 4 + i GROUP BY ALL"""
+)
 def assembled_seconds(spark, sf):
-    good = signals(spark, sf).where(segments.nan_fraction(F.col("samples")) < 2 / 64)
-    return segments.assemble_seconds(good, ["entity_id"], "seg_idx", "samples", 64, 4).drop("samples")
+    """Two blocks of each second, of which the later one counts."""
+    blocks = signals(spark, sf).withColumn("second", F.floor(F.col("seg_idx") / 2))
+    out = segments.assemble_seconds(blocks, ["entity_id"], "second", "samples", 64, 4, order="vec_id")
+    whole = F.transform("samples", lambda x: F.when(F.isnan(x), -9).otherwise(F.round(x.cast("double") * 1_000_000)).cast("bigint"))
+    return out.withColumn("samples", whole)
 
 
 @query(f"WITH {SIG}, q AS (SELECT entity_id, seg_idx // 4 AS w, count(*) AS c FROM sig WHERE len(list_filter(samples, lambda x: isnan(x))) < 2 GROUP BY ALL) SELECT entity_id, count(*) FILTER (c = 4) AS n_clean FROM q GROUP BY 1 HAVING count(*) FILTER (c = 4) >= 2")
@@ -80,6 +92,24 @@ def grid_placement(spark, sf):
     return out.select("entity_id", "seg_idx", F.size(good).cast("bigint").alias("n"), F.round(F.aggregate(good, F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"))
 
 
+@query(
+    """WITH f AS (
+  SELECT label AS entity_id, vec_id, CAST(vec_id * 37 % 1600 + (i - 1) * 10 - 100 AS BIGINT) AS t, CAST(round(CAST(embedding[i] AS DOUBLE) * 1000000) AS BIGINT) AS x
+  FROM embeddings, unnest(range(1, 65)) AS u(i)
+), g AS (SELECT entity_id, CAST(floor(t / 10) AS BIGINT) AS g, arg_max(x, vec_id) AS x FROM f WHERE t >= 0 AND t < 1505 GROUP BY ALL),
+s AS (SELECT DISTINCT entity_id, g // 50 AS s FROM g)
+SELECT s.entity_id, CAST(s AS INTEGER) AS seg_idx, list(coalesce(x, -9) ORDER BY i) AS samples
+FROM s, unnest(range(0, 50)) AS u(i) LEFT JOIN g ON g.entity_id = s.entity_id AND g.g = s * 50 + i GROUP BY ALL"""
+)
+def overlaid_chunks(spark, sf):
+    """Chunks at any phase of the grid, laid over one another in segments of 50 samples."""
+    e = table(spark, sf, "embeddings").select(F.col("label").alias("entity_id"), "vec_id", F.col("embedding").alias("samples"))
+    e = e.withColumns({"start": F.col("vec_id") * 37 % 1600 - 100, "ep_start": F.lit(0), "ep_end": F.lit(1505)})
+    out = segments.place_on_grid(e, ["entity_id"], "start", "samples", "vec_id", "ep_start", "ep_end", 10, 50)
+    whole = F.transform("samples", lambda x: F.when(F.isnan(x), -9).otherwise(F.round(x.cast("double") * 1_000_000)).cast("bigint"))
+    return out.select("entity_id", "seg_idx", whole.alias("samples"))
+
+
 @query("SELECT vec_id, list_transform(embedding, lambda x: round(CASE WHEN CAST(x AS DOUBLE) <= CAST(-0.15 AS DOUBLE) OR CAST(x AS DOUBLE) >= CAST(0.25 AS DOUBLE) OR CAST(CAST(CAST(x AS DOUBLE) * 2 + 1 AS FLOAT) AS DOUBLE) < CAST(0.6 AS DOUBLE) OR CAST(CAST(CAST(x AS DOUBLE) * 2 + 1 AS FLOAT) AS DOUBLE) > CAST(1.3 AS DOUBLE) THEN CAST(-9 AS DOUBLE) ELSE CAST(CAST(CAST(x AS DOUBLE) * 2 + 1 AS FLOAT) AS DOUBLE) END, 4)) AS samples FROM embeddings")
 def scaled_samples(spark, sf):
     out = valid_samples(F.col("embedding"), F.lit(0.6), F.lit(1.3), F.lit(2.0), F.lit(1.0), (-0.15, 0.25))

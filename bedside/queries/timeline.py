@@ -10,7 +10,7 @@ from bedside.operators import aggregates as A
 from bedside.operators import asof, dedup, mapping, quality, rangejoin, samples, segments
 from bedside.operators import trajectory as M
 from bedside.plans import actions, assembly, cohorts, scores, tasks
-from bedside.queries.common import DAY, axis, clean, episodes, query, raw_events, registry, sql, table, trajectory
+from bedside.queries.common import DAY, axis, clean, episodes, query, raw_events, registry, sql, table, trajectory, utc_millis
 
 E1 = ["entity_id"]
 HOUR = 3_600_000
@@ -294,6 +294,24 @@ def throttle_labels(spark, sf):
     return samples.throttle(labels, ["entity_id", "var_id"], "time_ms", F.lit(True), 2 * DAY, ["value"]).select("entity_id", "time_ms", "var_id", "value")
 
 
+@query(
+    """WITH RECURSIVE e AS (SELECT DISTINCT event_type, epoch_us(ts) // 1000 AS t FROM events WHERE value > 1),
+n AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY t) AS i FROM e),
+r AS (
+  SELECT event_type, t, i, true AS kept, t AS last FROM n WHERE i = 1
+  UNION ALL
+  SELECT n.event_type, n.t, n.i, n.t - r.last >= 3600000, CASE WHEN n.t - r.last >= 3600000 THEN n.t ELSE r.last END
+  FROM r JOIN n ON n.event_type = r.event_type AND n.i = r.i + 1
+)
+SELECT event_type, t AS time_ms FROM r WHERE kept"""
+)
+def throttle_common_keys(spark, sf):
+    """Four keys hold all events: at most one an hour of each."""
+    labels = table(spark, sf, "events").select("event_type", "value", utc_millis("ts").alias("time_ms"))
+    kept = samples.throttle(labels, ["event_type"], "time_ms", F.col("value") > 1, HOUR, ["value"])
+    return kept.select("event_type", "time_ms")
+
+
 @query(sql(f"""SELECT 'early' AS dataset, var_id, count(*) AS n, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high FROM cleaned WHERE time_ms < 1705363200000 GROUP BY var_id
 UNION ALL SELECT 'late', var_id, count(*), round(avg(value), 6), min(value), max(value) FROM cleaned WHERE time_ms >= 1705363200000 GROUP BY var_id"""))
 def concat_cohorts(spark, sf):
