@@ -13,7 +13,7 @@ from bedside.operators import trajectory as M
 from bedside.plans import actions, assembly, scores, splits, tasks
 from bedside.queries.common import DAY, axis, clean, episodes, query, raw_events, registry, sql, table, trajectory
 from bedside.queries.timeline import _samples_sql
-from bedside.sources import delimited, sinks
+from bedside.sources import delimited, ranges, sinks
 from bedside.sources import registry as R
 
 E1 = ["entity_id"]
@@ -66,6 +66,84 @@ def split_files(spark, sf):
     return splits.adopt(lists, c.where("c_acctbal > 0").select(F.col("c_custkey").cast("bigint")), "c_custkey")
 
 
+RECORDS = """r AS (
+  SELECT 'S' || l_suppkey % 7 AS label, l_quantity AS value, CAST(l_linenumber AS DOUBLE) AS offset_s, l_discount AS low, l_tax AS high,
+    row_number() OVER (PARTITION BY l_suppkey % 7 ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_discount, l_tax) - 1 AS place
+  FROM lineitem
+)"""
+RECORD_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "value", "low", "high"]
+
+
+def _records(spark, sf):
+    """Line items as fixed-record files, one per group of suppliers, read in ranges of 4,096 records."""
+    item = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("S"), F.col("l_suppkey") % 7).alias("label"),
+        F.lit("u").alias("uom"),
+        F.lit("ICU").alias("unit"),
+        F.lit("b1").alias("bed"),
+        F.lit(1_600_000_000_500).alias("start_ms"),
+        F.col("l_quantity").alias("value"),
+        F.col("l_linenumber").alias("offset_s"),
+        F.col("l_discount").alias("low"),
+        F.col("l_tax").alias("high"),
+        *RECORD_ORDER[:3],
+    )
+    at = place(spark, "records")
+    ranges.write_records(item, at, RECORD_ORDER).collect()  # a row per file
+    return ranges.read_records(spark, at, 4096 * 32)
+
+
+@query(f"""WITH {RECORDS}
+SELECT label, CAST(1600000000500 AS BIGINT) AS start_ms, place // 1000 AS thousand, count(*) AS n, round(sum(value), 4) AS total,
+  round(sum(offset_s), 4) AS offsets, round(sum(low * (1 + place)), 4) AS lows, round(sum(high * (1 + place)), 4) AS highs
+FROM r GROUP BY ALL""")
+def record_files(spark, sf):
+    weight = F.col("place") + 1
+    sums = {"total": F.col("value"), "offsets": F.col("offset_s"), "lows": F.col("low") * weight, "highs": F.col("high") * weight}
+    rows = _records(spark, sf).groupBy("label", "start_ms", F.floor(F.col("place") / 1000).alias("thousand"))
+    return rows.agg(F.count("*").alias("n"), *(F.round(F.sum(c), 4).alias(name) for name, c in sums.items()))
+
+
+@query(f"WITH {RECORDS} SELECT label, place, value, offset_s, low, high FROM r WHERE label IN ('S2', 'S5') AND place >= 600 AND place < 5000 AND value > 40")
+def record_ranges(spark, sf):
+    """Files and ranges that can't match aren't opened; the value is compared by Spark."""
+    rows = _records(spark, sf).where("label IN ('S2', 'S5') AND place >= 600 AND place < 5000 AND value > 40")
+    return rows.select("label", "place", "value", "offset_s", "low", "high")
+
+
+@query("""WITH f AS (
+  SELECT label, CAST(i - 1 + 64 * (row_number() OVER (PARTITION BY label, i ORDER BY vec_id) - 1) AS BIGINT) AS frame, CAST(embedding[i] AS DOUBLE) AS x
+  FROM embeddings, unnest(range(1, 65)) AS u(i)
+), c AS (
+  SELECT label, frame, 'II' AS channel, round(x * 1000) AS x FROM f
+  UNION ALL SELECT label, frame, 'PLETH', CASE WHEN x > 0.25 THEN NULL ELSE round(x * -2000) END FROM f
+)
+SELECT 'p' || label AS entity_id, channel, frame // 100 AS ord, 1600000000000 + frame // 100 * 800 AS start_ms, CAST(125 AS DOUBLE) AS fs,
+  count(*) AS n, count(x) AS n_valid, CAST(coalesce(sum(x * (1 + frame % 100)), 0) AS BIGINT) AS total
+FROM c GROUP BY ALL""")
+def raw_chunks(spark, sf):
+    """Two channels of 16-bit signals, written with their headers and read in chunks of 100 frames."""
+    x = F.col("embedding")
+    loud = F.transform(x, lambda v: F.when(v <= 0.25, v.cast("double") * -2))
+    e = table(spark, sf, "embeddings").select(
+        F.concat(F.lit("p"), "label").alias("record"), F.lit(1_600_000_000_000).alias("start_ms"), "vec_id", x.alias("II"), loud.alias("PLETH")
+    )
+    at = place(spark, "signals")
+    ranges.write_signals(e, at, ["II", "PLETH"], 125.0, ["vec_id"]).collect()  # a row per file
+    back = ranges.read_signals(spark, at, 100, 2_000)
+    scaled = F.transform("samples", lambda v, i: F.when(F.isnan(v), 0).otherwise(F.round(v.cast("double") * 1000)).cast("bigint") * (i + 1))
+    return back.select(
+        "entity_id",
+        "channel",
+        "ord",
+        "start_ms",
+        "fs",
+        F.size("samples").cast("bigint").alias("n"),
+        F.size(F.filter("samples", lambda v: ~F.isnan(v))).cast("bigint").alias("n_valid"),
+        F.aggregate(scaled, F.lit(0).cast("bigint"), lambda a, v: a + v).alias("total"),
+    )
+
+
 @query("SELECT c_custkey, c_acctbal < 0 AS died FROM customer")
 def labelled_patients(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").cast("string").alias("mortality_reward"))

@@ -1,11 +1,7 @@
-"""Monitor files: XML with base64 samples, and fixed binary records."""
+"""Monitor files: XML with base64 samples."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,28 +40,3 @@ def monitor_blocks(cpc: DataFrame, polled_only: bool = True) -> DataFrame:
     out = out.where("poll_time IS NOT NULL") if polled_only else out
     numbers = {c: F.col(c).try_cast("double") for c in ("gain", "offset", "points", "min", "max")}
     return out.withColumns(numbers).withColumn("samples", little_endian_16(F.unbase64("wave"))).drop("wave")
-
-
-# Fixed layout of a numeric record file.
-HEADER_BYTES, RECORD_BYTES = 36 + 20 + 8, 32
-
-
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """label, unit, bed, start and rows (value, offset_s, low, high) of fixed-record files (S14), one file a row."""
-    return decode_records(spark.read.format("binaryFile").load(path).select("path", "content"))
-
-
-def decode_records(files: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, data in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
-                if data is None or len(data) < HEADER_BYTES:
-                    continue
-                text = [data[a:b].split(b"\0")[0].decode("latin-1").strip() for a, b in ((0, 16), (16, 24), (24, 32), (32, 36))]
-                year, month, day, hour, minute = np.frombuffer(data, "<i4", 5, 36).tolist()
-                second = float(np.frombuffer(data, "<f8", 1, 56)[0])
-                n = (len(data) - HEADER_BYTES) // RECORD_BYTES
-                rows = np.frombuffer(data, "<f8", n * 4, HEADER_BYTES).reshape(n, 4)
-                yield pa.RecordBatch.from_pydict({"path": [path] * n, "label": [text[0]] * n, "uom": [text[1]] * n, "unit": [text[2]] * n, "bed": [text[3]] * n, "start": [f"{year:04d}-{month:02d}-{day:02d} {hour:02d}:{minute:02d}:{second:09.6f}"] * n, "value": rows[:, 0], "offset_s": rows[:, 1], "low": rows[:, 2], "high": rows[:, 3]})
-
-    return files.mapInArrow(run, "path string, label string, uom string, unit string, bed string, start string, value double, offset_s double, low double, high double")

@@ -12,7 +12,7 @@ from bedside.operators import aggregates, asof, dedup, quality, resample, sample
 from bedside.operators import trajectory as M
 from bedside.plans import assembly, scores, splits, tasks
 from bedside.schemas import DAY_MS, SEG_BASELINE, SEG_FUTURE, SEG_RECENT
-from bedside.sources import delimited, monitors, registry, sinks
+from bedside.sources import delimited, monitors, ranges, registry, sinks
 
 A0, B0 = 1_700_000_000_000, 1_800_000_000_000
 BY = ["dataset", "entity_id"]
@@ -187,9 +187,9 @@ def test_monitor_xml(spark, tmp_path):
 def test_fixed_records(spark, tmp_path):
     head = b"HR".ljust(16, b"\0") + b"bpm".ljust(8, b"\0") + b"U1".ljust(8, b"\0") + b"B7".ljust(4, b"\0") + np.array([2020, 1, 2, 3, 4], "<i4").tobytes() + np.array([5.5], "<f8").tobytes()
     (tmp_path / "x.vital").write_bytes(head + np.array([[70, 0, 0, 300], [71, 2, 0, 300]], "<f8").tobytes())
-    rows = monitors.read_records(spark, str(tmp_path / "x.vital")).orderBy("offset_s").collect()
+    rows = ranges.read_records(spark, str(tmp_path / "x.vital")).orderBy("offset_s").collect()
     assert [(r.label, r.bed, r.value, r.offset_s) for r in rows] == [("HR", "B7", 70.0, 0.0), ("HR", "B7", 71.0, 2.0)]
-    assert rows[0].start == "2020-01-02 03:04:05.500000"
+    assert rows[0].start_ms == 1_577_934_245_500
 
 
 def test_registry_and_targets(spark, tmp_path):
