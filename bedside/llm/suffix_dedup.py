@@ -165,8 +165,11 @@ def extents(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     def windows(marks: list[tuple]) -> pa.RecordBatch:
         key, gram, extent, offset = (np.concatenate(c) for c in zip(*marks))
         return made([key, gram, extent, offset, offset, [None] * len(key)])
+
+    # Copies under one key give an extent once; partial aggregation reduces them before the exchange.
+    one = docs.groupBy("row_key").agg(F.first("text").alias("text"))
     per_row = wanted.groupBy("row_key").agg(F.collect_list(F.struct("gram", "extent", "pos", "low", "high", "many")).alias("wanted"))
-    rows = docs.join(per_row, "row_key").select("text", "wanted")
+    rows = one.join(per_row, "row_key").select("text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1_000_000):

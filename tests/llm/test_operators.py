@@ -68,6 +68,25 @@ def test_suffix_dedup_regroups_common_anchors(docs, rows, monkeypatch):
     assert dedup_rows(docs.select("doc_id", "text")) == dedup_expected(rows)
 
 
+def test_suffix_dedup_takes_one_of_many_copies(spark, monkeypatch):
+    """Copies without ids share a row key: each distinct extent comes once, however many copies there are."""
+    rng = random.Random(9)
+    texts = [data.prose(rng, 90) for _ in range(6)]
+    rows = [(None, t) for t in texts for _ in range(300)] + [(i, t[: 250 + i] + data.prose(rng, 40)) for i, t in enumerate(texts * 2)]
+    held = []
+    extents = suffix_dedup.extents
+
+    def counted(docs, wanted, length):
+        out = extents(docs, wanted, length)
+        held.append((wanted.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "extents", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert dedup_rows(docs) == dedup_expected(rows)
+    assert held and all(got == wanted for wanted, got in held)
+
+
 def test_suffix_dedup_gathers_no_common_passage(spark, monkeypatch):
     """A passage in different contexts: no task gets more than MANY extents under one key."""
     monkeypatch.setattr(suffix_dedup, "MANY", 8)
