@@ -151,14 +151,16 @@ def halved(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, REGION_SCHEMA)
 
 
-def bounded_groups(rows: DataFrame) -> DataFrame:
-    """Rows by regions small enough that no group has over ``GROUP_ROWS`` words, single places aside."""
-    done = None
+def bounded_groups(rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows by regions small enough that no group has over ``GROUP_ROWS`` words, single places aside; and the tables they are read from."""
+    done, tables = None, []
     while True:
         rows = written(rows, "spelling-regions")
+        tables.append(rows)
         large = written(rows.where("high - low > 1").groupBy("key").count().where(F.col("count") > GROUP_ROWS).select("key"), "spelling-large")
+        tables.append(large)
         if large.isEmpty():
-            return rows if done is None else done.unionByName(rows)
+            return (rows if done is None else done.unionByName(rows)), tables
         small = rows.join(large, "key", "left_anti")
         done = small if done is None else done.unionByName(small)
         rows = halved(rows.join(large, "key", "left_semi"))
@@ -289,7 +291,8 @@ def with_roots(formed: DataFrame) -> DataFrame:
 def variants(docs: DataFrame, alter: Alter | None = None) -> DataFrame:
     """One row per word: word, n, n_near, form, form_n, root."""
     words = written(word_counts(docs, alter), "spelling-words")
-    near = near_pairs(bounded_groups(region_rows(words)))
+    rows, tables = bounded_groups(region_rows(words))
+    near = near_pairs(rows)
     none = words.select("word", "n", F.lit(None).cast("string").alias("other"), F.lit(None).cast("long").alias("other_n"))
     both = none.unionByName(near, allowMissingColumns=True)
     best = F.min(F.when(F.col("other").isNotNull(), F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("word"))))
@@ -299,4 +302,5 @@ def variants(docs: DataFrame, alter: Alter | None = None) -> DataFrame:
         per.select("word", "n", "n_near", F.when(is_form, F.col("best.word")).alias("form"), F.when(is_form, -F.col("best.n")).alias("form_n")),
         "spelling-forms",
     )
+    remove_written(words, *tables)
     return with_roots(formed)

@@ -95,7 +95,7 @@ def test_hot_group_is_halved(spark, monkeypatch):
     """Words that differ in one region only: no group that is compared is over the bound."""
     monkeypatch.setattr(spelling, "GROUP_ROWS", 8)
     words = [(f"prefix{a}{b}{c}suffix", 2) for a in "abcdef" for b in "abcdef" for c in "abcdef"]
-    rows = spelling.bounded_groups(spelling.region_rows(spark.createDataFrame(words, "word string, n long")))
+    rows, _ = spelling.bounded_groups(spelling.region_rows(spark.createDataFrame(words, "word string, n long")))
     assert rows.groupBy("key").count().agg({"count": "max"}).first()[0] <= 8
     near = spelling.near_pairs(rows).collect()
     assert len(near) == len({(r.word, r.other) for r in near}) == 216 * 15
