@@ -142,9 +142,10 @@ class WordBpe:
         self.marks = re.compile(f"({marks})") if marks else None
         #: Texts with these aren't cut at white space alone.
         self.odd = "|".join(["[\x1c-\x1f]", *map(re.escape, self.special)])
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Begin the tables of known words and chunks anew."""
         self.words, self.word_pieces = Numbers(), Pieces()
         self.cache, self.chunk_pieces = Numbers(), Pieces()
         self.cache.update(zip(self.special, range(len(self.special))))
@@ -282,7 +283,7 @@ class WordBpe:
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(self.cache) > CACHE_ENTRIES:
-            self._forget()
+            self.forget()
         chunks, starts, sizes = self.chunked(texts)
         coded = chunks.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
@@ -334,7 +335,7 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str
         words = coder(path)
         return lambda texts: {ids: _ids_array(*words.encode(texts))}
 
-    return map_text(df, keep, text, make, f"{ids} array<int>", SLICE_BYTES, as_array=True)
+    return map_text(df, keep, text, make, f"{ids} array<int>", SLICE_BYTES, as_array=True, after=lambda: coder(path).forget())
 
 
 def decode(df: DataFrame, path: str | None = None, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

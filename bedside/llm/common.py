@@ -51,11 +51,13 @@ def map_text(
     schema: str,
     max_bytes: int = 4_000_000,
     as_array: bool = False,
+    after: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Run ``make()(texts)`` over slices of ``text`` and return ``keep`` plus its columns.
 
     ``make`` is called once per task, so tables a task needs are built there. Null
     texts arrive as empty strings; with ``as_array`` texts are an Arrow array as it came.
+    ``after`` is called at a task's end: workers are reused, and what they keep adds to other stages' memory.
     """
     names = [part.split()[0] for part in schema.split(", ")]
 
@@ -67,6 +69,8 @@ def map_text(
                 made = work(texts if as_array else [t or "" for t in texts.to_pylist()])
                 kept = [part.column(part.schema.get_field_index(k)) for k in keep]
                 yield pa.RecordBatch.from_arrays([*kept, *(made[n] for n in names)], names=[*keep, *names])
+            if after is not None:
+                after()
 
     kinds = dict(df.dtypes)
     full = ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), schema])

@@ -99,7 +99,7 @@ class ByteBpe(WordBpe):
         self.end_of_chunk = re.compile(f"[^{SPACE}](?=[{SPACE}])")
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.odd = "|".join([CUT, f"[{SPACE}][ \n](?:[{SPACE}]|$)", *map(re.escape, self.special)])
-        self._forget()
+        self.forget()
 
     def parts(self, text: str) -> list[str]:
         """The text, cut between chunks where it is very long."""
