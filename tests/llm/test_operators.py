@@ -394,7 +394,7 @@ def test_bpe_code_points_and_merges(library):
     texts += ["a" * 3000, "aaab" * 50, "<|startoftext|>Hi<|endoftext|>", "<|STARTOFTEXT|>"]
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert id_lists(coder.encode(texts)) == want
-    coder._forget()
+    coder.forget()
     assert id_lists(coder.encode(texts, coder.library_merge)) == want
     assert id_lists(coder.encode(["", None, " \t", texts[5]])) == [[], [], [], want[5]]
 
