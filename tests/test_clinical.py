@@ -18,6 +18,7 @@ A0, B0 = 1_700_000_000_000, 1_800_000_000_000
 BY = ["dataset", "entity_id"]
 
 
+# Ids, start times, offsets and values of the smoke scenario.
 @pytest.fixture(scope="module")
 def scenario(spark):
     axis = [("a", "A1", i, A0 + i * 30_000) for i in range(10)]

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bedside.sources import ranges
+from bedside.sources import delimited, headers, ranges
 
 
 def put(path, label="HR", records=(), date=(2024, 2, 29, 23, 59), second=58.25, tail=b""):
@@ -112,3 +112,32 @@ def test_written_records_come_back(spark, tmp_path):
     want = sorted(rows, key=lambda r: (r[0], r[6]))
     assert [(r.label, r.value, r.offset_s, r.high) for r in back] == [(r[0], r[5], float(r[6]), 2.5) for r in want]
     assert {r.label: r.start_ms for r in back} == {"L0": 0, "L1": 1000, "L2": 2000} and all(r.low != r.low for r in back)
+
+
+def test_stray_commas(spark):
+    lines = {
+        "7,dose 2,500 mg,3": "7,dose 2500 mg3",
+        "1,250,x 12,345,678,9": "1,250,x 12345678,9",
+        "x 1234,567,a": "x 1234567,a",
+        'q "a b",5': 'q "a b",5',
+        "left  12,3": "left  12,3",
+        "left  arm,3": "left  arm3",
+        "arm ,3,,4": "arm ,3,,4",
+        "5,6.5,-7,8%,9": "5,6.5-7,8%9",
+        ",": ",",
+        "": "",
+    }
+    df = spark.createDataFrame([(k,) for k in lines], "l string")
+    got = {r.l: r.r for r in df.select("l", delimited.without_stray_commas(F.col("l")).alias("r")).collect()}
+    assert got == lines
+    numbers = spark.createDataFrame([("1,250,x 12,345,678",), ("x 1234,567",), ("x 1,2345",)], "l string")
+    assert [r[0] for r in numbers.select(delimited.without_thousands(F.col("l"))).collect()] == ["1,250,x 12345,678", "x 1234,567", "x 1,2345"]
+
+
+def test_headers_of_many_lines(spark):
+    """No line of a header is left out, however many there are."""
+    text = "big/1200 2 100 0 10:00:00 01/01/2020\n" + "\n".join(f"s{i} 10" for i in range(150_000))
+    one = "r 1500 100 50\n" + "\n".join(f"r.dat 16 200/mV 12 0 0 0 0 c{i}" for i in range(1500))
+    df = spark.createDataFrame([("big.hea", text), ("r.hea", one)], "path string, text string")
+    assert headers.master_segments(df).agg(F.count("*"), F.max("first_sample")).first()[:] == (150_000, 1_499_990)
+    assert headers.channels(df).count() == 1500
