@@ -126,7 +126,7 @@ def valid_samples(samples: Column, low: Column, high: Column, gain: Column, offs
 
     def one(x: Column) -> Column:
         scaled = (gain * (x + offset) if offset_first else x * gain + offset).cast("float")
-        bad = F.isnan(x) | F.coalesce((scaled < low) | (scaled > high), F.lit(False))
+        bad = F.isnan(x) | F.coalesce(low.isNotNull() & high.isNotNull() & ((scaled < low) | (scaled > high)), F.lit(False))
         if sentinels:
             bad = bad | (x <= sentinels[0]) | (x >= sentinels[1])
         return F.when(bad, nan).otherwise(scaled)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bedside.functions import clean as C
@@ -11,9 +12,10 @@ from bedside.operators import aggregates as A
 from bedside.operators import mapping, quality, samples, segments
 from bedside.operators import trajectory as M
 from bedside.plans import actions, assembly, scores, splits, tasks
+from bedside.plans.monitors import monitor_windows
 from bedside.queries.common import DAY, axis, clean, episodes, query, raw_events, registry, sql, table, trajectory
 from bedside.queries.timeline import _samples_sql
-from bedside.sources import delimited, ranges, sinks
+from bedside.sources import delimited, monitors, ranges, sinks
 from bedside.sources import registry as R
 
 E1 = ["entity_id"]
@@ -342,3 +344,57 @@ def thousands_commas(spark, sf):
     """Numbers written with a thousands separator between unquoted fields."""
     line = F.concat_ws(",", "o_orderkey", F.concat(F.lit("amt "), F.format_number("o_totalprice", 0)), "o_orderstatus")
     return table(spark, sf, "orders").select("o_orderkey", delimited.without_thousands(line).alias("line"))
+
+
+def _wave(samples, scale: int):
+    """Base64 of 16-bit little-endian numbers; what is under -0.25 becomes the sign for no sample."""
+    raw = F.transform(samples, lambda x: F.when(x < -0.25, -32768).otherwise(F.round(x.cast("double") * scale)).cast("bigint"))
+    text = F.transform(raw, lambda r: F.lpad(F.hex(F.pmod(r, F.lit(65536))), 4, "0"))
+    return F.base64(F.unhex(F.array_join(F.transform(text, lambda h: F.concat(F.substring(h, 3, 2), F.substring(h, 1, 2))), "")))
+
+
+def _named_value(name: str, value):
+    return F.struct(value.cast("string").alias("_VALUE"), F.lit(name).alias("_name"))
+
+
+@query("""WITH b AS (
+  SELECT label AS entity_id, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i, embedding FROM embeddings
+), t AS (
+  SELECT entity_id, CAST(i // 8 * 7 + least(i % 8, 6) AS BIGINT) AS s, CAST(i % 8 = 7 AS INTEGER) AS part, vec_id,
+    list_transform(embedding, lambda x: CASE WHEN x < -0.25 THEN NULL ELSE CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT) END) AS x
+  FROM b WHERE vec_id % 11 <> 0
+), l AS (SELECT entity_id, s, arg_max(x, part) AS x, arg_max(vec_id, part) AS vec_id FROM t GROUP BY ALL),
+f AS (SELECT entity_id, min(s) AS first, max(s) AS last FROM l GROUP BY 1),
+g AS (SELECT *, (s - first) // 5 AS w, (s - first) % 5 AS p FROM l JOIN f USING (entity_id) WHERE len(list_filter(x, lambda v: v IS NULL)) < 32),
+u AS (SELECT *, unnest(x) AS v, generate_subscripts(x, 1) AS k FROM g),
+w AS (SELECT entity_id, w, count(DISTINCT p) AS coverage, count(v) AS n, sum(v * (p * 64 + k)) AS total FROM u GROUP BY ALL),
+c AS (SELECT entity_id FROM w GROUP BY 1 HAVING count(*) FILTER (coverage = 5) >= 2)
+SELECT w.entity_id, 1600000000000 + (first + w.w * 5) * 1000 AS time_ms, CAST(w.coverage AS INTEGER) AS pleth_s, CAST(w.n AS BIGINT) AS pleth_n,
+  CAST(w.total AS BIGINT) AS pleth_total
+FROM w JOIN c USING (entity_id) JOIN f USING (entity_id)""")
+def monitor_files(spark, sf):
+    """Monitor XML written and read back: repeated seconds in two files, blocks that weren't polled, windows from the first block."""
+    e = table(spark, sf, "embeddings")
+    i = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    rows = e.select(F.col("label").alias("entity_id"), "vec_id", i.alias("i"), "embedding")
+    second = F.floor(F.col("i") / 8) * 7 + F.least(F.col("i") % 8, F.lit(6))
+    when = F.date_format(F.timestamp_millis(1_600_000_000_000 + second * 1000), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    def channel(name: str, scale: int, low: float, high: float):
+        fields = {"Wave": _wave(F.col("embedding"), scale), "Gain": F.lit(0.001), "Offset": F.lit(0), "Points": F.size("embedding"), "Min": F.lit(low), "Max": F.lit(high)}
+        return F.struct(F.lit(name).alias("_name"), F.array(*(_named_value(k, v) for k, v in fields.items())).alias("m"))
+
+    pleth, ecg = channel("PLETH", 1000, -5.0, 5.0), channel("ECG1", 2000, -0.3, 0.4)
+    polled = F.when(F.col("vec_id") % 11 != 0, "POLLTIME").otherwise("OTHER")
+    m = F.array(F.struct(F.lit("1").alias("_VALUE"), polled.alias("_name")))
+    mg = F.when(F.col("vec_id") % 2 == 0, F.array(pleth, ecg)).otherwise(F.array(pleth))
+    out = rows.select("entity_id", (F.col("i") % 8 == 7).cast("int").alias("part"), when.alias("_datetime"), F.struct(m.alias("m"), mg.alias("mg")).alias("measurements"))
+    at = place(spark, "monitor")
+    out.repartition("entity_id", "part").write.format("xml").option("rowTag", "cpc").option("rootTag", "export").partitionBy("entity_id", "part").save(at)
+    cpc = monitors.read_monitor_xml(spark, at).withColumn("file", F.col("part"))
+    blocks = monitors.monitor_blocks(cpc, keep=("entity_id", "file")).withColumn("block_ms", F.unix_millis(F.to_timestamp("block_time")))
+    got = monitor_windows(blocks, "PLETH", {"PLETH": (64, 64), "ECG1": (64, 64)}, 5, 1, 2)
+    raw = F.transform("PLETH", lambda x, k: F.when(~F.isnan(x), F.round(x.cast("double") * 1000).cast("bigint") * (k + 1)))
+    there = F.filter(raw, lambda x: x.isNotNull())
+    total = F.aggregate(there, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return got.select("entity_id", "time_ms", F.col("coverage_PLETH").alias("pleth_s"), F.size(there).cast("bigint").alias("pleth_n"), total.alias("pleth_total"))

@@ -33,10 +33,10 @@ def little_endian_16(data: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), one)).otherwise(F.array().cast("array<float>"))
 
 
-def monitor_blocks(cpc: DataFrame, polled_only: bool = True) -> DataFrame:
-    """block time, channel, gain, offset, bounds and raw samples; with ``polled_only`` blocks without POLLTIME go."""
-    rows = cpc.select(F.col("_datetime").alias("block_time"), _named(F.col("measurements.m"), "POLLTIME").alias("poll_time"), F.explode("measurements.mg").alias("mg"))
-    out = rows.select("block_time", "poll_time", F.col("mg._name").alias("channel"), *(_named(F.col("mg.m"), f).alias(f.lower()) for f in FIELDS))
+def monitor_blocks(cpc: DataFrame, polled_only: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep``, block time, channel, gain, offset, bounds and raw samples; with ``polled_only`` blocks without POLLTIME go."""
+    rows = cpc.select(*keep, F.col("_datetime").alias("block_time"), _named(F.col("measurements.m"), "POLLTIME").alias("poll_time"), F.explode("measurements.mg").alias("mg"))
+    out = rows.select(*keep, "block_time", "poll_time", F.col("mg._name").alias("channel"), *(_named(F.col("mg.m"), f).alias(f.lower()) for f in FIELDS))
     out = out.where("poll_time IS NOT NULL") if polled_only else out
     numbers = {c: F.col(c).try_cast("double") for c in ("gain", "offset", "points", "min", "max")}
     return out.withColumns(numbers).withColumn("samples", little_endian_16(F.unbase64("wave"))).drop("wave")
