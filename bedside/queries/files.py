@@ -13,7 +13,7 @@ from bedside.operators import mapping, quality, samples, segments
 from bedside.operators import trajectory as M
 from bedside.plans import actions, assembly, scores, splits, tasks
 from bedside.plans.monitors import monitor_windows
-from bedside.queries.common import DAY, axis, clean, episodes, query, raw_events, registry, sql, table, trajectory
+from bedside.queries.common import DAY, ORACLES, axis, clean, episodes, query, raw_events, registry, sql, table, trajectory
 from bedside.queries.timeline import _samples_sql
 from bedside.sources import delimited, monitors, ranges, sinks
 from bedside.sources import registry as R
@@ -398,3 +398,22 @@ def monitor_files(spark, sf):
     there = F.filter(raw, lambda x: x.isNotNull())
     total = F.aggregate(there, F.lit(0).cast("bigint"), lambda a, x: a + x)
     return got.select("entity_id", "time_ms", F.col("coverage_PLETH").alias("pleth_s"), F.size(there).cast("bigint").alias("pleth_n"), total.alias("pleth_total"))
+
+
+@query(
+    f"""SELECT w.entity_id, w.var_id, w.label_ms, i.value * 2 + 1 AS value, w.n, w.first / 2 + 1 AS first, w.last / 2 + 1 AS last
+FROM ({ORACLES["sample_waves"]}) w JOIN ({_samples_sql("end", 2 * DAY)}) i USING (entity_id, var_id, label_ms)"""
+)
+def sample_transforms(spark, sf):
+    """Labels and signals through functions of the caller's, as columns."""
+    index = samples.sample_index(
+        clean(spark, sf), axis(spark, sf), E1, [0, 100], 2 * DAY, "end", (5, 150), segment_ms=DAY, label_transform=lambda v: v * 2 + 1
+    )
+
+    def halved(waves):
+        return F.transform_values(waves, lambda _, samples: F.transform(samples, lambda x: x / 2 + 1))
+
+    out = samples.materialise(index, _waves(spark, sf), E1, waveform_transform=halved)
+    wave = F.col("waveforms")["II"]
+    ends = [wave[0].cast("double").alias("first"), F.element_at(wave, -1).cast("double").alias("last")]
+    return out.select("entity_id", "var_id", "label_ms", "value", F.size(wave).alias("n"), *ends)
