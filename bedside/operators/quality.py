@@ -26,6 +26,16 @@ def manifest(axis: DataFrame, segments: DataFrame, trajectory: DataFrame, by: li
     return all_of.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0)
 
 
+def counts_of(checks: list[tuple[str, str, Column]]) -> list[Column]:
+    """What fails each check, as counts named by its place; a null condition doesn't fail."""
+    return [F.count_if(F.coalesce(c, F.lit(False))).alias(f"bad_{i}") for i, (_, _, c) in enumerate(checks)]
+
+
+def failures(checks: list[tuple[str, str, Column]], counts: dict[str, int]) -> list[tuple[str, str, int, bool]]:
+    """(check, severity, n_bad, passed) from counts by place."""
+    return [(n, s, counts[f"bad_{i}"], counts[f"bad_{i}"] == 0) for i, (n, s, _) in enumerate(checks)]
+
+
 def report(df: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
     """Rows that fail each (name, severity, condition), counted in one pass (M4)."""
     counts = df.agg(F.array(*(F.struct(F.lit(n).alias("check"), F.lit(s).alias("severity"), F.count_if(F.coalesce(c, F.lit(False))).alias("n_bad")) for n, s, c in checks)).alias("c"))

@@ -15,7 +15,7 @@ from bedside.plans import actions, assembly, scores, splits, tasks
 from bedside.plans.monitors import monitor_windows
 from bedside.queries.common import DAY, ORACLES, axis, clean, episodes, query, raw_events, registry, sql, table, trajectory
 from bedside.queries.timeline import _samples_sql
-from bedside.sources import delimited, monitors, ranges, sinks
+from bedside.sources import delimited, monitors, ranges, sinks, stores
 from bedside.sources import registry as R
 
 E1 = ["entity_id"]
@@ -417,3 +417,42 @@ def sample_transforms(spark, sf):
     wave = F.col("waveforms")["II"]
     ends = [wave[0].cast("double").alias("first"), F.element_at(wave, -1).cast("double").alias("last")]
     return out.select("entity_id", "var_id", "label_ms", "value", F.size(wave).alias("n"), *ends)
+
+
+@query(ORACLES["add_variables_later"])
+def merged_store(spark, sf):
+    """Later variables merged into a stored trajectory, twice; only buckets with new events are written."""
+    at = place(spark, "store")
+    t = trajectory(spark, sf).select("entity_id", "time_ms", "var_id", "value", "seg_idx", "part")
+    stores.write_store(t.where("var_id < 200"), at, 16)
+    for _ in range(2):
+        stores.merge_into(spark, at, t.where("var_id >= 100"), 16)
+    return stores.read_store(spark, at).select("entity_id", "time_ms", "var_id", "value", "part")
+
+
+@query(ORACLES["replace_actions"])
+def replaced_in_store(spark, sf):
+    """The actions of a store replaced by doubled ones."""
+    at = place(spark, "store")
+    events = clean(spark, sf)
+    stores.write_store(events, at, 16)
+    stores.replace_in(spark, at, events.withColumn("value", F.col("value") * 2), 200, 299, 16)
+    return stores.read_store(spark, at).select("entity_id", "time_ms", "var_id", F.round("value", 6).alias("value"))
+
+
+@query(ORACLES["verification_report"] + "\nUNION ALL SELECT 'rows', 'info', count(*), true FROM traj")
+def checked_write(spark, sf):
+    """A trajectory written with the checks of ``verification_report`` counted on the way."""
+    checks = [("value range", "error", F.col("value") < 0), ("late event", "warning", F.col("part") == "future"), ("unknown variable", "error", ~F.col("var_id").isin(0, 100, 101, 200))]
+    return stores.write_checked(trajectory(spark, sf), place(spark, "checked"), checks, ("part",))
+
+
+@query(ORACLES["sample_waves"])
+def stored_samples(spark, sf):
+    """The samples of ``sample_waves``, cut from a table bucketed by entity and block."""
+    name = f"signals_{uuid.uuid4().hex}"
+    stores.write_signals(_waves(spark, sf), name, place(spark, "signals"), 16, 64, 3)
+    index = samples.sample_index(clean(spark, sf), axis(spark, sf), E1, [0, 100], 2 * DAY, "end", (5, 150), segment_ms=DAY)
+    wave = F.col("waveforms")["II"]
+    out = stores.cut_samples(index, name, 16, 64, 3)
+    return out.select("entity_id", "var_id", "label_ms", F.size(wave).alias("n"), wave[0].cast("double").alias("first"), F.element_at(wave, -1).cast("double").alias("last"))
