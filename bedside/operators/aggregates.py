@@ -110,10 +110,28 @@ def cadence(samples: DataFrame, code: str, entity: list[str], t: str, first: int
     return probed.where((F.col("_k") >= 3) & m.isNotNull()).groupBy(code).agg(F.count("*").alias("n_entities"), F.median(m).alias("median_step"), F.min(m).alias("least_step"), F.max(m).alias("greatest_step"))
 
 
-def column_profile(df: DataFrame) -> DataFrame:
-    """Nulls, bounds and distinct values of each column, in one pass over the table."""
-    stats = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.count_if(F.col(c).isNull()).alias("n_null"), F.count_distinct(F.col(c)).alias("n_distinct"), F.min(F.col(c)).cast("string").alias("low"), F.max(F.col(c)).cast("string").alias("high")) for c, k in df.dtypes]
-    return df.agg(F.array(*stats).alias("s")).select(F.inline("s"))
+def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
+    """Nulls, bounds and distinct values of each column.
+
+    Nulls, bounds and sketches of distinct values come from one aggregate that a table of any width fits; exact counts come from
+    (column, value) rows counted by value first, so that neither a column nor a frequent value is one task. Without
+    ``exact`` n_distinct is the sketch's estimate and the table is read once. NaN is a value, -0.0 is 0.0.
+    """
+    stats = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.count_if(F.col(f"`{c}`").isNull()).alias("n_null"), F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias("n_distinct"), F.min(F.col(f"`{c}`")).cast("string").alias("low"), F.max(F.col(f"`{c}`")).cast("string").alias("high")) for c, k in df.dtypes]
+    sketched = df.agg(F.array(*stats).alias("s")).select(F.inline("s"))
+    if not exact:
+        return sketched
+    texts = [F.col(f"`{c}`") + F.lit(0.0).cast(k) if k in ("double", "float") else F.col(f"`{c}`") for c, k in df.dtypes]
+    cells = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), x.cast("string").alias("value")) for c, x in zip(df.columns, texts)))).alias("cell")).select("cell.*")
+    counts = cells.where("value IS NOT NULL").groupBy("column", "value").agg(F.lit(1).alias("_one")).groupBy("column").agg(F.count("*").alias("_n"))
+    kept = sketched.join(counts, "column", "left").withColumn("n_distinct", F.coalesce("_n", F.lit(0)))
+    return kept.select(sketched.columns)
+
+
+def rows_per_year(df: DataFrame, t: str) -> DataFrame:
+    """Rows by year of a UTC time in milliseconds (A20); rows without a time have a null year."""
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col(t) / 86_400_000).cast("int"))
+    return df.groupBy(F.year(day).alias("year")).agg(F.count("*").alias("n"))
 
 
 def frequent(codes: DataFrame, names: DataFrame, code: str, most: int) -> DataFrame:

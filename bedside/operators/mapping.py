@@ -59,7 +59,44 @@ def list_rows(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.select(*rest, F.posexplode(column).alias("place", name))
 
 
+def trigrams(text: Column) -> Column:
+    """The distinct runs of three characters of a text; none of shorter ones or nulls."""
+    places = F.when(F.length(text) >= 3, F.sequence(F.lit(1), F.length(text) - 2))
+    return F.coalesce(F.array_distinct(F.transform(places, lambda i: F.substr(text, i, F.lit(3)))), F.array().cast("array<string>"))
+
+
+def needed_trigrams(pattern: Column) -> Column:
+    """Trigrams that stand in each text a pattern matches.
+
+    Literal runs count, without characters that may be absent; a pattern with groups, classes, counts, escapes or
+    alternatives has none.
+    """
+    bare = F.regexp_replace(pattern, r"(?s).[*?][+?]?", "\n")
+    runs = F.transform(F.split(bare, r"[.^$+*?\n]"), trigrams)
+    return F.when(pattern.rlike(r"[|(\[{\\]"), F.array().cast("array<string>")).otherwise(F.array_distinct(F.flatten(runs)))
+
+
 def candidates(dimension: DataFrame, targets: DataFrame, text: str, pattern: str, target: str, most: int = 10) -> DataFrame:
-    """Names of a dimension that match each target's pattern, at most ``most`` each."""
-    hits = dimension.join(registry_side(targets), F.expr(f"{text} rlike {pattern}"))
+    """Names of a dimension that match each target's pattern, at most ``most`` each, ties in the order of the text.
+
+    Names and patterns meet by one trigram that the pattern needs, the rarest in the dimension; then the pattern is
+    tried. Patterns that need none, at most ``REGISTRY_ROWS``, are tried on all names, in an expression over their list. Null names and patterns match nothing.
+    """
+    wide = [c for c in targets.columns if c in dimension.columns]
+    if wide:
+        raise ValueError(f"columns of both sides: {wide}")
+    asked = targets.where(F.col(pattern).isNotNull()).select(F.struct(*targets.columns).alias("_target"), needed_trigrams(F.col(pattern)).alias("_needed"))
+    named = dimension.where(F.col(text).isNotNull())
+    offered = named.withColumn("_gram", F.explode(trigrams(F.col(text))))
+    grams = asked.select(F.explode("_needed").alias("_gram")).distinct()
+    seen = offered.select("_gram").join(registry_side(grams), "_gram").groupBy("_gram").agg(F.count("*").alias("_n"))
+    # A trigram that no name has leaves its pattern without a match: it is the rarest.
+    counted = asked.withColumn("_gram", F.explode("_needed")).join(seen, "_gram", "left")
+    picked = counted.groupBy("_target").agg(F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"))
+    columns = [F.col(c) for c in dimension.columns] + [F.col(f"_target.{c}") for c in targets.columns]
+    met = offered.join(registry_side(picked), "_gram").select(*columns).where(F.expr(f"{text} rlike {pattern}"))
+    few = F.assert_true(F.count(F.lit(1)) <= REGISTRY_ROWS, F.lit("too many patterns without a trigram"))
+    open_ones = asked.where(F.size("_needed") == 0).agg(F.when(few.isNull(), F.collect_list("_target")).alias("_all")).scalar()
+    tried = named.withColumn("_all", open_ones).withColumn("_target", F.explode(F.filter("_all", lambda t: F.rlike(F.col(text), t[pattern])))).select(*columns)
+    hits = met.unionByName(tried)
     return hits.withColumn("place", F.row_number().over(Window.partitionBy(target).orderBy(text))).where(F.col("place") <= most)

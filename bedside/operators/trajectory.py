@@ -99,3 +99,9 @@ def whole_trajectory(trajectory: DataFrame, by: list[str]) -> DataFrame:
 def assert_no_leak(summary: DataFrame) -> DataFrame:
     """Fails when an entity's future holds actions."""
     return summary.withColumn("_ok", F.assert_true(~F.col("has_future_actions"), F.lit("the future part holds actions"))).where("_ok IS NULL").drop("_ok")
+
+
+def leaking(summary: DataFrame) -> DataFrame:
+    """Entities whose future holds what it must not, and what (M31); an empty table means there is no leak."""
+    names = F.array_compact(F.array(*(F.when(F.col(f"has_future_{name}"), name) for name in ("actions", "scores", "onset"))))
+    return summary.withColumn("leaks", names).where(F.size("leaks") > 0)

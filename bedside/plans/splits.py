@@ -66,5 +66,21 @@ def balanced_pick(entities: DataFrame, strata: list[str], key: str, n: int, seed
     return entities.withColumn("turn", place).where(F.col("turn") <= n).orderBy("turn", *strata).limit(n)
 
 
+def filled_pick(entities: DataFrame, listed: DataFrame, strata: list[str], key: str, n: int, seed: int = 42) -> DataFrame:
+    """N entities dealt from the strata of those listed; where these are too few, the others fill up by lot.
+
+    ``listed`` has the keys of a split list, repeats and nulls without effect. Keys of ``entities`` are distinct. Fewer than n rows
+    mean fewer than n entities.
+    """
+    known = listed.select(key).where(F.col(key).isNotNull()).distinct().withColumn("listed", F.lit(True))
+    marked = entities.join(known, key, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    inside = balanced_pick(marked.where("listed"), strata, key, n, seed)
+    others = sample_n(marked.where("NOT listed"), key, n, seed).withColumn("turn", F.lit(None).cast("int"))
+    # Both sides are at most n rows, so one order over them is small.
+    both = inside.unionByName(others)
+    dealt = [F.when(F.col("listed"), F.col(c)) for c in ("turn", *strata)]
+    return both.orderBy(F.desc("listed"), *dealt, lot(F.col(key), seed), key).limit(n)
+
+
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(lot(F.col(key), seed), key).limit(n)  # O9

@@ -195,6 +195,16 @@ def balanced_pick(spark, sf):
     return splits.balanced_pick(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), ["c_mktsegment"], "c_custkey", 32)
 
 
+@query("""WITH m AS (SELECT c_custkey, c_mktsegment, c_custkey % 50 = 0 AS listed, md5('42:' || c_custkey) AS lot FROM customer),
+ i AS (SELECT *, CASE WHEN listed THEN row_number() OVER (PARTITION BY listed, c_mktsegment ORDER BY lot, c_custkey) END AS turn FROM m)
+SELECT c_custkey, c_mktsegment, listed, CAST(turn AS INTEGER) AS turn FROM i
+ORDER BY listed DESC, turn, CASE WHEN listed THEN c_mktsegment END, lot, c_custkey LIMIT 400""")
+def filled_pick(spark, sf):
+    """400 customers, those of a short list first, dealt from its segments in turn."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return splits.filled_pick(c, c.where("c_custkey % 50 = 0"), ["c_mktsegment"], "c_custkey", 400)
+
+
 @query("SELECT c_custkey FROM customer ORDER BY md5('42:' || c_custkey), c_custkey LIMIT 20")
 def seeded_sample(spark, sf):
     return splits.sample_n(table(spark, sf, "customer").select("c_custkey"), "c_custkey", 20)

@@ -339,6 +339,13 @@ def without_leaks(spark, sf):
     return M.assert_no_leak(summary.where("NOT has_future_actions")).select("entity_id", "n_future")
 
 
+@query(sql("SELECT entity_id, count(*) FILTER (part = 'future') AS n_future, 'actions' AS leaks FROM traj GROUP BY 1 HAVING bool_or(part = 'future' AND var_id BETWEEN 200 AND 299)"))
+def leaking_entities(spark, sf):
+    """Entities whose future holds actions; no scores or onsets are among the variables."""
+    rows = M.leaking(M.part_summary(trajectory(spark, sf)))
+    return rows.select("entity_id", "n_future", F.concat_ws(",", "leaks").alias("leaks"))
+
+
 @query("SELECT o_orderkey, o_orderkey || ',amt ' || CAST(round_even(o_totalprice, 0) AS BIGINT) || ',' || o_orderstatus AS line FROM orders")
 def thousands_commas(spark, sf):
     """Numbers written with a thousands separator between unquoted fields."""

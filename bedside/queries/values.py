@@ -8,7 +8,7 @@ from bedside.functions import clean as C
 from bedside.functions import timebase as X
 from bedside.operators import aggregates as A
 from bedside.operators import dedup, mapping
-from bedside.queries.common import query, table, utc_millis
+from bedside.queries.common import query, raw_events, table, utc_millis
 from bedside.sources import delimited, headers, monitors
 
 MS = "epoch_us(o_orderdate) // 1000"
@@ -131,9 +131,9 @@ def substring_rules(spark, sf):
 
 
 @query("""SELECT target, p_name, CAST(place AS INTEGER) AS place FROM (
- SELECT target, p_name, row_number() OVER (PARTITION BY target ORDER BY p_name) AS place FROM (SELECT DISTINCT p_name FROM part) JOIN (VALUES ('round', 'ring'), ('small', '^small')) AS t(target, pattern) ON regexp_matches(p_name, pattern)) WHERE place <= 10""")
+ SELECT target, p_name, row_number() OVER (PARTITION BY target ORDER BY p_name) AS place FROM (SELECT DISTINCT p_name FROM part) JOIN (VALUES ('round', 'ring'), ('small', '^small'), ('either', 'blue|mint$'), ('none', 'zzzz')) AS t(target, pattern) ON regexp_matches(p_name, pattern)) WHERE place <= 10""")
 def name_candidates(spark, sf):
-    targets = spark.sql("SELECT * FROM VALUES ('round', 'ring'), ('small', '^small') AS t(target, pattern)")
+    targets = spark.sql("SELECT * FROM VALUES ('round', 'ring'), ('small', '^small'), ('either', 'blue|mint$'), ('none', 'zzzz') AS t(target, pattern)")
     return mapping.candidates(table(spark, sf, "part").select("p_name").distinct(), targets, "p_name", "pattern", "target").select("target", "p_name", "place")
 
 
@@ -148,13 +148,17 @@ def first_per_key(spark, sf):
     return dedup.first_per(table(spark, sf, "lineitem"), ["l_orderkey", "l_suppkey"], ["l_linenumber", "l_quantity", "l_extendedprice"]).select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
 
 
-PROFILE = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS n_null, count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high FROM part" for c in ("p_partkey", "p_brand", "p_type", "p_size", "p_name"))
+PROFILE = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS n_null, count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high FROM part" for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
 
 
 @query(PROFILE)
 def column_profile(spark, sf):
-    part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size", "p_name")
-    return A.column_profile(part).drop("kind")
+    return A.column_profile(table(spark, sf, "part")).drop("kind")
+
+
+@query("SELECT CAST(year(ts) AS INTEGER) AS year, count(*) AS n FROM events GROUP BY 1")
+def rows_per_year(spark, sf):
+    return A.rows_per_year(raw_events(spark, sf), "time_ms")
 
 
 @query("SELECT p_partkey, p_name, count FROM (SELECT l_partkey AS p_partkey, count(*) AS count FROM lineitem GROUP BY 1 ORDER BY count DESC, p_partkey LIMIT 30) LEFT JOIN part USING (p_partkey)")
