@@ -15,7 +15,7 @@ from bedside.plans import actions, assembly, scores, splits, tasks
 from bedside.plans.monitors import monitor_windows
 from bedside.queries.common import DAY, ORACLES, axis, clean, episodes, query, raw_events, registry, sql, table, trajectory
 from bedside.queries.timeline import _samples_sql
-from bedside.sources import delimited, monitors, ranges, sinks, stores
+from bedside.sources import delimited, headers, monitors, ranges, sinks, stores
 from bedside.sources import registry as R
 
 E1 = ["entity_id"]
@@ -463,3 +463,34 @@ def stored_samples(spark, sf):
     wave = F.col("waveforms")["II"]
     out = stores.cut_samples(index, name, 16, 64, 3)
     return out.select("entity_id", "var_id", "label_ms", F.size(wave).alias("n"), wave[0].cast("double").alias("first"), F.element_at(wave, -1).cast("double").alias("last"))
+
+
+def _header_folder(spark, sf) -> str:
+    """Header files of 32 records: a line per supplier, a comment in between."""
+    at = place(spark, "headers")
+    s = table(spark, sf, "supplier").withColumns({"subject": F.col("s_suppkey") % 8, "record": F.floor(F.col("s_suppkey") / 8) % 4})
+    name = F.when(F.col("s_suppkey") % 3 == 0, "II").when(F.col("s_suppkey") % 3 == 1, "PLETH").otherwise("ABP")
+    line = F.concat(F.lit("a.dat 80 1023 8 "), name)
+    files = s.groupBy("subject", "record").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("s_suppkey", line.alias("line"))))["line"].alias("lines"))
+    first = F.concat(F.lit("r"), F.col("record"), F.lit(" "), F.col("n"), F.lit(" 125/1 "), (F.col("record") + 1) * 1000)
+    text = F.concat_ws("\n", first, F.lit("# note"), F.array_join("lines", "\n"))
+    files.select("subject", "record", text.alias("value")).repartition("subject", "record").write.partitionBy("subject", "record").text(at)
+    return at
+
+
+@query("""WITH s AS (SELECT s_suppkey % 8 AS subject, (s_suppkey // 8) % 4 AS record, s_suppkey % 3 AS c FROM supplier)
+SELECT CAST(subject AS VARCHAR) AS subject, coalesce(sum((record + 1) * 8.0) FILTER (c = 0), 0) AS "seconds_II", coalesce(sum((record + 1) * 8.0) FILTER (c = 1), 0) AS "seconds_PLETH",
+  list_sort(list(DISTINCT CASE c WHEN 0 THEN 'II' WHEN 1 THEN 'PLETH' ELSE 'ABP' END)) AS channels FROM s GROUP BY 1""")
+def scanned_headers(spark, sf):
+    """Header files written and read back: seconds of the wanted channels and all channels per subject."""
+    found = headers.read_headers(spark, _header_folder(spark, sf), "*.txt")
+    return headers.subject_channels(headers.channels(found), "/subject=([0-9]+)/", ["II", "PLETH"])
+
+
+@query("""SELECT CAST(subject AS VARCHAR) AS entity_id, count(*) AS n_files, CAST(sum(n_bytes) AS BIGINT) AS n_bytes, CAST(min(record) AS INTEGER) AS first, CAST(max(record) AS INTEGER) AS last FROM (
+  SELECT s_suppkey % 8 AS subject, (s_suppkey // 8) % 4 AS record, sum(16 + CASE s_suppkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 5 ELSE 3 END + 1) + 8
+    + length('r' || any_value((s_suppkey // 8) % 4) || ' ' || count(*) || ' 125/1 ' || any_value(((s_suppkey // 8) % 4 + 1) * 1000)) AS n_bytes
+  FROM supplier GROUP BY 1, 2) GROUP BY 1""")
+def scanned_files(spark, sf):
+    """Names and lengths of the header files by subject, from a scan of the folder."""
+    return headers.file_inventory(spark, _header_folder(spark, sf), "*.txt", "/subject=([0-9]+)/record=([0-9]+)/")

@@ -21,14 +21,15 @@ def inventory(files: DataFrame, pattern: str) -> DataFrame:
     return rows.groupBy("entity_id").agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), F.min("number").alias("first"), F.max("number").alias("last"))
 
 
-def read_headers(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.option("wholetext", True).option("pathGlobFilter", "*.hea").option("recursiveFileLookup", True).text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+def read_headers(spark: SparkSession, folder: str, glob: str = "*.hea") -> DataFrame:
+    """path and text of each header file below a folder; a header is one row."""
+    return spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def channels(headers: DataFrame) -> DataFrame:
     """path, record, fs, n_samples and channel of signal headers (S11); layouts, masters and numerics are skipped."""
     lines = headers.where(~F.col("path").rlike(SKIP)).select("path", F.filter(F.split("text", "\r?\n"), lambda x: (F.trim(x) != "") & ~F.startswith(x, F.lit("#"))).alias("lines"))
-    first = F.split(F.trim(F.col("lines")[0]), r"\s+")
+    first = F.split(F.trim(F.get("lines", F.lit(0))), r"\s+")
     return lines.where(~F.get(first, F.lit(0)).contains("/")).select("path", F.get(first, F.lit(0)).alias("record"), F.regexp_extract(F.coalesce(F.get(first, F.lit(2)), F.lit("250")), r"^[0-9.]+", 0).try_cast("double").alias("fs"), F.get(first, F.lit(3)).try_cast("bigint").alias("n_samples"), F.explode(F.slice("lines", 2, F.size("lines"))).alias("line")).select("path", "record", "fs", "n_samples", F.element_at(F.split(F.trim("line"), r"\s+"), -1).alias("channel"))
 
 
@@ -41,7 +42,7 @@ def subject_channels(rows: DataFrame, subject_pattern: str, wanted: list[str]) -
 def master_segments(headers: DataFrame) -> DataFrame:
     """Segments of multi-segment headers with their first sample (S12); a gap is named ~."""
     lines = headers.select("path", F.split("text", "\r?\n").alias("lines"))
-    first = F.split(F.trim(F.col("lines")[0]), r"\s+")
+    first = F.split(F.trim(F.get("lines", F.lit(0))), r"\s+")
     rows = lines.where(F.get(first, F.lit(0)).contains("/")).select("path", F.regexp_extract(F.get(first, F.lit(2)), r"^[0-9.]+", 0).try_cast("double").alias("fs"), F.concat_ws(" ", F.get(first, F.lit(4)), F.get(first, F.lit(5))).alias("start"), F.posexplode(F.slice("lines", 2, F.size("lines"))).alias("place", "line"))
     parts = F.split(F.trim("line"), r"\s+")
     rows = rows.select("path", "fs", "start", "place", F.get(parts, F.lit(0)).alias("segment"), F.get(parts, F.lit(1)).try_cast("bigint").alias("n_samples")).where("n_samples IS NOT NULL")

@@ -7,12 +7,12 @@ import pytest
 
 from bedside.queries import ORACLES, QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SOME = ["trajectory_parts", "as_of_nearest", "as_of_strict", "as_of_forward", "coverage", "sample_index_middle", "throttle_labels", "dense_grid", "resp_score", "cardio_score", "best_overlap", "covering_chunk", "stratified_split", "patient_split_floor", "vasopressor_rate", "numeric_texts", "local_times", "repaired_lines", "decoded_samples", "grid_placement", "anchor_blocks", "split_coverage", "assembled", "manifest", "sample_waves", "sample_index_throttled", "trajectory_files", "delimited_files", "registry_file", "split_list_files", "charted_values", "organ_scores", "range_override", "fluids", "part_summary", "cohort_icu_lists", "demographics_icu", "cohort_arrest_monitors", "demographics_arrest", "cohort_ed_visits", "demographics_visits", "cohort_or_monitors", "demographics_or_monitors", "cohort_or_records", "demographics_or_records", "cohort_surgical_cases", "demographics_cases", "cohort_matched_recordings", "demographics_matched",
     "points_in_spans", "throttle_common_keys", "overlaid_chunks", "assembled_seconds", "record_files", "record_ranges", "raw_chunks", "monitor_files", "sample_transforms",
     "merged_store", "replaced_in_store", "checked_write", "stored_samples",
-    "name_candidates", "column_profile", "rows_per_year", "leaking_entities", "filled_pick"]
+    "name_candidates", "column_profile", "rows_per_year", "leaking_entities", "filled_pick", "scanned_headers", "scanned_files"]
 
 
 def plain(v):

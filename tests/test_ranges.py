@@ -141,3 +141,16 @@ def test_headers_of_many_lines(spark):
     df = spark.createDataFrame([("big.hea", text), ("r.hea", one)], "path string, text string")
     assert headers.master_segments(df).agg(F.count("*"), F.max("first_sample")).first()[:] == (150_000, 1_499_990)
     assert headers.channels(df).count() == 1500
+
+
+def test_header_files_are_read_whole_and_empty_ones_have_no_channels(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "r1.hea").write_text("r1 2 125 250\r\n# note\r\nr1.dat 16 II\r\nr1.dat 16 PLETH\r\n")
+    (tmp_path / "a" / "r2.hea").write_text("")
+    (tmp_path / "a" / "r3.hea").write_text("# only a note\n")
+    (tmp_path / "a" / "r1.dat").write_text("no header")
+    found = headers.read_headers(spark, str(tmp_path))
+    rows = headers.channels(found)
+    assert sorted((r.record, r.fs, r.n_samples, r.channel) for r in rows.collect()) == [("r1", 125.0, 250, "II"), ("r1", 125.0, 250, "PLETH")]
+    assert headers.subject_channels(rows, "/(a)/", ["II", "ABP"]).first()[:] == ("a", 2.0, 0.0, ["II", "PLETH"])
+    assert headers.master_segments(found).count() == 0
