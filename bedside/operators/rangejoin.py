@@ -45,7 +45,7 @@ def best_overlap(
 
 def band_max(left: DataFrame, right: DataFrame, by: list[str], t: str, value: str, width: int, key: list[str], default: float = 0.0) -> DataFrame:
     """``left`` with the greatest ``value`` of right rows less than ``width`` away on either side."""
-    r = right.select(*by, F.col(t).alias("_t"), F.col(value).alias("_v")).withColumn("_b", F.explode(F.array(*(F.floor(F.col("_t") / width) + k for k in (-1, 0, 1)))))
+    r = right.select(*by, F.col(t).alias("_t"), F.col(value).alias("_v")).withColumn("_b", F.explode(F.array(*(F.floor(F.col("_t") / width) + k for k in (-1, 0, 1))))).hint("merge")
     near = left.withColumn("_b", F.floor(F.col(t) / width)).join(r, [*by, "_b"]).where(F.abs(F.col(t) - F.col("_t")) < width)
     best = near.groupBy(*key).agg(F.max("_v").alias(value))
     return left.join(best, key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))

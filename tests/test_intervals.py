@@ -78,3 +78,22 @@ def test_rows_of_a_long_interval_are_few(spark):
     one = spark.createDataFrame([(1, 7, 10 * year + 7)], "k int, s long, e long")
     for unit in (60_000, 1):
         assert intervals.covered(one, F.col("s"), F.col("e"), unit).count() <= 2 * math.log2(10 * year / unit)
+
+
+def thick(spark):
+    """Points and intervals that are small on disk and large with all their nodes."""
+    rows = spark.range(2000).select(F.lit(1).alias("k"), "id", (F.col("id") * 7).alias("s"), (F.col("id") * 7 + 1_000_000).alias("e"))
+    points = rows.select("k", F.col("id").alias("point"), F.col("s").alias("t"), F.col("s").alias("u"))
+    return points, rows.withColumnRenamed("id", "span")
+
+
+def merged(joined):
+    """Whether nothing is broadcast: Spark's estimates leave out the rows that explode adds."""
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    return "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
+def test_best_overlap_broadcasts_no_nodes(spark):
+    points, spans = thick(spark)
+    assert merged(rangejoin.best_overlap(points, spans, ["k"], ("t", "u", "s", "e"), ["point"], ["span"], 10))
+    assert merged(rangejoin.band_max(points, spans.withColumnRenamed("s", "t"), ["k"], "t", "e", 10, ["point"]))
