@@ -97,3 +97,10 @@ def test_best_overlap_broadcasts_no_nodes(spark):
     points, spans = thick(spark)
     assert merged(rangejoin.best_overlap(points, spans, ["k"], ("t", "u", "s", "e"), ["point"], ["span"], 10))
     assert merged(rangejoin.band_max(points, spans.withColumnRenamed("s", "t"), ["k"], "t", "e", 10, ["point"]))
+
+
+def test_covering_chunk_broadcasts_no_nodes(spark):
+    points, spans = thick(spark)
+    found = rangejoin.covering_chunk(points, spans, ["k"], ("t", "u"), ("s", "e"), "span", ["span"], 10)
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not any("BroadcastHashJoin" in line and "_node" in line for line in plan)
