@@ -104,3 +104,8 @@ def test_covering_chunk_broadcasts_no_nodes(spark):
     found = rangejoin.covering_chunk(points, spans, ["k"], ("t", "u"), ("s", "e"), "span", ["span"], 10)
     plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
     assert not any("BroadcastHashJoin" in line and "_node" in line for line in plan)
+
+
+def test_points_in_intervals_broadcasts_no_nodes(spark):
+    points, spans = thick(spark)
+    assert merged(rangejoin.points_in_intervals(points, spans, ["k"], "t", "s", "e", 10))
