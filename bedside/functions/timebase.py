@@ -35,6 +35,13 @@ def shift_years(ms: Column, years: int) -> Column:
     return F.unix_millis(moved.cast("timestamp")) + F.pmod(ms, F.lit(86_400_000))
 
 
+def next_century(start: Column, end: Column, zone: str) -> Column:
+    """``end`` of a span whose years have two digits: a century later where that is within a day after ``start``."""
+    wall = F.from_utc_timestamp(F.timestamp_millis(end), zone)
+    later = F.unix_millis(F.to_utc_timestamp(wall + F.expr("INTERVAL 100 YEARS"), zone))
+    return F.when((end < start) & later.between(start, start + 86_400_000), later).otherwise(end)
+
+
 def shift_days(ms: Column, days: Column) -> Column:
     """Shift back by whole days (X7): ``days`` is the difference of a patient's two offsets."""
     return ms - days.cast("bigint") * 86_400_000

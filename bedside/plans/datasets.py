@@ -152,6 +152,7 @@ SURGERIES = Export(
     "M/d/yy H:mm",
     "America/Los_Angeles",
 )
+SURGERY_SPANS = {"in_or_ms": "out_or_ms", "an_start_ms": "an_stop_ms"}
 CROSSWALK = Export({"pat_id": "PAT_ID", "log_id": "LOG_ID"})
 MONITOR_FILE = r"([0-9a-f]{16})(CB|IP)-(\d{4}-\d{2}-\d{2}-\d{2}-\d{2}-\d{2}-\d{3})Z\.xml$"
 CASE_SECONDS = {"casestart": "casestart_s", "caseend": "caseend_s", "anestart": "anestart_s", "aneend": "aneend_s", "opstart": "opstart_s", "opend": "opend_s", "adm": "adm_s", "dis": "dis_s"}
@@ -253,14 +254,17 @@ def or_records(crosswalk: DataFrame, surgeries: DataFrame, files: DataFrame, aro
 
     A patient may have many files and several surgeries: files meet windows by patient
     and hour, so a patient's files are spread and no pair outside a window is made but
-    those of the two hours at its ends. ``files``: path.
+    those of the two hours at its ends. ``files``: path. Years have two digits, so a stop within a day of a start
+    on the last evening of a century is read into the next one.
     """
-    info = first_per(SURGERIES.read(surgeries), ["log_id"], ["an_start_ms", "an_stop_ms", "mrn"])
+    read = SURGERIES.read(surgeries)
+    read = read.withColumns({b: T.next_century(F.col(a), F.col(b), SURGERIES.zone) for a, b in SURGERY_SPANS.items()})
+    info = first_per(read, ["log_id"], ["an_start_ms", "an_stop_ms", "mrn"])
     info = info.where(C.valid_interval(F.col("an_start_ms"), F.col("an_stop_ms")))
     windows = CROSSWALK.read(crosswalk).distinct().join(info.select("log_id", "an_start_ms", "an_stop_ms"), "log_id")
     low, high = F.col("an_start_ms") - around_ms, F.col("an_stop_ms") + around_ms
     hours = F.explode(F.sequence(F.floor(low / HOUR), F.floor(high / HOUR))).alias("hour")
-    windows = windows.select("pat_id", "log_id", low.alias("low"), high.alias("high"), hours)
+    windows = windows.select("pat_id", "log_id", low.alias("low"), high.alias("high"), hours).hint("merge")  # sizes are estimated without the hours
     pat, taken = (F.regexp_extract("path", MONITOR_FILE, i) for i in (1, 3))
     named = files.select("path", F.nullif(pat, F.lit("")).alias("pat_id"), F.unix_millis(F.try_to_timestamp(taken, F.lit("yyyy-MM-dd-HH-mm-ss-SSS"))).alias("file_ms"))
     named = named.where("pat_id IS NOT NULL").withColumn("hour", F.floor(F.col("file_ms") / HOUR))
