@@ -23,3 +23,9 @@ def test_surgery_into_the_next_century(spark):
     ends = spark.sql("SELECT 10L AS a, 5L AS b UNION ALL SELECT 10L, 10L UNION ALL SELECT 10L, NULL")
     assert sorted((r[0] for r in ends.select(T.next_century(F.col("a"), F.col("b"), "UTC")).collect()), key=str) == [10, 5, None]
     assert day == D.DAY
+
+
+def test_demographics_of_a_surgery_into_the_next_century(spark):
+    waves = spark.createDataFrame([("a", 1, 2), ("c", 1, 2)], "entity_id string, wave_start_ms long, wave_end_ms long")
+    rows = D.demographics_file("or_records", cohort(spark), waves).collect()
+    assert [(r.entity_id, r.an_stop_ms - r.an_start_ms, r.out_or_ms - r.in_or_ms) for r in rows] == [("a", 5_400_000, 5_400_000)]
