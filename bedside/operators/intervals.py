@@ -44,6 +44,11 @@ def covered(intervals: DataFrame, start: Column, end: Column, unit: int) -> Data
     return intervals.withColumn("_node", F.explode(cover(cell(start, unit), cell(end, unit))))
 
 
+def levels_of(spread: DataFrame) -> Column:
+    """The levels that ``_node`` has, as a scalar subquery."""
+    return spread.agg(F.sort_array(F.collect_set("_node.level")).alias("levels")).select("levels").scalar()
+
+
 def meet_points(points: DataFrame, t: Column, intervals: DataFrame, start: Column, end: Column, by: list[str], unit: int) -> DataFrame:
     """Pairs of equal ``by`` whose point's cell is one of the interval's; the caller compares the bounds themselves.
 
@@ -51,6 +56,5 @@ def meet_points(points: DataFrame, t: Column, intervals: DataFrame, start: Colum
     ``explode`` adds, so it would broadcast nodes of intervals whose table is small on disk: the join is asked to be a merge.
     """
     spread = covered(intervals, start, end, unit)
-    levels = spread.agg(F.sort_array(F.collect_set("_node.level")).alias("levels")).select("levels").scalar()
-    dealt = points.withColumn("_levels", levels).withColumn("_node", F.explode(ancestors(cell(t, unit), F.col("_levels"))))
+    dealt = points.withColumn("_levels", levels_of(spread)).withColumn("_node", F.explode(ancestors(cell(t, unit), F.col("_levels"))))
     return dealt.drop("_levels").join(spread.hint("merge"), [*by, "_node"]).drop("_node")

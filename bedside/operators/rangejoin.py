@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bedside.operators.intervals import meet_points
+from bedside.operators.intervals import ancestors, cell, covered, levels_of, meet_points
 
 
 def points_in_intervals(
@@ -17,6 +17,24 @@ def points_in_intervals(
     return met.where((F.col(t) >= low) & (F.col(t) <= high))
 
 
+def interval_stats(
+    points: DataFrame, intervals: DataFrame, by: list[str], t: str, start: str, end: str, stats: dict[str, tuple[str, Column | int]]
+) -> DataFrame:
+    """``by``, ``t`` and figures over the intervals that hold each distinct point, without a row per pair; none for points in no interval.
+
+    ``stats``: name to "sum", "min" or "max" and what it is taken of. Times are whole numbers, so cells of one
+    unit cover an interval exactly: figures are taken per node, and a point's are those of the nodes above it.
+    Intervals and points that many rows share count once in both joins.
+    """
+    again = [getattr(F, kind)(name).alias(name) for name, (kind, _) in stats.items()]
+    # A table of many equal intervals shrinks before it is cut into nodes.
+    distinct = intervals.groupBy(*by, start, end).agg(*(getattr(F, kind)(c if isinstance(c, Column) else F.lit(c)).alias(name) for name, (kind, c) in stats.items()))
+    nodes = covered(distinct, F.col(start), F.col(end), 1).groupBy(*by, "_node").agg(*again)
+    above = F.explode(ancestors(cell(F.col(t), 1), F.col("_levels"))).alias("_node")
+    dealt = points.select(*by, t).distinct().withColumn("_levels", levels_of(nodes)).select(*by, t, above)
+    return dealt.join(nodes.hint("merge"), [*by, "_node"]).groupBy(*by, t).agg(*again)
+
+
 def best_overlap(
     left: DataFrame,
     right: DataFrame,

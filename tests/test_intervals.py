@@ -109,3 +109,19 @@ def test_covering_chunk_broadcasts_no_nodes(spark):
 def test_points_in_intervals_broadcasts_no_nodes(spark):
     points, spans = thick(spark)
     assert merged(rangejoin.points_in_intervals(points, spans, ["k"], "t", "s", "e", 10))
+
+
+def test_interval_stats_equal_pairs_without_making_them(spark, sides):
+    left, right, lf, rf = sides
+    points, spans = lf.select("k", F.col("a").alias("t")), rf.select("k", F.col("r").alias("span"), F.col("c").alias("s"), F.col("d").alias("e"))
+    stats = {"n": ("sum", 1), "first": ("min", F.col("span")), "longest": ("max", F.col("e") - F.col("s"))}
+    got = {(r.k, r.t): (r.n, r.first, r.longest) for r in rangejoin.interval_stats(points, spans, ["k"], "t", "s", "e", stats).collect()}
+    want = {}
+    for k, t in {(x[0], x[2]) for x in left if x[0] is not None}:
+        over = [(r, d - c) for key, r, c, d in right if key == k and c <= t <= d]
+        if over:
+            want[k, t] = (len(over), min(r for r, _ in over), max(x for _, x in over))
+    assert got == want and len(want) > 50
+    # A thousand equal points in a thousand equal intervals are one row.
+    many = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("span"), F.lit(0).alias("s"), F.lit(9).alias("e"), F.lit(4).alias("t"))
+    assert [tuple(r) for r in rangejoin.interval_stats(many, many, ["k"], "t", "s", "e", stats).collect()] == [(1, 4, 1000, 0, 9)]
