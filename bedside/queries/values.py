@@ -184,7 +184,7 @@ def decoded_samples(spark, sf):
         return F.concat(F.substring(h, 3, 2), F.substring(h, 1, 2))
 
     data = F.unhex(F.concat(*(two_bytes(v) for v in (q, -q, F.col("l_linenumber") * 300))))
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.transform(monitors.little_endian_16(data), lambda x: x.cast("int")).alias("samples"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", monitors.little_endian_16(data).cast("array<int>").alias("samples"))
 
 
 @query("SELECT 'page-' || page_id AS record, CAST(125 AS DOUBLE) AS fs, CAST(page_id * 10 AS BIGINT) AS n_samples, c AS channel FROM pages, (VALUES ('II'), ('PLETH')) AS v(c)")
