@@ -226,7 +226,8 @@ def arrest_monitors(labels: DataFrame, offsets: DataFrame) -> DataFrame:
     o = ARREST_OFFSETS.read(offsets).withColumns({k: F.trim(F.col(k)) for k in keys})
     start = T.shift_days(F.col("encounter_start_ms"), F.col("offset_ge_days") - F.col("offset_days"))
     o = o.withColumn("admission_start_ms", start).withColumn("admission_end_ms", F.col("admission_start_ms") + F.col("encounter_los_days") * DAY).drop("encounter_start_ms")
-    joined = rows.join(o, keys, "left")
+    # Spark's estimate of a list that was exploded is too small, and would have it broadcast.
+    joined = rows.join(o.hint("merge"), keys, "left")
     return joined.join(joined.groupBy("entity_id").agg(F.count("*").alias("n_candidate_encounters")), "entity_id")
 
 
