@@ -175,3 +175,21 @@ def test_a_written_file_is_many_tasks(spark, tmp_path):
     assert [f.name for f in (tmp_path / "r").iterdir() if not f.name.endswith(".crc")] == ["one.vital"]
     back = ranges.read_records(spark, f"{tmp_path}/r").orderBy("place").collect()
     assert [(r.place, r.value) for r in back] == [(i, float(i)) for i in range(5000)] and back[0].start_ms == 7000
+
+
+def test_record_files_share_tasks_and_join_in_order(spark, tmp_path):
+    """Labels mixed over all input rows are written in parts; a file of any size is read by 512 tasks at most."""
+    mixed = spark.range(6000, numPartitions=3).select(F.concat(F.lit("S"), F.col("id") % 3).alias("label"), F.lit("u").alias("uom"), F.lit("w").alias("unit"), F.lit("b").alias("bed"), F.lit(7000).cast("long").alias("start_ms"), *((6000 - F.col("id")).cast("double").alias(c) for c in ("value", "offset_s", "low", "high")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = ranges.write_records(mixed, f"{tmp_path}/r", ["value"])
+        assert sorted((r.path.rsplit("/")[-1], r.n) for r in made.collect()) == [(f"S{i}.vital", 2000) for i in range(3)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = ranges.read_records(spark, f"{tmp_path}/r", 32 * 128).groupBy("label").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("rows"))
+    assert {r.label: [tuple(x) for x in r.rows] for r in back.collect()} == {f"S{i}": list(enumerate(sorted(6000.0 - n for n in range(i, 6000, 3)))) for i in range(3)}
+    with open(tmp_path / "large.vital", "wb") as file:
+        file.truncate(64 + 32 * 6_250_000)
+    reader = ranges.RecordReader({"path": str(tmp_path / "large.vital"), "rangeBytes": str(4096 * 32)}, ranges.Names(["path", "label"], "place"))
+    parts = reader.partitions()
+    assert len(parts) <= 512 and sum(b - a for p in parts for _, a, b in p.runs) == 32 * 6_250_000
